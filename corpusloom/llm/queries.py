@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import langid, pairs
+from corpusloom.llm import langid, leaks, pairs, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": pairs.p1_found,
     "p4_found": langid.p4_found,
     "p4_segments": langid.p4_segments,
+    "p5_found": repetition.p5_found,
+    "p5_repetition": repetition.p5_repetition,
+    "p7_found": leaks.p7_found,
 }
 
 #: None of these can be said in SQL: their tests hold them against brute force, planted cases or an exact decode.
