@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE, LETTER, MARK, DIGIT, PUNCT, SYMBOL = 0, 1, 2, 3, 4, 5
 _TOP = 0x20000  # code points beyond are treated as this table's last entry of their own kind
@@ -262,7 +263,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | list[str], most: int
             continue
         size = np.zeros(b.num_rows, dtype=np.int64)
         for x in names:
-            size += pa.compute.binary_length(b.column(x)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            size += pc.binary_length(b.column(x)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.cumsum(size) // most
         edge = np.append(np.flatnonzero(np.diff(part, prepend=-1)), b.num_rows)
         for i, j in zip(edge[:-1], edge[1:], strict=True):
