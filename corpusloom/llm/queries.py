@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import langid, leaks, pairs, repetition
+from corpusloom.llm import langid, leaks, pairs, repetition, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": pairs.p1_found,
@@ -15,6 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": repetition.p5_found,
     "p5_repetition": repetition.p5_repetition,
     "p7_found": leaks.p7_found,
+    "p8_found": toxicity.p8_found,
+    "p8_rates": toxicity.p8_rates,
 }
 
 #: None of these can be said in SQL: their tests hold them against brute force, planted cases or an exact decode.
