@@ -1 +1 @@
-"""Package part: operators."""
+"""Relational operators: gates, deduplication, joins, metrics, windows, sampling, extraction, retrieval."""
