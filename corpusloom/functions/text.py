@@ -51,6 +51,11 @@ def latin_share(t: Column) -> Column:
     return _share(count_chars(t, "A-Za-z"), count_chars(t, r"\p{L}"))
 
 
+def strip(t: Column) -> Column:
+    """A text without white space at its ends, as Python's str.strip."""
+    return F.regexp_replace(t, rf"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def words(t: Column) -> Column:
     """the words between white space."""
     return F.filter(F.split(t, SPACE), lambda x: x != "")
@@ -122,7 +127,7 @@ def masked(t: Column) -> Column:
 def is_card_number(t: Column) -> Column:
     """13 to 19 digits that pass the Luhn check, whatever stands between them."""
     d = F.regexp_replace(t, r"\D", "")
-    return F.length(d).between(13, 19) & F.luhn_check(d)
+    return F.length(d).between(13, 19) & F.call_function("luhn_check", d)
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -224,7 +229,7 @@ def bigram_set(t: Column, stopwords: list[str]) -> Column:
 
 def query_mood(t: Column) -> Column:
     """what a query wants: navigate, imperative, question or statement, the first that applies."""
-    s = F.lower(F.trim(t))
+    s = F.lower(strip(t))
     return (
         F.when(s.rlike(r"^(go to|open|take me|show me|navigate)\b"), "navigate")
         .when(s.rlike(r"^(turn|set|enable|disable|restart|reset|pause|block|stop|start|run|change|write|give|suggest|describe|repeat|tell|explain)\b"), "imperative")

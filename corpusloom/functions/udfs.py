@@ -12,13 +12,14 @@ from urllib.parse import unquote_to_bytes
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _each(fn):
     return lambda s: s.map(lambda x: None if x is None else fn(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Unicode normal form C."""
     return _each(lambda t: unicodedata.normalize("NFC", t))(s)
@@ -35,7 +36,7 @@ def _unquote(t: str) -> str:
     return t
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def percent_decoded(s: pd.Series) -> pd.Series:
     """percent escapes decoded, up to four times over; malformed ones and plus signs stay."""
     return _each(_unquote)(s)
@@ -44,7 +45,7 @@ def percent_decoded(s: pd.Series) -> pd.Series:
 def utf8_prefix(n: int):
     """the longest prefix of at most ``n`` UTF-8 bytes that ends at a character."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def prefix(s: pd.Series) -> pd.Series:
         return _each(lambda t: t.encode()[:n].decode("utf-8", "ignore"))(s)
 
@@ -54,7 +55,7 @@ def utf8_prefix(n: int):
 def tokenizer_counts(path: str):
     """tokens by a tokenizer file, special tokens' strings being ordinary text."""
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(T.LongType())
     def count(s: pd.Series) -> pd.Series:
         from tokenizers import Tokenizer
 
@@ -79,7 +80,7 @@ def _loop(t: str, period: int = 1024, least: int = 4, chars: int = 60) -> bool:
     return False
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def ends_in_loop(s: pd.Series) -> pd.Series:
     """Whether a text ends in a piece of up to 1024 characters repeated four times or more, 60 characters at least in all."""
     return _each(_loop)(s)
@@ -109,7 +110,7 @@ def _chunks(t: str, limit: int) -> list[str]:
 def chunks(limit: int = 500):
     """Paragraphs joined up to a limit of characters; longer ones split at the last break or blank before it."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(s: pd.Series) -> pd.Series:
         return s.map(lambda t: [] if t is None else _chunks(t, limit))
 
@@ -132,7 +133,7 @@ def _redact(t: str) -> str:
     return "".join([*out, t[at:]])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def redacted(s: pd.Series) -> pd.Series:
     """Personal data replaced by its kind; where two kinds overlap the earlier kind has precedence."""
     return _each(_redact)(s)
@@ -150,7 +151,7 @@ def _table(t: str) -> list[list[str]]:
     return [[c.strip() for c in re.split(sep, x.strip())] for x in lines]
 
 
-@F.pandas_udf("array<array<string>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def table_rows(s: pd.Series) -> pd.Series:
     """Rows and cells of a table written with bars, tabs, commas or two blanks, told by its first line."""
     return s.map(lambda t: [] if t is None else _table(t))
@@ -187,13 +188,13 @@ def _call(t: str) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def tool_call(s: pd.Series) -> pd.Series:
     """The tool call of a reply (JSON, marked, fenced, named lines or bracketed) as JSON of name and arguments; null without one."""
     return _each(lambda t: _call(re.sub(r"(?s)<think>.*?</think>", "", t)))(s)
 
 
-@F.pandas_udf("array<struct<op:string,a:string,b:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("op", "a", "b")])))
 def line_diff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Opcodes that turn the lines of one text into those of another."""
 
@@ -204,7 +205,7 @@ def line_diff(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else diff(x, y) for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def hash_embedding(s: pd.Series) -> pd.Series:
     """128 numbers from a text's SHA-512, with length 1."""
 
@@ -219,7 +220,7 @@ def hash_embedding(s: pd.Series) -> pd.Series:
 def schema_reward(keys: list[str]):
     """How much of a reply is the JSON object asked for: 1 as it stands, 0.2 inside other text, 0 not at all, times the share of its keys."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def score(s: pd.Series) -> pd.Series:
         def one(t: str) -> float:
             for part, form in ((t, 1.0), (t[t.find("{") : t.rfind("}") + 1] if "{" in t else "", 0.2)):

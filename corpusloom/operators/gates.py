@@ -19,7 +19,7 @@ def corpus_coarse(t: Column, script: str = X.DEVANAGARI, min_words: int = 40, ma
     """Empty, short, long, chars, latin."""
     t = _t(t)
     n = X.word_count(t)
-    return X.first_of([(F.trim(t) == "", "empty"), (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), ((X.script_share_of_text(t, script) < least_script) | (X.latin_share(t) > most_latin), "latin")])
+    return X.first_of([(X.strip(t) == "", "empty"), (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), ((X.script_share_of_text(t, script) < least_script) | (X.latin_share(t) > most_latin), "latin")])
 
 
 def corpus_quality(
@@ -35,7 +35,7 @@ def corpus_quality(
     oth, mine = X.runs_in(t, list(other), runs=runs), X.runs_in(t, list(own), runs=runs)
     return X.first_of(
         [
-            (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), (F.trim(t) == "", "empty"),
+            (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), (X.strip(t) == "", "empty"),
             *((t.rlike(f"[{r}]"), name) for name, r in foreign.items()),
             (t.rlike(f"[{W.SYMBOLS}]"), "symbols"), (t.rlike(r"(.)\1{6,}"), "repeat"), (t.rlike("(?i)" + W.URL) | t.rlike("(?U)" + W.EMAIL), "url"), (t.rlike(r"(?U)\d{6,}"), "digits"),
             (~t.rlike(r"\p{L}"), "noletters"), (share < least_script, names[0]), ((share > 0.995) & (n < 60), "stub"),
@@ -58,7 +58,7 @@ def pair_basic(i: Column, o: Column, allow_script: bool = False, max_chars: int
 
 def pair_strict(i: Column, o: Column, max_chars: int = 620) -> Column:
     """Empty, fence, refusal on either side, chars, two words on each side."""
-    i, o = F.trim(_t(i)), F.trim(_t(o))
+    i, o = X.strip(_t(i)), X.strip(_t(o))
     refusal = X.pyregex(W.REFUSAL_PAIRS, True)
     return X.first_of([((i == "") | (o == ""), "empty"), (i.contains("```") | o.contains("```"), "fence"), (i.rlike(refusal) | o.rlike(refusal), "refusal"), (F.length(i) + F.length(o) > max_chars, "chars"), ((X.word_count(i) < 2) | (X.word_count(o) < 2), "words")])
 
@@ -85,7 +85,7 @@ def language_gate(t: Column, lang: str, other: Sequence[str] = tuple(W.GATE_MARA
     """Empty, foreign_script, and by the slot's language: more distinct forms of another language than of its own, three of them at all, or two romanised ones."""
     t = _t(t)
     m, h = X.runs_in(t, list(other), distinct=True), X.runs_in(t, list(own), distinct=True)
-    r = F.when(F.trim(t) == "", "empty").when(t.rlike(f"[{foreign}]"), "foreign_script")
+    r = F.when(X.strip(t) == "", "empty").when(t.rlike(f"[{foreign}]"), "foreign_script")
     if lang == "hindi":
         r = r.when(m > h, F.concat(F.lit("marathi_dominated("), m, F.lit(">"), h, F.lit(")"))).when(m >= 3, F.concat(F.lit("marathi_markers("), m, F.lit(")")))
     if lang == "hinglish":
@@ -150,7 +150,7 @@ def release(q: Column, a: Column, blob: Column, needs_script: Column) -> Column:
     return X.first_of(
         [
             (X.runs_in(blob, W.AUDIT_MARATHI, distinct=True) > X.runs_in(blob, W.GATE_HINDI, distinct=True), "marathi"), (blob.rlike(f"[{W.GATE_FOREIGN}]"), "foreign_script"), ((sa < 0.30) & (sq > 0.35), "script_mirror"), ((sa > 0.35) & (sq < 0.35), "script_mirror_reverse"),
-            (dangling(F.trim(a)), "truncated"), (needs_script & (X.script_share_of_marked(blob) < 0.10), "no_devanagari"), (F.array_join(F.slice(X.words(a), 1, 18), " ").rlike(X.pyregex(W.DODGE, True)), "dodge"), (X.word_count(a) < 4, "too_short"),
+            (dangling(X.strip(a)), "truncated"), (needs_script & (X.script_share_of_marked(blob) < 0.10), "no_devanagari"), (F.array_join(F.slice(X.words(a), 1, 18), " ").rlike(X.pyregex(W.DODGE, True)), "dodge"), (X.word_count(a) < 4, "too_short"),
         ]
     )
 
@@ -160,7 +160,7 @@ def conversation(messages: Column, foreign: str = W.GATE_FOREIGN, votes: bool =
     ends_on_user, starts_on_assistant, not_alternating. Deleted flags and votes are looked at if the messages have them (``votes``)."""
 
     def one(m: Column) -> Column:
-        r = F.when(F.trim(_t(m.content)) == "", "empty")
+        r = F.when(X.strip(_t(m.content)) == "", "empty")
         if votes:
             r = r.when(F.coalesce(m.deleted, F.lit(False)), "deleted")
         r = r.when(m.content.rlike(f"[{foreign}]"), "foreign_script")
@@ -197,7 +197,7 @@ def any_turn(messages: Column, test) -> Column:
 
 def standalone_prompt(t: Column, kind: str) -> Column:
     """Whether a prompt stands by itself, by the rules for its kind: english, hindi or romanised."""
-    t = F.trim(_t(t))
+    t = X.strip(_t(t))
     w = X.words(t)
     n = F.size(w)
     if kind == "english":
@@ -221,7 +221,7 @@ def generated_prompt_language(t: Column) -> Column:
 
 def expanded_prompt(t: Column) -> Column:
     """P20: whether an expanded prompt is usable: 10 to 28 words, no link, long number or filler, a stop mark at its end."""
-    t = F.trim(_t(t))
+    t = X.strip(_t(t))
     return X.word_count(t).between(10, 28) & ~t.rlike(r"(?i)https?://|\d{3,}|lorem|TODO") & t.rlike(r"[?।.!]$")
 
 

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from corpusloom.plans import corpus_queries  # noqa: F401
+from corpusloom.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
