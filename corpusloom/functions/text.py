@@ -21,6 +21,11 @@ def pyregex(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iu)" if ignore_case else "") + pattern.replace(r"\b", BOUNDARY)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def count_chars(t: Column, char_class: str) -> Column:
     """Characters of ``t`` in the class (written without brackets)."""
     return F.length(F.regexp_replace(t, f"[^{char_class}]", ""))
@@ -77,9 +82,13 @@ def content_words(t: Column) -> Column:
 
 def trigram_uniqueness(w: Column) -> Column:
     """F8: distinct word trigrams over trigrams of an array of words; null below three words."""
-    n = F.size(w)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.array_join(F.slice(w, i, 3), "\x01"))
-    return F.when(n >= 3, F.size(F.array_distinct(grams)) / (n - 2))
+
+    def unique(w: Column) -> Column:
+        n = F.size(w)
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.concat_ws("\x01", F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
+        return F.when(n >= 3, F.size(F.array_distinct(grams)) / (n - 2))
+
+    return let(w, unique)
 
 
 def sha1_key(t: Column, hexes: int = 16) -> Column:
@@ -220,11 +229,14 @@ def search_terms(t: Column, stopwords: list[str]) -> Column:
 
 def bigram_set(t: Column, stopwords: list[str]) -> Column:
     """distinct pairs of neighbouring words of which not both are stop words."""
-    w = F.filter(F.split(F.regexp_replace(F.lower(t), r"[^a-z0-9\s]", " "), r"\s+"), lambda x: x != "")
-    n = F.size(w)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.slice(w, i, 2))
-    pairs = F.filter(pairs, lambda p: (F.size(p) == 2) & ~(F.try_element_at(p, F.lit(1)).isin(stopwords) & F.try_element_at(p, F.lit(2)).isin(stopwords)))
-    return F.when(n >= 2, F.array_distinct(F.transform(pairs, lambda p: F.array_join(p, " ")))).otherwise(F.array().cast("array<string>"))
+
+    def pairs(w: Column) -> Column:
+        n = F.size(w)
+        both = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(F.get(w, i - 1).alias("a"), F.get(w, i).alias("b")))
+        both = F.filter(both, lambda p: p["b"].isNotNull() & ~(p["a"].isin(stopwords) & p["b"].isin(stopwords)))
+        return F.array_distinct(F.transform(both, lambda p: F.concat_ws(" ", p["a"], p["b"])))
+
+    return let(F.filter(F.split(F.regexp_replace(F.lower(t), r"[^a-z0-9\s]", " "), r"\s+"), lambda x: x != ""), pairs)
 
 
 def query_mood(t: Column) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +55,6 @@ def top_k_each(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k:
         def best(it, held=held):
             ids, m = held.value
             m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-            import pandas as pd
-
             top: dict[int, list] = {}
             for b in it:
                 v = np.stack(b[vector].to_numpy()).astype(np.float64)
@@ -80,11 +80,16 @@ def top_k_each(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k:
 
 def mean_pooled(vectors: Column) -> Column:
     """The mean of an array of vectors, with length 1 (as it is if it has none)."""
-    n = F.size(vectors)
-    total = F.aggregate(F.slice(vectors, 2, F.greatest(n - 1, F.lit(0))), F.transform(F.try_element_at(vectors, F.lit(1)), lambda x: x.cast("double")), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-    mean = F.transform(total, lambda x: x / n)
-    length = norm(mean)
-    return F.when(length > 0, F.transform(mean, lambda x: x / length)).otherwise(mean)
+
+    def mean(v: Column) -> Column:
+        first = F.transform(F.get(v, F.lit(0)), lambda x: x.cast("double"))
+        total = F.aggregate(F.slice(v, 2, F.greatest(F.size(v) - 1, F.lit(0))), first, lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
+        return F.transform(total, lambda x: x / F.size(v))
+
+    def unit(m: Column) -> Column:
+        return X.let(norm(m), lambda n: F.when(n > 0, F.transform(m, lambda x: x / n)).otherwise(m))
+
+    return X.let(X.let(vectors, mean), unit)
 
 
 def bm25(docs: DataFrame, key: str, fields: Mapping[str, int], query: str, stopwords: Sequence[str], k1: float = 1.5, b: float = 0.75) -> DataFrame:
@@ -96,15 +101,19 @@ def bm25(docs: DataFrame, key: str, fields: Mapping[str, int], query: str, stopw
     if not q:
         return d.select(key, F.lit(0.0).alias("score")).limit(0)
     each = {t: q.count(t) for t in q}
-    tf = [F.size(F.filter("_t", lambda x, t=t: x == t)).alias(f"_f{i}") for i, t in enumerate(each)]
+
+    def times(term: str) -> Column:
+        return F.size(F.filter("_t", lambda x: x == term))
+
+    tf = [times(t).alias(f"_f{i}") for i, t in enumerate(each)]
     d = d.select(key, "_dl", *tf)
     stats = d.agg(F.count("*").alias("_n"), F.avg("_dl").alias("_avg"), *(F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(each))))
     j = d.join(F.broadcast(stats), F.lit(True))
     score = F.lit(0.0)
-    for i, times in enumerate(each.values()):
+    for i, repeats in enumerate(each.values()):
         f, df = F.col(f"_f{i}"), F.col(f"_d{i}")
         idf = F.log((F.col("_n") - df + 0.5) / (df + 0.5) + 1)
-        score = score + times * idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_dl") / F.greatest(F.col("_avg"), F.lit(1e-9))))
+        score = score + repeats * idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_dl") / F.greatest(F.col("_avg"), F.lit(1e-9))))
     return j.select(key, score.alias("score")).where("score > 0")
 
 
@@ -133,7 +142,7 @@ def max_sim(query: Column, doc: Column) -> Column:
 def keyword_match(items: DataFrame, key: str, keywords: str, query: str) -> DataFrame:
     """The one best row by keywords in the query (2 for a phrase, 1 for a word) with its confidence; no row if it is below 1 or not the only best."""
     q = query.lower()
-    tokens = [t for t in __import__("re").findall(r"\w+", q)]
+    tokens = re.findall(r"\w+", q)
     s = F.aggregate(F.transform(keywords, lambda w: F.when(F.contains(w, F.lit(" ")), F.when(F.contains(F.lit(q), F.lower(w)), 2.0).otherwise(0.0)).otherwise(F.when(F.lower(w).isin(tokens), 1.0).otherwise(0.0))), F.lit(0.0), lambda a, x: a + x)
     two = items.select(key, s.alias("score")).where("score >= 1").orderBy(F.col("score").desc(), key).limit(2)
     w = Window.orderBy(F.col("score").desc(), key)  # two rows
@@ -143,6 +152,10 @@ def keyword_match(items: DataFrame, key: str, keywords: str, query: str) -> Data
 
 def faithfulness(answer: Column, source: Column, stopwords: Sequence[str], least: float = 0.10) -> Column:
     """Whether the Jaccard similarity of the texts' word pairs reaches a threshold; true without a source, false without pairs."""
-    a, b = X.bigram_set(answer, list(stopwords)), X.bigram_set(source, list(stopwords))
-    j = F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
-    return F.when(source.isNull(), True).when((F.size(a) == 0) | (F.size(b) == 0), False).otherwise(j >= least)
+
+    def compare(p: Column) -> Column:
+        j = F.try_divide(F.size(F.array_intersect(p["a"], p["b"])), F.size(F.array_union(p["a"], p["b"])))
+        return F.when((F.size(p["a"]) == 0) | (F.size(p["b"]) == 0), False).otherwise(j >= least)
+
+    sets = F.struct(X.bigram_set(answer, list(stopwords)).alias("a"), X.bigram_set(source, list(stopwords)).alias("b"))
+    return F.when(source.isNull(), True).otherwise(X.let(sets, compare))
