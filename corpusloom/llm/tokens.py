@@ -69,7 +69,7 @@ class DoubleArray:
                 t += 1
                 if t + 600 > len(used):
                     used.extend(bytes(len(used)))
-            if full > 0.9 * (t - begun + 1):
+            if full > 0.5 * (t - begun + 1):
                 front = t
             base_of[s] = t - low
             for c in codes_:
@@ -173,6 +173,7 @@ def zipf_scores(pieces: list[str]) -> dict[str, float]:
     return {p: -math.log(i + ZIPF_SHIFT) for i, p in enumerate(pieces)}
 
 
+@lru_cache(2)
 def load_unigram(path: str = VOCABULARY) -> Unigram:
     """The vocabulary of a SentencePiece model: with its own scores if it is a unigram model, by rank if not.
 
