@@ -28,7 +28,7 @@ def let(value: Column, body) -> Column:
 
 def count_chars(t: Column, char_class: str) -> Column:
     """Characters of ``t`` in the class (written without brackets)."""
-    return F.length(F.regexp_replace(t, f"[^{char_class}]", ""))
+    return F.length(F.regexp_replace(t, f"[^{char_class}]+", ""))
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -42,7 +42,7 @@ def script_share_of_text(t: Column, script: str = DEVANAGARI) -> Column:
 
 def script_share_of_letters(t: Column, script: str = DEVANAGARI) -> Column:
     """letters of the script over letters. Vowel signs are no letters."""
-    letters = F.regexp_replace(t, r"[^\p{L}]", "")
+    letters = F.regexp_replace(t, r"[^\p{L}]+", "")
     return _share(count_chars(letters, script), F.length(letters))
 
 
@@ -256,6 +256,11 @@ def task_priority(t: Column) -> Column:
     return F.when(s.rlike(r"\b(urgent|asap|immediately|critical|high priority|today)\b"), "high").when(s.rlike(r"\b(low priority|whenever|eventually|nice to have|someday)\b"), "low").otherwise("medium")
 
 
+def whole_words(listed: list[str]) -> str:
+    r"""A pattern of the listed words between Python's word boundaries; the words must consist of what \w matches."""
+    return rf"(?iu)(?<!{WORD_CHAR})(?:{'|'.join(listed)})(?!{WORD_CHAR})"
+
+
 def first_of(cases: list[tuple[Column, str]]) -> Column:
     """The first reason whose condition holds, null if none does. A condition that is null doesn't hold."""
     return reduce(lambda acc, c: acc.when(c[0], F.lit(c[1])), cases[1:], F.when(cases[0][0], F.lit(cases[0][1])))

@@ -29,20 +29,34 @@ def corpus_quality(
     """Short, long, chars, empty, a foreign script by name, symbols, repeat, url, digits, noletters, wrong script, stub,
     other language (by markers), english, loopy. ``empty`` only shows where short texts are allowed (a text without words is short)."""
     t = _t(t)
-    w = X.words(t)
-    n = F.size(w)
     share = X.script_share_of_letters(t, script)
-    oth, mine = X.runs_in(t, list(other), runs=runs), X.runs_in(t, list(own), runs=runs)
-    return X.first_of(
-        [
-            (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), (X.strip(t) == "", "empty"),
-            *((t.rlike(f"[{r}]"), name) for name, r in foreign.items()),
-            (t.rlike(f"[{W.SYMBOLS}]"), "symbols"), (t.rlike(r"(.)\1{6,}"), "repeat"), (t.rlike("(?i)" + W.URL) | t.rlike("(?U)" + W.EMAIL), "url"), (t.rlike(r"(?U)\d{6,}"), "digits"),
-            (~t.rlike(r"\p{L}"), "noletters"), (share < least_script, names[0]), ((share > 0.995) & (n < 60), "stub"),
-            ((oth > 0) & (oth > mine), names[1]), ((oth >= 3) & (oth >= 2 * F.greatest(F.lit(1), mine)), names[2]),
-            (F.regexp_count(t, F.lit(X.pyregex(rf"\b(?:{'|'.join(W.ENGLISH_FUNCTION)})\b", True))) >= english, "english"), (X.trigram_uniqueness(w) < uniqueness, "loopy"),
-        ]
-    )
+    markers = F.struct(X.runs_in(t, list(other), runs=runs).alias("other"), X.runs_in(t, list(own), runs=runs).alias("own"))
+
+    def by_share(share: Column, n: Column) -> Column:
+        return X.first_of([(share < least_script, names[0]), ((share > 0.995) & (n < 60), "stub")])
+
+    def by_markers(m: Column) -> Column:
+        oth, mine = m["other"], m["own"]
+        return X.first_of([((oth > 0) & (oth > mine), names[1]), ((oth >= 3) & (oth >= 2 * F.greatest(F.lit(1), mine)), names[2])])
+
+    def reason(w: Column) -> Column:
+        # Each step is computed only if the ones before gave no reason, and its parts once.
+        n = F.size(w)
+        any_foreign = t.rlike(f"[{''.join(foreign.values())}]")
+        return F.coalesce(
+            X.first_of([(n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), (X.strip(t) == "", "empty")]),
+            F.when(any_foreign, X.first_of([(t.rlike(f"[{r}]"), name) for name, r in foreign.items()])) if foreign else F.lit(None).cast("string"),
+            X.first_of(
+                [
+                    (t.rlike(f"[{W.SYMBOLS}]"), "symbols"), (t.rlike(r"(.)\1{6,}"), "repeat"), (t.rlike("(?i)" + W.URL) | (t.contains("@") & t.rlike("(?U)" + W.EMAIL)), "url"), (t.rlike(r"(?U)\d{6,}"), "digits"), (~t.rlike(r"\p{L}"), "noletters"),
+                ]
+            ),
+            X.let(share, lambda s: by_share(s, n)),
+            X.let(markers, by_markers),
+            X.first_of([(F.regexp_count(t, F.lit(X.whole_words(W.ENGLISH_FUNCTION))) >= english, "english"), (X.trigram_uniqueness(w) < uniqueness, "loopy")]),
+        )
+
+    return X.let(X.words(t), reason)
 
 
 def pair_basic(i: Column, o: Column, allow_script: bool = False, max_chars: int | None = None, script: str = X.DEVANAGARI) -> Column:
@@ -89,7 +103,7 @@ def language_gate(t: Column, lang: str, other: Sequence[str] = tuple(W.GATE_MARA
     if lang == "hindi":
         r = r.when(m > h, F.concat(F.lit("marathi_dominated("), m, F.lit(">"), h, F.lit(")"))).when(m >= 3, F.concat(F.lit("marathi_markers("), m, F.lit(")")))
     if lang == "hinglish":
-        r = r.when(F.regexp_count(t, F.lit(X.pyregex(rf"\b(?:{'|'.join(latin)})\b", True))) >= 2, "marathi_romanised")
+        r = r.when(F.regexp_count(t, F.lit(X.whole_words(list(latin)))) >= 2, "marathi_romanised")
     return r
 
 
