@@ -201,7 +201,8 @@ def corner_box(v: Column) -> Column:
 
 
 def multi_hot(labels: Column, classes: list[str]) -> Column:
-    """F32: 1.0 for each class among the labels, in order of classes; a label that is no class raises an error."""
+    """F32: 1.0 for each class among the labels, in order of classes; a label that is no class raises an error, a null one is none."""
+    labels = F.array_compact(labels)
     known = F.array(*map(F.lit, classes))
     hot = F.transform(known, lambda c: F.array_contains(labels, c).cast("double"))
     return F.when(F.size(F.array_except(labels, known)) > 0, F.raise_error("unknown label").cast("array<double>")).otherwise(hot)

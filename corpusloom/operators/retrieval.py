@@ -27,8 +27,10 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(F.size(a) != F.size(b), F.raise_error("lengths differ").cast("double")).when(n == 0, 0.0).otherwise(dot(a, b) / n)
 
 
-def top_k(vectors: DataFrame, key: str, vector: str, query: Sequence[float], k: int, least: float | None = None) -> DataFrame:
-    """The ``k`` rows most similar to one vector (score rounded to 6 places, then by key), of those that reach ``least``."""
+def top_k(vectors: DataFrame, key: str, vector: str, query: Sequence[float] | None, k: int, least: float | None = None) -> DataFrame:
+    """The ``k`` rows most similar to one vector (score rounded to 6 places, then by key), of those that reach ``least``; none without a vector."""
+    if query is None:
+        return vectors.select(key, F.lit(0.0).alias("score")).limit(0)
     s = vectors.where(F.col(vector).isNotNull()).select(key, F.round(cosine(F.col(vector), F.array(*map(F.lit, map(float, query)))), 6).alias("score"))
     if least is not None:
         s = s.where(F.col("score") >= least)

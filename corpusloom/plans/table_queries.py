@@ -522,7 +522,7 @@ def _(t):
 
 @query("r03_top_k", f"SELECT a.vec_id, {_cos} score FROM embeddings a, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) b ORDER BY score DESC, vec_id LIMIT 10")
 def _(t):
-    q = t.embeddings.orderBy("vec_id").select("embedding").first()[0]
+    q = (t.embeddings.orderBy("vec_id").select("embedding").first() or [None])[0]
     return R.top_k(t.embeddings, "vec_id", "embedding", q, 10)
 
 
@@ -567,7 +567,7 @@ def _(t):
 
 @query("r11_threshold", f"SELECT a.vec_id, {_cos} score FROM embeddings a, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) b WHERE {_cos} >= 0.2 ORDER BY score DESC, vec_id LIMIT 50")
 def _(t):
-    q = t.embeddings.orderBy("vec_id").select("embedding").first()[0]
+    q = (t.embeddings.orderBy("vec_id").select("embedding").first() or [None])[0]
     return R.top_k(t.embeddings, "vec_id", "embedding", q, 50, 0.2)
 
 
