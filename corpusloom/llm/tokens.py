@@ -242,8 +242,8 @@ def exact_counter(model: bytes) -> Counter:
     """Counts as the SentencePiece model itself does. Sound where no piece has a blank after another character, as in its vocabularies."""
 
     def count(parts: list[bytes]) -> np.ndarray:
-        # The processor puts a blank before each text itself.
-        return np.array([len(x) for x in _piece_processor(model).encode([p[1:].decode() for p in parts], num_threads=1)], dtype=np.int64)
+        # The processor puts a blank before each text itself, but not before an empty one.
+        return np.array([max(1, len(x)) for x in _piece_processor(model).encode([p[1:].decode() for p in parts], num_threads=1)], dtype=np.int64)
 
     return Counter(count)
 
