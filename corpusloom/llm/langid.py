@@ -24,7 +24,7 @@ from corpusloom.llm.seeds import SEEDS
 #: Labelled rows the dictionaries are made of, at most (twice this at worst); and bytes of each dictionary, at most.
 SAMPLE_ROWS, DICT_BYTES = 8000, 64 << 10
 #: A sentence is decided if the next dictionary needs more bytes by this much and by this share of the smallest size.
-MARGIN_BYTES, MARGIN_SHARE = 2, 0.04
+MARGIN_BYTES, MARGIN_SHARE = 3, 0.04
 #: Compression level of the first look at a sentence, and of the second look at those it rejects.
 LEVEL, SLOW_LEVEL = 6, 19
 #: Texts with fewer words that contain a letter have no language of their own.

@@ -27,6 +27,8 @@ BITS, DIMENSIONS, ORDERS = 19, 8, (3, 4, 5)
 STEPS, ROUNDS, RATE, DECAY, EPSILON, ABUSIVE_SHARE, SEED = 36, 3, 0.05, 1e-7, 1e-7, 0.3, 7
 #: A feature counts if so many words or pairs have it. Odds from which the best passage of an abusive document, and any of its passages, is meant.
 MIN_SEEN, FIRST_ODDS, SURE_ODDS = 3, 1.0, 1.8
+#: Documents' worth of no evidence that every word's odds start from.
+SMOOTH = 2.0
 #: A passage that scores at least this is abusive. Passages of more words are scored in windows of WINDOW words as well.
 THRESHOLD, LONG, WINDOW = 0.5, 22, 14
 #: A passage of fewer words says too little; it counts with its neighbours where a line break alone made it short.
@@ -212,7 +214,9 @@ def _evidence(p: Passages, doc: np.ndarray, docs: np.ndarray) -> np.ndarray:
     seen = np.unique(inv * np.int64(len(docs)) + p.row[of])
     f, d = seen // len(docs), seen % len(docs)
     pos, neg = np.bincount(f, docs[d], len(key)), np.bincount(f, ~docs[d], len(key))
-    odds = np.log((pos + 0.5) / (docs.sum() + 1)) - np.log((neg + 0.5) / ((~docs).sum() + 1))
+    # Smoothed towards no evidence: a feature of few documents says little.
+    share = (docs.sum() + 1) / (len(docs) + 2)
+    odds = np.log((pos + SMOOTH * share) / share) - np.log((neg + SMOOTH * (1 - share)) / (1 - share))
     odds[pos + neg < 3] = 0
     total, count = np.bincount(of, odds[inv], len(p)), np.bincount(of, minlength=len(p))
     return total / np.maximum(count, 1)
