@@ -18,16 +18,41 @@ def uniform(key: Column) -> Column:
     return F.conv(F.substring(F.sha1(F.encode(key.cast("string"), "UTF-8")), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
+#: Buckets that a group's order of chance is cut into: hex digits of the SHA-1.
+DIGITS = 3
+
+
+def chance_rank(df: DataFrame, by: Sequence[str], key: Column, seed: int) -> DataFrame:
+    """``df`` with ``_rank``: each row's exact place, from 1, in its group's order of chance, and ``_size``: its group's rows.
+
+    A group of any size is cut into 4096 buckets by the first digits of the chance: buckets are counted, and rows are only
+    sorted within one, so that no task holds a hot group.
+    """
+    d = df.withColumn("_chance", chance_order(key, seed)).withColumn("_bucket", F.left("_chance", F.lit(DIGITS))).withColumn("_key", key)
+    counts = d.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*by)
+    before = counts.select(*(F.col(b).alias(f"_by_{b}") for b in by), F.col("_bucket").alias("_b"), (F.sum("_n").over(w.orderBy("_bucket")) - F.col("_n")).alias("_before"), F.sum("_n").over(w).alias("_size"))
+    same = d["_bucket"] == before["_b"]
+    for b in by:
+        same = same & d[b].eqNullSafe(before[f"_by_{b}"])
+    inner = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_chance", "_key"))
+    return d.join(before, same).withColumn("_rank", F.col("_before") + inner).select(*df.columns, "_rank", "_size")
+
+
 def first_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """``k`` rows of each group in order. A limit by rank prunes within tasks before the shuffle."""
+    """``k`` rows of each group in order. A limit by rank prunes within tasks before the shuffle."""
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= k).drop("_r")
 
 
+def sample_each(df: DataFrame, by: Sequence[str], key: Column, seed: int, k: int) -> DataFrame:
+    """L1: ``k`` rows of each group in order of chance."""
+    return chance_rank(df, by, key, seed).where(F.col("_rank") <= k).drop("_rank", "_size")
+
+
 def quotas(df: DataFrame, group: str, wanted: Mapping[str, int], key: Column, seed: int) -> DataFrame:
     """As many rows of each group as it is given, in order of chance; groups without a quota give none."""
     q = F.try_element_at(F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv]), F.col(group))
-    r = F.row_number().over(Window.partitionBy(group).orderBy(chance_order(key, seed), key))
-    return df.withColumn("_q", q).where("_q is not null").withColumn("_r", r).where("_r <= _q").drop("_q", "_r")
+    return chance_rank(df.where(q.isNotNull()), [group], key, seed).where(F.col("_rank") <= q).drop("_rank", "_size")
 
 
 def shortage(taken: DataFrame, group: str, wanted: Mapping[str, int]) -> DataFrame:
@@ -38,17 +63,15 @@ def shortage(taken: DataFrame, group: str, wanted: Mapping[str, int]) -> DataFra
 
 def stratified(df: DataFrame, stratum: str, key: Column, share: float, seed: int) -> DataFrame:
     """``split`` train for round(n share) rows of each stratum (half-even), test for the others."""
-    w = Window.partitionBy(stratum)
-    r = F.row_number().over(w.orderBy(chance_order(key, seed), key))
-    return df.withColumn("split", F.when(r <= F.bround(F.count("*").over(w) * share), "train").otherwise("test"))
+    r = chance_rank(df, [stratum], key, seed)
+    return r.withColumn("split", F.when(F.col("_rank") <= F.bround(F.col("_size") * share), "train").otherwise("test")).drop("_rank", "_size")
 
 
 def three_way(df: DataFrame, stratum: str, key: Column, seed: int) -> DataFrame:
     """Eval and test take a tenth each from the front, at least one each in strata of three or more; of two one goes to test; one alone is train."""
-    w = Window.partitionBy(stratum)
-    n, r = F.count("*").over(w), F.row_number().over(w.orderBy(chance_order(key, seed), key))
+    n, r = F.col("_size"), F.col("_rank")
     tenth = F.greatest(F.lit(1), F.floor(n * 0.1))
-    return df.withColumn("split", F.when(n == 1, "train").when(n == 2, F.when(r == 1, "test").otherwise("train")).when(r <= tenth, "eval").when(r <= 2 * tenth, "test").otherwise("train"))
+    return chance_rank(df, [stratum], key, seed).withColumn("split", F.when(n == 1, "train").when(n == 2, F.when(r == 1, "test").otherwise("train")).when(r <= tenth, "eval").when(r <= 2 * tenth, "test").otherwise("train")).drop("_rank", "_size")
 
 
 def uniform_split(df: DataFrame, key: Column, share: float) -> DataFrame:

@@ -310,7 +310,7 @@ def _chance(seed: int, key: str) -> str:
 
 @query("l01_sample_per_source", f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY {_chance(3407, 'doc_id')}) r FROM documents WHERE n_chars >= 300) WHERE r <= 20")
 def _(t):
-    return L.first_k(t.documents.where("n_chars >= 300"), ["source"], [L.chance_order(c("doc_id"), 3407)], 20).select("doc_id")
+    return L.sample_each(t.documents.where("n_chars >= 300"), ["source"], c("doc_id"), 3407, 20).select("doc_id")
 
 
 _quota = {"forum_mix": 30, "wiki_en": 500, "notices": 5}
