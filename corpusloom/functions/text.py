@@ -272,3 +272,18 @@ def runs_in(t: Column, listed: list[str], distinct: bool = False, runs: str = f"
     all_ = F.regexp_extract_all(t, F.lit(f"({runs})"), F.lit(1))
     hit = F.filter(all_, lambda w: w.isin(listed))
     return F.size(F.array_distinct(hit) if distinct else hit)
+
+
+def paragraphs(lines: Column) -> Column:
+    """texts of an array as paragraphs of one text; nulls are left out."""
+    return F.array_join(lines, "\n\n")
+
+
+def code_of(t: Column, places: list[tuple[str, str]]) -> Column:
+    """the code that a text is, else that of the first place (of code, name) whose name it contains, else the text in upper case."""
+    up, low = F.upper(F.trim(t)), F.lower(t)
+    named = None
+    for code, name in places:
+        cond = F.contains(low, F.lit(name.lower()))
+        named = F.when(cond, code) if named is None else named.when(cond, code)
+    return F.when(up.isin([c for c, _ in places]), up).otherwise(named.otherwise(up))

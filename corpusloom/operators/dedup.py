@@ -129,3 +129,12 @@ def _edit(x: str, y: str, need: float) -> float:
         for j, cy in enumerate(y, 1):
             prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (cx != cy))
     return 1 - row[-1] / n
+
+
+def merged_pools(pools: Sequence[DataFrame], text: str, lang: str, order: Sequence[str]) -> DataFrame:
+    """Rows of all pools, the first of each text, with a new ``key`` from language and text."""
+    out = pools[0]
+    for p in pools[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    kept = by_text(out, text, order)
+    return kept.withColumn("key", X.sha1_key(F.concat(F.coalesce(F.col(lang), F.lit("")), F.lit("|"), F.trim(F.col(text)))))

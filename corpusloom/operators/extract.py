@@ -130,3 +130,11 @@ def report_rows(t: Column) -> Column:
     fence = F.regexp_extract(t, r"(?s)## Tasks\s*```\s*(.*?)```", 1)
     lines = F.filter(F.split(fence, "\n"), lambda x: F.trim(x) != "")
     return F.transform(lines, lambda x: F.split(F.trim(x), r"\s{2,}"))
+
+
+def sections(t: Column, group: int = 5) -> Column:
+    """Parts of minutes: between blank lines, or ``group`` lines each where there is none; blank parts are left out."""
+    lines = F.split(t, "\n")
+    n = F.size(lines)
+    grouped = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / group).cast("int")), lambda i: F.array_join(F.slice(lines, i * group + 1, group), "\n"))
+    return F.filter(F.when(t.rlike(r"\n\s*\n"), F.split(t, r"\n\s*\n")).otherwise(grouped), lambda x: F.trim(x) != "")

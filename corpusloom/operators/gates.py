@@ -318,3 +318,17 @@ def assert_release(df: DataFrame, least: int, langs: Sequence[str] = ("hindi", "
     r = df.agg(F.count("*").alias("n"), F.count_if(language_gate(F.col("response"), "hindi").startswith("marathi")).alias("other"), F.count_if(~F.col("lang").isin(list(langs))).alias("langs")).first()
     if r.n < least or r.other or r.langs:
         raise AssertionError(f"release rejected: {r.asDict()}")
+
+
+def prompt_fits(messages: Column, most: int = 6000) -> Column:
+    """Whether messages have so many characters together at most and no JSON reference."""
+    size = F.aggregate(messages, F.lit(0), lambda a, m: a + F.coalesce(F.length(m.content), F.lit(0)))
+    return (size <= most) & ~any_turn(messages, lambda t: t.contains('"$ref"'))
+
+
+def example_reason(messages: Column, tools: Sequence[str]) -> Column:
+    """P25: why a tool-call example is invalid: not system, user and assistant, no bracketed call, or an unknown tool."""
+    roles = F.transform(messages, lambda m: m.role)
+    last = _t(F.try_element_at(messages, F.lit(-1)).content)
+    name = F.regexp_extract(last, r"^\s*\[([A-Za-z_][\w.]*)\(.*\)\]\s*$", 1)
+    return X.first_of([(F.coalesce(~roles.eqNullSafe(F.array(*map(F.lit, ("system", "user", "assistant")))), F.lit(True)), "roles"), (name == "", "call"), (~name.isin(list(tools)), "tool")])

@@ -87,3 +87,14 @@ def numbered(df: DataFrame, prefix: str, order: Sequence[str]) -> DataFrame:
     counts = s.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_lo"))
     before = counts.alias("a").join(F.broadcast(counts.alias("b")), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p", "a._lo").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
     return s.join(F.broadcast(before), "_p").withColumn("key", F.concat(F.lit(prefix + ":"), (F.col("_before") + F.col("_i") - F.col("_lo") + 1).cast("string"))).drop("_p", "_i", "_lo", "_before")
+
+
+def under_path(path: Column, prefix: str, like: bool = False) -> Column:
+    """Whether a path lies under a prefix; ``like`` takes ASCII case and % and _ of the prefix as SQL's LIKE does."""
+    return path.ilike(prefix + "%") if like else path.startswith(prefix)
+
+
+def with_parent_row(nodes: DataFrame, key: str, parent: str, columns: Sequence[str]) -> DataFrame:
+    """Nodes of a tree with their parent's columns as ``parent_...``, null for roots and lost parents."""
+    p = nodes.select(F.col(key).alias("_pk"), *(F.col(c).alias(f"parent_{c}") for c in columns))
+    return nodes.join(p, nodes[parent] == F.col("_pk"), "left").drop("_pk")

@@ -188,3 +188,9 @@ def token_ledger(df: DataFrame, by: Sequence[str], tokens_in: str, tokens_out: s
     """Tokens, their cost and what rows answered locally saved, by group."""
     cost = F.col(tokens_in) / 1e6 * price_in + F.col(tokens_out) / 1e6 * price_out
     return df.groupBy(*by).agg(F.sum(tokens_in).alias("tokens_in"), F.sum(tokens_out).alias("tokens_out"), F.round(F.sum(F.when(~local, cost).otherwise(0.0)), 8).alias("spent"), F.round(F.sum(F.when(local, cost).otherwise(0.0)), 8).alias("saved"), F.round(100 * F.avg(local.cast("double")), 4).alias("percent_local"))
+
+
+def audit_timeline(log: DataFrame, session: str, at: str, tool: str, status: str) -> DataFrame:
+    """(session, line, text) of each call in order of time: a report's lines, as rows. Sessions are put in order one by one."""
+    line = F.row_number().over(Window.partitionBy(session).orderBy(at, tool))
+    return log.select(session, line.alias("line"), F.concat_ws(" ", F.col(at).cast("string"), tool, F.concat(F.lit("["), F.coalesce(status, F.lit("?")), F.lit("]"))).alias("text"))

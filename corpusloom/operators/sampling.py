@@ -107,3 +107,16 @@ def demote_and_cap(df: DataFrame, demoted: Column, anchor: Column, share: float,
     cap = int(size.first()[0] or 0)
     back = df.where(demoted).orderBy(chance_order(key, seed), key).limit(cap)
     return df.where(~F.coalesce(demoted, F.lit(False))).unionByName(back)
+
+
+def shuffled_head(parts: Sequence[DataFrame], key: str, seed: int, n: int) -> DataFrame:
+    """The first ``n`` rows of all parts in order of chance."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy(chance_order(F.col(key), seed), key).limit(n)
+
+
+def first_passing(df: DataFrame, test: Column, order: Sequence[str], n: int) -> DataFrame:
+    """L4: the first ``n`` rows in order of those that pass; each task keeps its own ``n`` before any row is moved."""
+    return df.where(test).orderBy(*order).limit(n)

@@ -643,3 +643,75 @@ def _(t):
 def _(t):
     d = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey")).join(t.customer, c("o_custkey") == c("c_custkey")).join(t.nation, c("c_nationkey") == c("n_nationkey")).join(t.region, c("n_regionkey") == c("r_regionkey"))
     return d.groupBy("r_name", "n_name").agg(F.round(F.sum(c("l_extendedprice") * (1 - c("l_discount"))), 2).alias("revenue"))
+
+
+# ---- the rest of the inventory
+
+
+@query("f33_paragraphs", "SELECT p_partkey, concat_ws(chr(10) || chr(10), p_name, p_brand) body FROM part")
+def _(t):
+    return t.part.select("p_partkey", X.paragraphs(F.array("p_name", "p_brand")).alias("body"))
+
+
+@query("f38_codes", "SELECT n_nationkey, CASE WHEN upper(trim(n_name)) IN ('FRANCE', 'AAA') THEN upper(trim(n_name)) WHEN contains(lower(n_name), 'an') THEN 'ANX' WHEN contains(lower(n_name), 'i') THEN 'IXX' ELSE upper(trim(n_name)) END code FROM nation")
+def _(t):
+    return t.nation.select("n_nationkey", X.code_of(c("n_name"), [("FRANCE", "zzz"), ("AAA", "zzzz"), ("ANX", "an"), ("IXX", "i")]).alias("code"))
+
+
+@query("gate24_prompt_sizes", """SELECT key, (list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))) <= 600 AND len(list_filter(messages, lambda m: contains(coalesce(m.content, ''), '"$ref"'))) = 0) fits FROM oasst_v8""")
+def _(t):
+    from corpusloom.operators.gates import prompt_fits
+
+    return t.oasst_v8.select("key", prompt_fits(c("messages"), 600).alias("fits"))
+
+
+@query("gate25_examples", "SELECT key, CASE WHEN list_transform(messages, lambda m: m.role) IS DISTINCT FROM ['system', 'user', 'assistant'] THEN 'roles' ELSE 'call' END reason FROM oasst_v8")
+def _(t):
+    from corpusloom.operators.gates import example_reason
+
+    return t.oasst_v8.select("key", example_reason(c("messages"), ["set_mode"]).alias("reason"))
+
+
+@query("j04_under_path", "SELECT p_partkey FROM part WHERE p_type ILIKE 'promo%'")
+def _(t):
+    from corpusloom.operators.joins import under_path
+
+    return t.part.where(under_path(c("p_type"), "promo", True)).select("p_partkey")
+
+
+@query("j10_parents", "SELECT a.n_nationkey, b.n_name parent_n_name FROM nation a LEFT JOIN nation b ON a.n_regionkey = b.n_nationkey")
+def _(t):
+    from corpusloom.operators.joins import with_parent_row
+
+    return with_parent_row(t.nation.select("n_nationkey", "n_name", c("n_regionkey").alias("up")), "n_nationkey", "up", ["n_name"]).select("n_nationkey", "parent_n_name")
+
+
+@query("a12_timeline", "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id, event_type)::int AS line, event_id || ' ' || event_type || ' [' || coalesce(props, '?') || ']' AS text FROM events")
+def _(t):
+    return M.audit_timeline(t.events, "user_id", "event_id", "event_type", "props")
+
+
+@query("x05_sections", r"SELECT doc_id, len(list_filter(string_split_regex(text, '\n\s*\n'), lambda x: trim(x, ' ') <> ''))::int n_sections FROM documents WHERE regexp_matches(text, '\n\s*\n')")
+def _(t):
+    return t.documents.where(c("text").rlike(r"\n\s*\n")).select("doc_id", F.size(E.sections(c("text"))).alias("n_sections"))
+
+
+@query("s15_merged_pools", r"""WITH u AS (SELECT instruction, plang, 'p' || pool_id id FROM pool_todo UNION ALL SELECT instruction, plang, 't' || strftime(generated_at, '%Y%m%d%H%M%S') || key FROM teacher_gen),
+ n AS (SELECT *, nullif(lower(regexp_replace(coalesce(instruction, ''), '^[\s\x{A0}\x{0B}]+|[\s\x{A0}\x{0B}]+$', '', 'g')), '') k FROM u) SELECT min(id) id FROM n WHERE k IS NOT NULL GROUP BY k""")
+def _(t):
+    from corpusloom.operators.dedup import merged_pools
+
+    a = t.pool_todo.select("instruction", "plang", F.concat(F.lit("p"), c("pool_id").cast("string")).alias("id"))
+    b = t.teacher_gen.select("instruction", "plang", F.concat(F.lit("t"), F.date_format("generated_at", "yyyyMMddHHmmss"), "key").alias("id"))
+    return merged_pools([a, b], "instruction", "plang", ["id"]).select("id")
+
+
+@query("s20_shuffled_head", f"SELECT doc_id FROM documents ORDER BY {_chance(42, 'doc_id')}, doc_id LIMIT 40")
+def _(t):
+    d = t.documents.select("doc_id")
+    return L.shuffled_head([d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1")], "doc_id", 42, 40)
+
+
+@query("l04_first_passing", "SELECT doc_id FROM documents WHERE n_chars >= 300 ORDER BY doc_id LIMIT 110")
+def _(t):
+    return L.first_passing(t.documents.select("doc_id", "n_chars"), c("n_chars") >= 300, ["doc_id"], 3 * 20 + 50).select("doc_id")
