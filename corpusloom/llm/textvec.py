@@ -148,6 +148,18 @@ def take(table: np.ndarray, c: np.ndarray) -> np.ndarray:
     return table[c]
 
 
+@lru_cache(16)
+def _flags(chars: str) -> np.ndarray:
+    t = np.zeros(_TOP, dtype=bool)
+    t[[ord(c) for c in chars]] = True
+    return t
+
+
+def among(c: np.ndarray, chars: str) -> np.ndarray:
+    """Whether each code point is one of ``chars``."""
+    return take(_flags(chars), c)
+
+
 def folded(x: Codes) -> Codes:
     """Lower case, compatibility forms, accents, nuktas, look-alikes and digits folded; invisible characters dropped."""
     c = take(tables()[0], x.c)
@@ -272,7 +284,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | list[str], most: int
 
 
 # Sentence ends: full stop, question and exclamation marks, danda, double danda, vertical bar written for danda, ellipsis.
-_STOP = np.array([ord(x) for x in ".?!।॥|…؟。！？"], dtype=np.uint32)
+STOPS = ".?!।॥|…؟。！？"
 
 
 def sentence_spans(x: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,7 +296,7 @@ def sentence_spans(x: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
     k = take(tables()[1], x.c)
-    stop = np.isin(x.c, _STOP)
+    stop = among(x.c, STOPS)
     space = k == SPACE
     nxt_space = np.ones(n, dtype=bool)
     nxt_space[:-1] = space[1:]

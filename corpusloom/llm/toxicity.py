@@ -37,8 +37,8 @@ SHORT = 3
 # Digits and signs written for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 # Signs put between or over the letters of a word.
-_BETWEEN = np.array([ord(x) for x in ".*-_~·•+|/\\#^"], dtype=np.uint32)
-_BREAKS = np.concatenate([T._STOP, np.array([10, 13], dtype=np.uint32)])
+_BETWEEN = ".*-_~·•+|/\\#^"
+_BREAKS = T.STOPS + "\n\r"
 
 # Written for this module: passages from which the model starts where few or no documents are rated.
 ABUSIVE = (
@@ -89,7 +89,7 @@ def normal(x: T.Codes) -> T.Codes:
         n = w.end - w.start
         gap = w.start[1:] - w.end[:-1]
         same = w.row[1:] == w.row[:-1]
-        sign = np.isin(c[w.end[:-1]], _BETWEEN) & (gap == 1)
+        sign = T.among(c[w.end[:-1]], _BETWEEN) & (gap == 1)
         single = same & (n[1:] == 1) & (n[:-1] == 1) & (gap <= 2)
         # Three or more single letters in a row.
         runs = single.copy()
@@ -121,7 +121,7 @@ class Passages:
         self.words, x = w, w.codes
         n = len(w)
         k = T.take(T.tables()[1], x.c)
-        stop = np.isin(x.c, _BREAKS) | (x.c >= 0x1F000)
+        stop = T.among(x.c, _BREAKS) | (x.c >= 0x1F000)
         nxt = np.ones(len(x.c), bool)
         nxt[:-1] = (k[1:] == T.SPACE) | stop[1:] | (x.c[1:] == 34)
         brk = np.zeros(len(x.c) + 1, dtype=np.int64)
