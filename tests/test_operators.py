@@ -285,3 +285,30 @@ def test_faithfulness_and_keywords(spark):
     kb = spark.createDataFrame([(1, ["night bus", "late"]), (2, ["day"]), (3, ["bus"])], "i int, k array<string>")
     assert rows(R.keyword_match(kb, "i", "k", "a late night bus"))[0][:2] == (1, 3.0)
     assert rows(R.keyword_match(kb, "i", "k", "nothing")) == []
+
+
+def test_codes_sections_and_trees(spark):
+    from corpusloom.functions import text as X
+    from corpusloom.operators import gates as G
+
+    one = lambda v, col, kind="string": spark.createDataFrame([(v,)], f"t {kind}").select(col.alias("x")).first().x
+    places = [("DEL", "New Delhi"), ("BOM", "Mumbai")]
+    assert [one(v, X.code_of(F.col("t"), places)) for v in ("bom", "to mumbai please", "xyz", None)] == ["BOM", "BOM", "XYZ", None]
+    assert one(["a", None, "b"], X.paragraphs(F.col("t")), "array<string>") == "a\n\nb"
+    assert one("a\nb\n\n \n\nc", E.sections(F.col("t"))) == ["a\nb", "c"]
+    assert one("\n".join("abcdefg"), E.sections(F.col("t"))) == ["a\nb\nc\nd\ne", "f\ng"]
+    tree = spark.createDataFrame([(1, None, "root"), (2, 1, "leaf"), (3, 9, "lost")], "id int, up int, n string")
+    assert rows(J.with_parent_row(tree, "id", "up", ["n"]), "id", "parent_n") == [(1, None), (2, "root"), (3, None)]
+    s = "messages array<struct<role:string,content:string>>"
+    make = lambda last: [("system", "s"), ("user", "u"), ("assistant", last)]
+    df = spark.createDataFrame([(make("[f(a=1)]"),), (make("f"),), (make("[g()]"),), ([("user", "u")],), (None,)], s)
+    assert [r[0] for r in df.select(G.example_reason(F.col("messages"), ["f"])).collect()] == [None, "call", "tool", "roles", "roles"]
+    assert [r[0] for r in df.select(G.prompt_fits(F.col("messages"), 9)).collect()][:3] == [False, True, True]
+
+
+def test_chance_rank_is_a_plain_rank(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").alias("g"))
+    plain = F.row_number().over(Window.partitionBy("g").orderBy(L.chance_order(F.col("id"), 5), "id"))
+    assert rows(L.chance_rank(df, ["g"], F.col("id"), 5), "id", "_rank") == rows(df.withColumn("_rank", plain), "id", "_rank")
