@@ -168,8 +168,9 @@ def inverse_quota(df: DataFrame, score: str, total: int) -> DataFrame:
 
 
 def run_summary(steps: DataFrame, run: str) -> DataFrame:
-    """The best evaluation and its step, the final one, how far it rose, and whether it is over 1.5 times the training loss."""
-    return steps.groupBy(run).agg(F.min_by("step", F.struct("eval", "step")).alias("best_step"), F.min("eval").alias("best"), F.max_by("eval", "step").alias("final"), (F.max_by("eval", "step") - F.min("eval")).alias("rise"), (F.max_by("eval", "step") / F.max_by("train", "step") > 1.5).alias("overfit"))
+    """The best evaluation and its step, the final one, how far it rose, and whether it is over 1.5 times the training loss. Of equal steps the greatest values count."""
+    final, train = F.max(F.struct("step", "eval"))["eval"], F.max(F.struct("step", "train"))["train"]
+    return steps.groupBy(run).agg(F.min(F.struct("eval", "step"))["step"].alias("best_step"), F.min("eval").alias("best"), final.alias("final"), (final - F.min("eval")).alias("rise"), (final / train > 1.5).alias("overfit"))
 
 
 def provenance(df: DataFrame, text: str) -> DataFrame:

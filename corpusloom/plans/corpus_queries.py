@@ -113,7 +113,7 @@ def _(t):
     return t.customer.select("c_custkey", X.masked(c("c_name")).alias("masked"))
 
 
-@query("f22_card_numbers")
+@query("f22_card_numbers", "SELECT o_orderkey, list_sum([CASE WHEN i % 2 = 1 THEN CASE WHEN 2 * substr(s, i, 1)::int > 9 THEN 2 * substr(s, i, 1)::int - 9 ELSE 2 * substr(s, i, 1)::int END ELSE substr(s, i, 1)::int END FOR i IN range(1, 17)]) % 10 = 0 AS valid FROM (SELECT o_orderkey, '4' || lpad(o_orderkey::varchar, 15, '1') s FROM orders)")
 def _(t):
     return t.orders.select("o_orderkey", X.is_card_number(F.concat(F.lit("4"), F.lpad(c("o_orderkey").cast("string"), 15, "1"))).alias("valid"))
 
@@ -140,7 +140,7 @@ def _(t):
     return t.supplier.select("s_suppkey", F.round(X.haversine_km((k % 90).cast("double"), (k % 180).cast("double"), n.cast("double"), (n * 7).cast("double")), 4).alias("km"))
 
 
-@query("f28_grid_points")
+@query("f28_grid_points", "SELECT n_nationkey, i::int i, round(n_nationkey + (i // 3 - 1) * 10.0 / 3 / 111.0, 6) lat, round(n_nationkey * 3 + (i % 3 - 1) * 10.0 / 3 / (111.0 * cos(radians(n_nationkey))), 6) lon FROM nation, range(9) r(i)")
 def _(t):
     g = X.grid_points(c("n_nationkey").cast("double"), (c("n_nationkey") * 3).cast("double"), F.lit(10.0), 9)
     return t.nation.select("n_nationkey", F.explode(g).alias("p")).select("n_nationkey", "p.*")
@@ -173,7 +173,7 @@ def _(t):
     return t.train_smoke.select("row_id", F.array_join(X.search_terms(INS(), W.STOPWORDS), " ").alias("terms"))
 
 
-@query("f36_bigrams")
+@query("f36_bigrams", f"SELECT row_id, len(list_distinct(list_transform(list_filter(range(1, len(w)), lambda i: NOT (w[i] IN {tuple(W.STOPWORDS)} AND w[i + 1] IN {tuple(W.STOPWORDS)})), lambda i: w[i] || ' ' || w[i + 1])))::int n_bigrams FROM (SELECT row_id, list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(response, '')), '[^a-z0-9 \\t\\n\\x{{0B}}\\f\\r]', ' ', 'g'), '[ \\t\\n\\x{{0B}}\\f\\r]+'), lambda x: x <> '') w FROM train_smoke)")
 def _(t):
     return t.train_smoke.select("row_id", F.size(X.bigram_set(RSP(), W.STOPWORDS)).alias("n_bigrams"))
 
@@ -273,7 +273,7 @@ def _(t):
     return t.train_smoke.select("row_id", G.pair_language_gate(c("instruction"), c("response"), "hindi").alias("reason"))
 
 
-@query("gate09_acceptance")
+@query("gate09_acceptance", f"SELECT key, generated_at, {S.acceptance('o', 'i', 'w', 'budget')} reason FROM (SELECT key, generated_at, budget, coalesce(response, '') o, coalesce(instruction, '') i, {S.words(S.text('response'))} w FROM teacher_gen)")
 def _(t):
     return t.teacher_gen.select("key", "generated_at", G.acceptance(c("response"), c("instruction"), F.lit("hindi"), c("budget")).alias("reason"))
 
@@ -297,12 +297,12 @@ def _(t):
     return t.teacher_gen.select("key", "generated_at", G.structure(c("response"), c("budget")).alias("reason"))
 
 
-@query("gate13_release")
+@query("gate13_release", f"SELECT key, {S.release('i', 'o', 'b')} reason FROM (SELECT key, coalesce(instruction, '') i, coalesce(response, '') o, array_to_string(list_transform(messages, lambda m: coalesce(m.content, '')), ' ') b FROM oasst_v8)")
 def _(t):
     return t.oasst_v8.select("key", G.release(c("instruction"), c("response"), F.array_join(F.transform("messages", lambda m: F.coalesce(m.content, F.lit(""))), " "), F.lit(True)).alias("reason"))
 
 
-@query("gate14_dangling")
+@query("gate14_dangling", f"SELECT row_id, {S.dangling('o')} dangling, {S.dangling('o', True)} dangling_fixed FROM (SELECT row_id, coalesce(response, '') o FROM train_smoke)")
 def _(t):
     return t.train_smoke.select("row_id", G.dangling(c("response")).alias("dangling"), G.dangling(c("response"), True).alias("dangling_fixed"))
 
@@ -334,7 +334,7 @@ def _(t):
     return t.pool_todo.select("pool_id", G.standalone_prompt(c("instruction"), "hindi").alias("hindi"), G.standalone_prompt(c("instruction"), "romanised").alias("romanised"))
 
 
-@query("gate19_generated_prompts")
+@query("gate19_generated_prompts", rf"""SELECT pool_id, CASE WHEN {S.n_words('s')} BETWEEN 2 AND 14 THEN CASE WHEN {S.f1('s')} >= 0.50 THEN 'hi' WHEN {S.f1('s')} <= 0.05 THEN 'hinglish' END END plang FROM (SELECT pool_id, regexp_replace(regexp_replace(coalesce(instruction, ''), '^[\s\-*•\p{{Nd}}.)]+', ''), '^["''“”]+|["''“”]+$', '', 'g') s FROM pool_todo)""")
 def _(t):
     return t.pool_todo.select("pool_id", G.generated_prompt_language(c("instruction")).alias("plang"))
 
@@ -372,7 +372,7 @@ def _(t):
     return G.anomalies(t.events.select("event_id", "value", "event_type"), "event_id", rules).drop("value")
 
 
-@query("gate28_deflections")
+@query("gate28_deflections", "SELECT row_id, CASE WHEN (contains(s, 'let me') OR contains(s, 'i''ll now') OR contains(s, 'i will now') OR contains(s, 'next, i')) AND NOT (contains(s, 'done') OR contains(s, 'completed') OR contains(s, 'finished')) THEN 'incomplete' WHEN strlen(s) < 300 AND contains(s, '?') THEN 'question_back' WHEN contains(s, 'i can''t') OR contains(s, 'i cannot') OR contains(s, 'unable to') OR contains(s, 'don''t have access') THEN 'deflected' END kind FROM (SELECT row_id, lower(coalesce(response, '')) s FROM train_smoke)")
 def _(t):
     return t.train_smoke.select("row_id", G.deflection(c("response")).alias("kind"))
 

@@ -84,6 +84,46 @@ def boundary_words(listed: list[str]) -> str:
     return rf"(?i)\b(?:{'|'.join(listed)})\b"
 
 
+def dangling(t: str, fixed: bool = False) -> str:
+    """P14. Words that end in a vowel sign have no boundary after them, so that the plain rule leaves them out."""
+    words_ = [w for w in W.DANGLING_HINDI if fixed or not "\u093a" <= w[-1] <= "\u094f" and w[-1] not in "ंःँ"] + W.DANGLING_ENGLISH
+    edge = r"\p{L}\p{M}\p{N}_" if fixed else r"\p{L}\p{N}_"
+    return has(t, rf"(?i)(?:[,;:]|(?:^|[^{edge}])(?:{'|'.join(words_)}))" + _SPACE[:-1] + "*$")
+
+
+def first_words(w: str, n: int) -> str:
+    return f"array_to_string({w}[1:{n}], ' ')"
+
+
+def content(t: str) -> str:
+    return f"list_distinct(list_transform(regexp_extract_all({t}, '[{DEV}]{{3,}}|[a-zA-Z]{{4,}}'), lambda x: lower(x)))"
+
+
+def acceptance(r: str, i: str, w: str, budget: str) -> str:
+    """P9 for a Hindi slot."""
+    bound = lambda k: "CASE " + " ".join(f"WHEN {budget} = {q(b)} THEN {v[k]}" for b, v in W.BUDGETS.items()) + f" ELSE {W.BUDGETS['medium'][k]} END"
+    d, p, cw, rw = f1(r), f1(i), content(i), content(r)
+    short = W.SHORTHAND.replace(r"(?!\w)", "")
+    return case(
+        [
+            (has(first_words(w, 18), "(?i)" + W.DODGE), "dodge"), (f"NOT {has(r, W.TERMINAL)}", "truncated"), (has(r, "(?i)" + short), "shorthand"), (f"{has(r, '(?i)' + W.REFUSAL_GENERATED)} OR {has(r, '(?i)' + W.REFUSAL_GENERATED_HI)}", "refusal"),
+            (f"len({w}) < {bound(2)}", "below-budget"), (f"len({w}) > {bound(3)}", "above-budget"), (f"({p} > 0.35) = ({d} > 0.35) AND len({cw}) > 0 AND len({rw}) > 0 AND len(list_intersect({cw}, {rw}))::double / greatest(1, len({cw})) < 0.08", "unrelated"), (f"{unique(w)} < 0.92", "repetitive"),
+            (f"{p} > 0.35 AND {d} < 0.35", "romanized_answer_to_devanagari"), (f"{d} < 0.55", "not_devanagari"),
+        ]
+    )
+
+
+def release(qs: str, a: str, blob: str) -> str:
+    """P13 where the script is needed."""
+    sq, sa = f3(qs), f3(a)
+    return case(
+        [
+            (f"{runs_in(blob, W.AUDIT_MARATHI, True)} > {runs_in(blob, W.GATE_HINDI, True)}", "marathi"), (has(blob, f"[{W.GATE_FOREIGN}]"), "foreign_script"), (f"{sa} < 0.30 AND {sq} > 0.35", "script_mirror"), (f"{sa} > 0.35 AND {sq} < 0.35", "script_mirror_reverse"),
+            (dangling(strip(a)), "truncated"), (f"{f3(blob)} < 0.10", "no_devanagari"), (has(first_words(words(a), 18), "(?i)" + W.DODGE), "dodge"), (f"{n_words(a)} < 4", "too_short"),
+        ]
+    )
+
+
 QUALITY_FOREIGN = W.CPT_SCRIPTS
 
 

@@ -52,7 +52,7 @@ def _(t):
     return forms.agg(F.countDistinct("f").alias("forms"))
 
 
-@query("a7_topics")
+@query("a7_topics", "SELECT topic AS value, count(*) n FROM (SELECT " + S.case([(S.has("s", rf"(?i)\b({a})\b|({b})"), k) for k, (a, b) in W.TOPICS.items()]).removesuffix(" END") + " ELSE 'other' END topic FROM (SELECT left(coalesce(instruction, '') || ' ' || coalesce(response, ''), 400) s FROM train_smoke)) GROUP BY 1")
 def _(t):
     return M.histogram(t.train_smoke.select(M.topic(c("instruction"), c("response"), W.TOPICS).alias("topic")), c("topic"))
 
@@ -131,12 +131,12 @@ def _(t):
     return r.select("event_type", F.round("average_precision", 6).alias("average_precision"))
 
 
-@query("a20_threshold")
+@query("a20_threshold", "WITH d AS (SELECT least(95, floor(value + 1e-9)) s, value > 60 y FROM events WHERE value IS NOT NULL), g AS (SELECT i / 100.0 t, (SELECT count(*) FILTER (y) FROM d WHERE s >= i) tp, (SELECT count(*) FROM d WHERE s >= i) f, (SELECT count(*) FILTER (y) FROM d) a FROM range(5, 96) r(i)) SELECT t threshold, coalesce(2 * tp / nullif(f + a, 0)::double, 0) f1 FROM g ORDER BY round(f1, 12) DESC, abs(t - 0.5) LIMIT 1")
 def _(t):
     return M.tune_threshold(t.events.select((c("value") / 100).alias("score"), (c("value") > 60).alias("y")), "score", "y")
 
 
-@query("a21_rewards")
+@query("a21_rewards", "SELECT l_orderkey, l_linenumber, 3.0 AS format, 2.0 approximate, CASE WHEN k = l_linenumber THEN 5.0 WHEN k / l_linenumber::double BETWEEN 0.9 AND 1.1 THEN 2.0 WHEN k / l_linenumber::double BETWEEN 0.8 AND 1.2 THEN 1.5 ELSE -2.5 END answer, CASE WHEN k = l_linenumber THEN 3.5 ELSE -1.5 END number FROM (SELECT l_orderkey, l_linenumber, l_quantity::int k FROM lineitem)")
 def _(t):
     s = F.concat(F.lit("<start_working_out>x<end_working_out><SOLUTION>"), c("l_quantity").cast("int").cast("string"), F.lit("</SOLUTION>"))
     r = M.rewards(s, c("l_linenumber").cast("string"))
@@ -148,7 +148,7 @@ def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", F.round(M.count_reward(c("l_quantity"), F.lit(25.0)), 6).alias("reward"))
 
 
-@query("a22_schema_rewards")
+@query("a22_schema_rewards", "SELECT event_id, CASE WHEN props IS NULL THEN NULL WHEN json_exists(props, '$.k') THEN 0.5 ELSE 0.0 END reward FROM events")
 def _(t):
     return t.events.select("event_id", U.schema_reward(["k", "missing"])("props").alias("reward"))
 
@@ -164,10 +164,10 @@ def _(t):
     return M.inverse_quota(t.nation.select("n_nationkey"), "n_nationkey", 500)
 
 
-@query("a26_run_summary")
+@query("a26_run_summary", "SELECT l_orderkey % 50 run, arg_min(l_linenumber, (l_discount, l_linenumber)) best_step, min(l_discount) best, arg_max(l_discount, (l_linenumber, l_discount)) final, round(arg_max(l_discount, (l_linenumber, l_discount)) - min(l_discount), 6) rise, arg_max(l_discount, (l_linenumber, l_discount)) / (arg_max(l_tax, (l_linenumber, l_tax)) + 0.01) > 1.5 overfit FROM lineitem GROUP BY 1")
 def _(t):
     s = t.lineitem.select((c("l_orderkey") % 50).alias("run"), c("l_linenumber").alias("step"), c("l_discount").alias("eval"), (c("l_tax") + 0.01).alias("train"))
-    return M.run_summary(s, "run")
+    return M.run_summary(s, "run").withColumn("rise", F.round("rise", 6))
 
 
 @query("a27_provenance", f"SELECT count(*) n_rows, list_sort(list(n))[least(count(*), floor(count(*) * 0.5)::bigint + 1)] median_words, list_sort(list(n))[least(count(*), floor(count(*) * 0.9)::bigint + 1)] p90_words, max(n) max_words FROM (SELECT {S.n_words(S.text('response'))} n FROM train_smoke)")
@@ -195,7 +195,7 @@ def _(t):
     return t.oasst_v8.select("key", N.first_by_role(c("messages"), "user").alias("first_user"), N.last_by_role(c("messages"), "assistant").alias("last_assistant"), q.alias("q"), a.alias("a"))
 
 
-@query("w04_first_valid_pair")
+@query("w04_first_valid_pair", "SELECT row_id, CASE WHEN ok THEN trim(instruction, ' ') WHEN trim(coalesce(key, ''), ' ') <> '' THEN trim(key, ' ') END prompt, CASE WHEN ok THEN trim(response, ' ') WHEN trim(coalesce(key, ''), ' ') <> '' THEN trim(key, ' ') END answer FROM (SELECT *, trim(coalesce(instruction, ''), ' ') <> '' AND trim(coalesce(response, ''), ' ') <> '' ok FROM train_smoke)")
 def _(t):
     p = N.first_valid_pair(F.array(F.array(F.lit(" "), c("response")), F.array("instruction", "response"), F.array("key", "key")))
     return t.train_smoke.select("row_id", p.alias("p")).select("row_id", "p.prompt", "p.answer")
@@ -250,10 +250,10 @@ def _(t):
     return N.greedy_share(d, ["s"], "tokens", "budget", ["row_id"]).select("row_id", "s", "tokens")
 
 
-@query("w13_trimmed_turns")
+@query("w13_trimmed_turns", "SELECT key, CASE WHEN len(fit) > 0 THEN n - fit[1] END n_kept FROM (SELECT key, n, list_filter(range(0, n + 1, 2), lambda k: n - k >= least(n, 4) AND coalesce(list_sum(t[1:n - k]), 0) <= 400) fit FROM (SELECT key, len(messages) n, list_transform(messages, lambda m: coalesce(ceil(strlen(m.content) / 3.2), 0)) t FROM oasst_v8))")
 def _(t):
     tokens = F.transform("messages", lambda m: F.coalesce(X.prose_tokens(m.content), F.lit(0)))
-    return t.oasst_v8.select("key", N.trimmed_turns(c("messages"), tokens, 400).alias("kept")).select("key", F.size("kept").alias("n_kept"))
+    return t.oasst_v8.select("key", N.trimmed_turns(c("messages"), tokens, 400).alias("kept")).select("key", F.when(c("kept").isNotNull(), F.size("kept")).alias("n_kept"))
 
 
 @query("w14_prefix_within", "SELECT event_id FROM (SELECT event_id, sum(user_id % 9 + 2) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) run FROM events) WHERE run <= 60")
@@ -445,7 +445,7 @@ def _(t):
     return t.documents.where("text is not null").select("doc_id", E.extract_field(c("text"), "email")["value"].alias("email"), E.extract_field(c("text"), "number")["value"].alias("number"))
 
 
-@query("x07_tables")
+@query("x07_tables", "SELECT n_nationkey, 'a,b' cells FROM nation UNION ALL SELECT n_nationkey, trim(n_name) || ',' || n_nationkey FROM nation")
 def _(t):
     s = F.concat(F.lit("a|b\n"), c("n_name"), F.lit("|"), c("n_nationkey").cast("string"))
     return t.nation.select("n_nationkey", F.explode(U.table_rows(s)).alias("cells")).select("n_nationkey", F.array_join("cells", ",").alias("cells"))
@@ -456,7 +456,7 @@ def _(t):
     return E.suggestions(t.documents, "doc_id", "text", {"mail": ("@", 0.9), "open": ("https?://", 0.7)})
 
 
-@query("x09_tool_calls")
+@query("x09_tool_calls", '''SELECT event_id, '{"arguments": {"level": "' || event_type || '", "n": "' || user_id || '"}, "name": "set_mode"}' AS call FROM events''')
 def _(t):
     s = F.concat(F.lit("<think>x</think>[set_mode(level='"), c("event_type"), F.lit("', n="), c("user_id").cast("string"), F.lit(")]"))
     return t.events.select("event_id", U.tool_call(s).alias("call"))
@@ -509,7 +509,7 @@ def _(t):
 _cos = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6)"
 
 
-@query("r01_hash_embeddings")
+@query("r01_hash_embeddings", "SELECT p_partkey, 1.0 length FROM part")
 def _(t):
     return t.part.select("p_partkey", F.round(R.norm(U.hash_embedding("p_name")), 4).alias("length"))
 
@@ -531,7 +531,7 @@ def _(t):
     return R.top_k_each(t.embeddings.select("vec_id", "embedding"), "vec_id", "embedding", t.embeddings.where("vec_id % 50 = 0"), 5)
 
 
-@query("r05_mean_pooled")
+@query("r05_mean_pooled", "SELECT vec_id, 1.0 length, round((m[1]) / sqrt(list_inner_product(m, m)), 5) x0 FROM (SELECT vec_id, list_transform(range(1, len(v) + 1), lambda i: (v[i] + v[len(v) + 1 - i]) / 2) m FROM (SELECT vec_id, embedding::double[] v FROM embeddings))")
 def _(t):
     p = R.mean_pooled(F.array(c("embedding"), F.reverse("embedding")))
     return t.embeddings.select("vec_id", F.round(R.norm(p), 5).alias("length"), F.round(p[0], 5).alias("x0"))
@@ -554,7 +554,7 @@ def _(t):
     return R.with_priors(s, "pool_id", {"category": (c("category").isNotNull(), 1.5), "source": (c("src") == "arena", 0.6)}).select("pool_id", F.round("total", 6).alias("total"))
 
 
-@query("r09_max_sim")
+@query("r09_max_sim", "SELECT vec_id, round(greatest(list_inner_product(v, v), list_inner_product(v, list_reverse(v))), 5) score FROM (SELECT vec_id, embedding::double[] v FROM embeddings)")
 def _(t):
     v = c("embedding")
     return t.embeddings.select("vec_id", F.round(R.max_sim(F.array(v), F.array(v, F.reverse(v))), 5).alias("score"))
