@@ -4,7 +4,7 @@ Two ratios are taken. That of the text's own bytes rejects what is incompressibl
 length. That of the text's words, each written as eight bytes of its hash, depends on neither script nor spelling of
 words: without repetition it is 1, and a run of words that occurred before costs a few bytes in all. Its
 length-specific limit is so wide that no text with the share of repetition asked for can lie beyond it (see
-``limit``); an exact count over those it lets through gives the share.
+``limit``); an exact count over those it lets through, and over all texts too long for the limit, gives the share.
 """
 
 from __future__ import annotations
@@ -33,17 +33,30 @@ def limit(words: np.ndarray) -> np.ndarray:
     """Largest word ratio of a text that may have SHARE of its words in repeated runs.
 
     Such a text has 0.3 n words or more in matches of RUN words, 32 bytes, or longer; a match costs up to some 4 bytes
-    and saves 28: the ratio is at most 1 - 0.3 * 28 / 32 = 0.74 but for up to 14 bytes of headers, 1.75 / n.
+    and saves 28: the ratio is at most 1 - 0.3 * 28 / 32 = 0.74 but for up to 14 bytes of headers, 1.75 / n. This holds
+    for CHUNK_WORDS words at most: in longer texts the compressor may skip over runs, as it searches in wider steps the
+    more bytes had no match, by up to 8 bytes within 256 words. See ``may_repeat``.
     """
     return 0.82 + 2.4 / np.maximum(words, 1)
 
 
-@lru_cache(1)
-def _z() -> zstandard.ZstdCompressor:
-    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=4096, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+def may_repeat(words: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Whether a text may have SHARE of its words in repeated runs: by its word ratio, but always if it has more than CHUNK_WORDS words."""
+    return (words >= MIN_WORDS) & ((words > CHUNK_WORDS) | (ratio <= limit(words)))
+
+
+@lru_cache(32)
+def _sized(log: int) -> zstandard.ZstdCompressor:
+    wide = {"window_log": log, "hash_log": min(log + 1, 22), "chain_log": min(log + 1, 22)} if log > 12 else {}
+    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=1 << log, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **wide)
     return zstandard.ZstdCompressor(compression_params=p)
 
 
+def _z(size: int) -> zstandard.ZstdCompressor:
+    """A compressor whose window holds ``size`` bytes (128 MB at most)."""
+    return _sized(min(max(12, (size - 1).bit_length()), 27))
+
+
 @lru_cache(1)
 def _lower() -> np.ndarray:
     t = np.arange(0x20000, dtype=np.uint32)
@@ -85,23 +98,24 @@ def repeated_share(w: T.Words, rows: int) -> np.ndarray:
 
 def word_ratios(w: T.Words, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Ratio of each row's word codes when compressed, whole and in its best chunk."""
-    z, data = _z(), w.hash.tobytes()
+    data = w.hash.tobytes()
     whole, chunk = np.ones(rows), np.ones(rows)
     for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
         n = b - a
         if n >= MIN_WORDS:
+            z = _z(8 * n)
             whole[i] = chunk[i] = len(z.compress(data[8 * a : 8 * b])) / (8 * n)
             if n > CHUNK_WORDS:
-                chunk[i] = min(len(z.compress(data[8 * j : 8 * min(j + CHUNK_WORDS, b)])) / (8 * min(CHUNK_WORDS, b - j)) for j in range(a, b - MIN_WORDS, CHUNK_WORDS))
+                chunk[i] = min(len(_z(8 * CHUNK_WORDS).compress(data[8 * j : 8 * min(j + CHUNK_WORDS, b)])) / (8 * min(CHUNK_WORDS, b - j)) for j in range(a, b - MIN_WORDS, CHUNK_WORDS))
     return whole, chunk
 
 
 def byte_ratios(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of each text, the ratio of the whole and that of its most compressible chunk."""
     texts = [b"" if x is None else x for x in col.cast(pa.large_binary()).to_pylist()]
-    z = _z()
+    z = _z(CHUNK_BYTES)
     size = np.array([len(t) for t in texts], dtype=np.int64)
-    whole = np.array([len(z.compress(t)) / len(t) if t else 1.0 for t in texts])
+    whole = np.array([len(_z(len(t)).compress(t)) / len(t) if t else 1.0 for t in texts])
     chunk = np.array(
         [min(len(z.compress(t[j : j + CHUNK_BYTES])) / len(t[j : j + CHUNK_BYTES]) for j in range(0, max(1, len(t) - 200), CHUNK_BYTES)) if len(t) > CHUNK_BYTES else w for t, w in zip(texts, whole, strict=True)]
     )
@@ -128,7 +142,7 @@ def repetition(df: DataFrame) -> DataFrame:
             w = plain_words(b.column("response"))
             n = np.diff(w.first)
             coded, _ = word_ratios(w, b.num_rows)
-            share = np.where(coded <= limit(n), repeated_share(w, b.num_rows), 0.0)
+            share = np.where(may_repeat(n, coded) | (n < MIN_WORDS), repeated_share(w, b.num_rows), 0.0)
             size, whole, chunk = byte_ratios(b.column("response"))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(n), pa.array(whole), pa.array(chunk), pa.array(coded), pa.array(band(size, whole, chunk)), pa.array(share)], names=["row_id", "words", "ratio", "chunk_ratio", "word_ratio", "band", "repeated_share"])
 
@@ -143,7 +157,7 @@ def repetitive(df: DataFrame) -> DataFrame:
             w = plain_words(b.column("response"))
             n = np.diff(w.first)
             coded, _ = word_ratios(w, b.num_rows)
-            at = np.flatnonzero((n >= MIN_WORDS) & (coded <= limit(n)))
+            at = np.flatnonzero(may_repeat(n, coded))
             if len(at):
                 part = plain_words(b.column("response").take(pa.array(at)))
                 at = at[repeated_share(part, len(at)) >= SHARE - 1e-12]

@@ -63,6 +63,25 @@ def test_bands_lose_no_case():
     assert case.sum() > 300 and (coded[case] <= R.limit(n[case])).all()
 
 
+def test_repeats_far_back(spark):
+    """Passages said again thousands of words later, whole or in runs of four, in any place; a long text without any."""
+    rng = random.Random(2)
+    fresh = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(n)]
+    texts = []
+    for n in (520, 3000, 9000):
+        w = fresh(n)
+        texts.append(w + w)
+        runs = [w[a : a + 4] + fresh(2) for a in (rng.randrange(n - 4) for _ in range(n // 6))]
+        texts.append(w + [x for r in runs for x in r])
+    texts = [" ".join(t) for t in [*texts, fresh(6000)]]
+    want = [i for i, t in enumerate(texts) if brute(t)[1] >= R.SHARE]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, response string")
+    assert want == [0, 1, 2, 3, 4, 5] and rows(R.repetitive(df)) == [(i,) for i in want]
+    r = {x.row_id: x for x in R.repetition(df).collect()}
+    assert [r[i].repeated_share for i in r] == [brute(texts[i])[1] for i in r]
+    assert all(r[i].word_ratio < 0.6 for i in (0, 2, 4)) and r[6].repeated_share == 0
+
+
 def test_queries(spark):
     loop = "the boat came back " * 6
     plain = "one careful person can manage the whole garden alone if the weather stays kind and dry today"
