@@ -89,24 +89,23 @@ def subsequence(item: np.ndarray, words: np.ndarray) -> int:
 
 
 def in_pieces(items: Items, item: int, h: np.ndarray) -> bool:
-    """Whether a document's words ``h`` hold at least half of the item's words in order within a window of twice its length."""
+    """Whether a document's words ``h`` hold at least half of the item's words in order about one of the item's own words:
+    from an item's length before it to twice that after it. Every own word with enough others after it is tried."""
     a, b = items.first[item], items.first[item + 1]
     own = items.own_keys[items.own_item == item]
     mine = items.hash[a:b]
     need_own = max(OWN_LEAST, OWN_SHARE * len(own))
-    size = 2 * (b - a) + 20
+    n, size = int(b - a), 2 * int(b - a) + 20
     places = np.flatnonzero(np.isin(h, own))
-    lo = 0
-    while lo < len(places):
-        start = places[lo]
-        hi = np.searchsorted(places, start + size)
-        if len(np.unique(h[places[lo:hi]])) >= need_own:
-            s, e = max(0, start - (b - a) // 4), min(len(h), start + size)
-            if subsequence(mine, h[s:e]) >= HALF * (b - a):
-                return True
-            lo = max(lo + 1, (lo + hi) // 2)
-        else:
-            lo += 1
+    # No subsequence is longer than the number of the window's words that the item has.
+    inside = np.concatenate([[0], np.cumsum(np.isin(h, mine))])
+    s, e = np.maximum(0, places - n), np.minimum(len(h), places + size)
+    stop = np.searchsorted(places, places + size)
+    for k in np.flatnonzero((inside[e] - inside[s] >= HALF * n) & (stop - np.arange(len(places)) >= need_own)).tolist():
+        if len(np.unique(h[places[k : stop[k]]])) < need_own:
+            continue
+        if subsequence(mine, h[s[k] : e[k]]) >= HALF * n:
+            return True
     return False
 
 

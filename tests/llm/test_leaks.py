@@ -68,3 +68,33 @@ def test_subsequence_against_the_table():
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
         assert L.subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == t[-1][-1]
+
+
+def test_pieces_after_stray_own_words():
+    """Half of an item or more, edited, after a few of its own words that stand apart: all that a window at every own word finds."""
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm import textvec as T
+
+    rng = random.Random(4)
+    texts = [ITEMS[i] for i in sorted(ITEMS)]
+    items = L.Items(np.arange(len(texts)), pa.array(texts), L.common_ngrams(iter([pa.array(texts)])))
+    lost = total = 0
+    for _ in range(1500):
+        k = rng.randrange(len(texts))
+        n = int(items.length[k])
+        mine = items.hash[items.first[k] : items.first[k + 1]]
+        own = items.own_keys[items.own_item == k]
+        other = lambda m: np.array([rng.getrandbits(63) for _ in range(m)], np.uint64)
+        kept = sorted(rng.sample(range(n), -(-n * rng.randint(50, 65) // 100)))
+        if len(set(mine[kept].tolist()) & set(own.tolist())) < max(L.OWN_LEAST, L.OWN_SHARE * len(own)):
+            continue
+        parts = [other(20)]
+        for _ in range(rng.randint(0, 6)):
+            parts += [own[[rng.randrange(len(own))]], other(rng.randint(0, n // 2))]
+        for i in kept:
+            parts += [mine[[i]], other(rng.random() < 0.3)]
+        total += 1
+        lost += not L.in_pieces(items, k, np.concatenate([*parts, other(60)]))
+    assert total > 500 and lost == 0
