@@ -456,7 +456,7 @@ def _(t):
 
 @query("d08_fuzzy_records")
 def _(t):
-    return D.fuzzy_groups(t.part.select("p_partkey", "p_brand", "p_type"), "p_partkey", ["p_brand", "p_type"], 0.85, c("p_brand"))
+    return D.fuzzy_groups(t.part.select("p_partkey", "p_brand", "p_type"), "p_partkey", ["p_brand", "p_type"], 0.85, F.lit(0))
 
 
 @query("d09_equal_texts", "SELECT sha256(text) AS key, count(*) n, min(doc_id) AS first, max(doc_id) AS last FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) >= 2")

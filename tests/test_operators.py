@@ -66,6 +66,22 @@ def test_fuzzy_records_against_brute_force(spark):
     assert dict(rows(D.fuzzy_groups(df, "i", ["name"], 0.75, F.col("b")))) == dict(enumerate(group))
 
 
+def test_fuzzy_records_query_compares_all(spark, tmp_path):
+    """d08_fuzzy_records against a greedy pass over all rows: parts of different brands join too."""
+    rng = random.Random(5)
+    parts = [(1, "Brand#12", "SMALL"), (2, "Brand#34", "SMALL"), (3, None, "SMALL"), (4, "Brand#12", None)]
+    parts += [(i, f"Brand#{rng.randint(1, 25)}", rng.choice(["SMALL", "LARGE", "PROMO", "STANDARD"])) for i in range(5, 120)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    similar = lambda a, b: sum(1.0 if x == y else 0.0 if None in (x, y) else D._edit(x.lower(), y.lower(), 0.0) for x, y in zip(a, b, strict=True)) / 2 >= 0.85 - 1e-12
+    group: dict[int, int] = {}
+    for n, (i, *a) in enumerate(parts):
+        if i not in group:
+            group.update({j: i for j, *b in parts[n:] if j not in group and similar(a, b)})
+    from corpusloom.plans.queries import QUERIES
+
+    assert group[2] == 1 and dict(rows(QUERIES["d08_fuzzy_records"](spark, str(tmp_path)))) == group
+
+
 # ---- joins
 
 
