@@ -8,7 +8,7 @@ prompt and response share, refusals by first-person declining sentences that lea
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -21,10 +21,12 @@ from corpusloom.llm import nb
 from corpusloom.llm import textvec as T
 from corpusloom.llm.common import LANGS, bounded_sample, canonical_label, shared, table
 
-#: Labelled responses that both models are fitted on, at most (twice this at worst).
+#: Labelled responses that the language model is fitted on, at most (twice this at worst).
 SAMPLE_ROWS = 12000
 #: Words of the end-of-text model's longest context, and the weight of a shorter context in sightings of the longer one.
 ORDER, PULL = 5, 2.0
+#: Sightings in all responses from which a word, and a context or a word's beginning, is known; the most keys that are broadcast.
+WORD_SEEN, CONTEXT_SEEN, MOST_KEYS = 3, 2, 1 << 22
 #: A text that ends after its last words with less likelihood is truncated.
 END_LIKELIHOOD = 0.1
 #: Answers of fewer words than this are names, numbers or phrases: they are neither truncated nor in a language.
@@ -161,47 +163,114 @@ def _classes(w: T.Words, skeletons: np.ndarray) -> np.ndarray:
     return np.where(n[w.end] > n[w.start], _NUM, np.where(_isin(skeletons, h), h, _UNK))
 
 
-def train_ends(x: T.Codes, start: np.ndarray, end: np.ndarray) -> EndModel:
-    """From sentences that a stop mark ends: contexts before each next word went on, the one before the mark ended."""
-    w = T.words(x)
-    a, b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
-    tail = x.c[np.maximum(end - 1, 0)]
-    two = x.c[np.maximum(end - 2, 0)]
-    ok = T.among(tail, T.STOPS) & (tail != ord("…")) & ~((tail == ord(".")) & (two == ord("."))) & (b - a >= SHORT_WORDS)
-    a, b = a[ok], b[ok]
-    inside = np.zeros(len(w) + 1, dtype=np.int64)
-    np.add.at(inside, a, 1)
-    np.add.at(inside, b, -1)
-    inside = np.cumsum(inside[:-1]) > 0
-    h, n = np.unique(w.hash, return_counts=True)
-    vocabulary = h[n >= 3]
-    h, n = np.unique(_skeletons(w)[inside], return_counts=True)
-    skeletons = h[n >= 3]
-    cls = _classes(w, skeletons)
-    first = np.full(len(w), -1, dtype=np.int64)
-    is_end = np.zeros(len(w), dtype=bool)
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        first[i:j] = i
-    is_end[b - 1] = True
-    at = np.flatnonzero(inside & (first >= 0))
-    last = _last(cls, at, first[at])
-    contexts, ended, seen = [], [], []
-    for k in range(1, ORDER + 1):
-        key, inv = np.unique(_context(last, k), return_inverse=True)
-        contexts.append(key)
-        ended.append(np.bincount(inv, is_end[at], len(key)).astype(np.float32))
-        seen.append(np.bincount(inv, minlength=len(key)).astype(np.float32))
-    # Beginnings of known words after the two words before them: a last word among these is cut within.
-    prefixes = []
-    common = at[_isin(vocabulary, w.hash[at])]
-    two = _context(np.concatenate([np.zeros((len(common), 1), np.uint64), _last(cls, common, first[common])[:, :-1]], axis=1), 2)
-    length = w.end[common] - w.start[common]
-    for n in range(1, 16):
-        m = length > n
-        if m.any():
-            prefixes.append(T.mix(two[m] + T.span_hash(x.c, w.start[common][m], w.start[common][m] + n)))
-    pre, n = np.unique(np.concatenate(prefixes), return_counts=True) if prefixes else (np.zeros(0, np.uint64), np.zeros(0))
-    return EndModel(contexts, ended, seen, vocabulary, skeletons, pre[n >= 2])
+class Ended:
+    """Words of the sentences that a stop mark ends."""
+
+    def __init__(self, x: T.Codes):
+        start, end, _ = T.sentence_spans(x)
+        self.codes = x
+        self.words = w = T.words(x)
+        a, b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
+        tail = x.c[np.maximum(end - 1, 0)]
+        two = x.c[np.maximum(end - 2, 0)]
+        ok = T.among(tail, T.STOPS) & (tail != ord("…")) & ~((tail == ord(".")) & (two == ord("."))) & (b - a >= SHORT_WORDS)
+        a, n = a[ok], (b - a)[ok]
+        self.first = np.repeat(a, n)  # of each word's sentence
+        self.at = self.first + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.is_end = np.zeros(len(w), dtype=bool)
+        self.is_end[b[ok] - 1] = True
+
+
+def _tally(kind: int, key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(kind, key, times ended, times seen) of each key."""
+    key, inv = np.unique(key, return_inverse=True)
+    seen = np.bincount(inv, times, len(key)).astype(np.int64)
+    return np.full(len(key), kind, np.int8), key, np.zeros(len(key), np.int64) if ended is None else np.bincount(inv, ended, len(key)).astype(np.int64), seen
+
+
+def word_counts(x: T.Codes) -> list[tuple[np.ndarray, ...]]:
+    """Sightings of words (kind 0) and of their skeletons (kind 1)."""
+    s = Ended(x)
+    return [_tally(0, s.words.hash[s.at]), _tally(1, _skeletons(s.words)[s.at])]
+
+
+def context_counts(x: T.Codes, vocabulary: np.ndarray, skeletons: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Sightings and ends of contexts (kinds 1 to ORDER), and of beginnings of known words after the two words before
+    them (kind 0): a last word among these is cut within."""
+    s = Ended(x)
+    w, at = s.words, s.at
+    last = _last(_classes(w, skeletons), at, s.first)
+    # The same word after the same ones is looked at once.
+    _, i, inv = np.unique(T.mix(_context(last, ORDER) + w.hash[at]), return_index=True, return_inverse=True)
+    times, ended = np.bincount(inv, minlength=len(i)), np.bincount(inv, s.is_end[at], len(i))
+    last, at = last[i], at[i]
+    out = [_tally(k, _context(last, k), ended, times) for k in range(1, ORDER + 1)]
+    known = _isin(vocabulary, w.hash[at])
+    common = at[known]
+    two = _context(np.concatenate([np.zeros((len(common), 1), np.uint64), last[known][:, :-1]], axis=1), 2)
+    _, i, inv = np.unique(T.mix(two + w.hash[common]), return_index=True, return_inverse=True)
+    times, two, common = np.bincount(inv, times[known], len(i)), two[i], common[i]
+    n = np.minimum(w.end[common] - w.start[common] - 1, 15)
+    of = np.repeat(np.arange(len(n)), n)
+    start = w.start[common][of]
+    begin = T.span_hash(x.c, start, start + 1 + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
+    return [*out, _tally(0, T.mix(two[of] + begin), times=times[of])]
+
+
+def _counted(df: DataFrame, count: Callable[[T.Codes], list[tuple[np.ndarray, ...]]], least: int) -> dict[int, tuple[np.ndarray, ...]]:
+    """By kind: keys seen ``least`` times or more over all responses, in order, with their ends and sightings. Above MOST_KEYS
+    keys the least number of sightings is raised until they are as many at most."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for b in T.slices(it, "response", 1 << 23):
+            held += count(T.folded(T.codes(b.column("response"))))
+            if sum(len(h[0]) for h in held) > 1 << 21:
+                yield batch(held)
+                held = []
+        if held:
+            yield batch(held)
+
+    def batch(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        merged = []
+        for k in {h[0][0] for h in held if len(h[0])}:
+            _, key, ended, seen = (np.concatenate(c) for c in zip(*(h for h in held if len(h[0]) and h[0][0] == k), strict=True))
+            merged.append(_tally(k, key, ended, seen))
+        kind, key, ended, seen = (np.concatenate(c) for c in zip(*(merged or held), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key.view(np.int64)), pa.array(ended), pa.array(seen)], names=["kind", "key", "ended", "seen"])
+
+    c = df.select("response").mapInArrow(run, "kind byte, key long, ended long, seen long")
+    c = c.groupBy("kind", "key").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen")).where(F.col("seen") >= least).persist()
+    try:
+        often = sorted(c.groupBy(F.least("seen", F.lit(1 << 20)).alias("seen")).count().collect(), reverse=True)
+        total = 0
+        for seen, n in often:
+            total += n
+            if total > MOST_KEYS:
+                least = seen + 1
+                break
+        t = c.where(F.col("seen") >= least).select("kind", "key", F.col("ended").cast("float"), F.col("seen").cast("float")).toArrow()
+    finally:
+        c.unpersist()
+    kind, key, ended, seen = (t[n].to_numpy() for n in ("kind", "key", "ended", "seen"))
+    key = key.view(np.uint64)
+    out = {}
+    for k in range(ORDER + 1):
+        at = np.flatnonzero(kind == k)
+        at = at[np.argsort(key[at])]
+        out[k] = key[at], ended[at], seen[at]
+    return out
+
+
+def count_ends(df: DataFrame) -> EndModel:
+    """From the sentences of all responses that a stop mark ends: contexts before each next word went on, the one before the mark ended."""
+    words = _counted(df, word_counts, WORD_SEEN)
+    vocabulary, skeletons = words[0][0], words[1][0]
+    known = shared(df.sparkSession, (vocabulary, skeletons))
+    found = _counted(df, lambda x: context_counts(x, *known.value), CONTEXT_SEEN)
+    known.destroy()
+    by_order = [found[k] for k in range(1, ORDER + 1)]
+    return EndModel([c[0] for c in by_order], [c[1] for c in by_order], [c[2] for c in by_order], vocabulary, skeletons, found[0][0])
 
 
 def _last(cls: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -214,11 +283,6 @@ def _last(cls: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(texts: pa.Array, labels: list[str | None]) -> tuple[np.ndarray, EndModel]:
-    language, x, (start, end, _), _ = nb.train_languages(texts, labels)
-    return language, train_ends(x, start, end)
-
-
 class Side:
     """Languages of the sentences of one column."""
 
@@ -409,7 +473,7 @@ def defects(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     df = df.select("row_id", "instruction", "response", "lang")
     s = bounded_sample(df, "row_id", sample_rows).where(F.length("response") > 20).select("response", canonical_label(F.col("lang")).alias("label")).toArrow()
     texts = s["response"].combine_chunks() if s.num_rows else pa.array([], pa.string())
-    model = shared(df.sparkSession, train(texts, s["label"].to_pylist()))
+    model = shared(df.sparkSession, (nb.train_languages(texts, s["label"].to_pylist())[0], count_ends(df)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         language, ends = model.value

@@ -59,3 +59,17 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, None, None), (1, None, None, None), (2, None, "A fine answer to nothing.", None), (3, "q", long, "en")], schema)
     got = rows(P.defects(df))
     assert got[:2] == [(1, "empty"), (1, "empty")] and all(r[0] == 1 for r in got)
+
+
+def test_ends_are_counted_over_all_rows(spark):
+    """Words and endings that only rows outside the language model's sample have are known, whatever the sample's size."""
+    rare = "The lighthouse keeper paints gleaming corridors."
+    filler = [(100 + i, "What is this thing and how does it work?", EN[i % 6] + " " + EN[i // 6 % 6], "en") for i in range(600)]
+    seen = [(10 + i, "What is this thing and how does it work?", EN[i] + " " + rare, "en") for i in range(6)]
+    planted = [(1, "How do I keep a room?", EN[0] + " The lighthouse keeper paints gleam", "en"), (2, "How do I keep a room?", EN[0] + " " + rare.rstrip("."), "en"), (3, "How do I keep a room?", EN[0] + " The lighthouse keeper paints", "en")]
+    df = spark.createDataFrame(planted + seen + filler, "row_id long, instruction string, response string, lang string")
+    assert rows(P.defects(df, sample_rows=20)) == [(1, "truncated"), (3, "truncated")]
+    ends = P.count_ends(df)
+    last = P._last(P._classes(w := P.T.words(P.T.folded(P.T.codes(P.pa.array([rare])))), ends.skeletons), *(P.np.array([i]) for i in (len(w) - 1, 0)))
+    at = P.np.searchsorted(ends.contexts[4], P._context(last, 5))
+    assert (ends.ended[4][at], ends.seen[4][at]) == (6, 6)
