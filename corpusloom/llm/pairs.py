@@ -8,7 +8,7 @@ prompt and response share, refusals by first-person declining sentences that lea
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -33,6 +33,8 @@ END_LIKELIHOOD = 0.1
 SHORT_WORDS = 4
 #: Log-likelihood gap between languages, for each word of a sentence, that decides it.
 GAP = 1.0
+#: Words within which a sentence declines.
+DECLINE_WORDS = 70
 #: Shares of the response that must lie in the prompt, and of the prompt in the response, in a copy.
 COPY_OF_RESPONSE, COPY_OF_PROMPT = 0.85, 0.6
 
@@ -328,7 +330,7 @@ def is_copy(prompt: str, response: str) -> bool:
         k = max(1, round(len(response) / (n + 1)))
         step = len(response) / k
         parts = [response[round(i * step) : round((i + 1) * step)] for i in range(k)]
-    for part in parts[:3]:
+    for part in parts:
         m = SequenceMatcher(None, prompt, part, autojunk=False)
         size = sum(b.size for b in m.get_matching_blocks() if b.size >= 3)
         if size < COPY_OF_RESPONSE * len(part) or size < COPY_OF_PROMPT * n:
@@ -336,11 +338,18 @@ def is_copy(prompt: str, response: str) -> bool:
     return True
 
 
-def is_refusal(sentences: list[str]) -> bool:
+def _declines(s: str) -> bool:
+    """Whether a sentence declines, within DECLINE_WORDS words in a row: the patterns' time grows faster than a sentence's length."""
+    w = s.split()
+    step = DECLINE_WORDS // 2
+    return any(_REFUSES.search(" ".join(w[i : i + DECLINE_WORDS + step])) for i in range(0, max(1, len(w) - DECLINE_WORDS), step))
+
+
+def is_refusal(sentences: Iterable[str]) -> bool:
     """Whether at least one sentence declines and no other one adds anything."""
     found = False
     for s in sentences:
-        if _REFUSES.search(s):
+        if _declines(s):
             found = True
         elif not _FILLER.search(s) and len(s.split()) > 2:
             return False
@@ -366,18 +375,18 @@ def find(b: pa.RecordBatch, language: np.ndarray, ends: EndModel) -> np.ndarray:
     shares = np.zeros(n)
     np.divide(np.bincount(w.row, _isin(np.unique(qh), rh), n), count, out=shares, where=count > 0)
     qn = np.diff(q.words.first)
-    for i in np.flatnonzero((out == None) & (shares >= 0.5) & (count >= 2) & (count >= 0.4 * np.minimum(qn, 60)) & (count <= 4 * qn + 4)):  # noqa: E711
+    for i in np.flatnonzero((out == None) & (shares >= 0.5) & (count >= 2) & (count >= 0.4 * np.minimum(qn, 60))):  # noqa: E711
         prompt, whole = _plain(q.codes, i), q.codes.text(i)
         if _ASKS_COPY.search(prompt):
             continue
         response = _plain(x, i)
         if any(is_copy(p, response) for p in dict.fromkeys([prompt, *_heads(whole)])):
             out[i] = "copied"
-    # Refusals: short answers with a cue.
+    # Refusals: answers with a cue.
     cue = pc.match_substring_regex(b.column("response").fill_null(""), _CUES).to_numpy(zero_copy_only=False)
     by_row = np.searchsorted(r.row, np.arange(n + 1))
-    for i in np.flatnonzero((out == None) & cue & (count <= 70) & (count >= 3)):  # noqa: E711
-        ss = [_words_text(x, a, e) for a, e in zip(r.start[by_row[i] : by_row[i + 1]], r.end[by_row[i] : by_row[i + 1]], strict=True)]
+    for i in np.flatnonzero((out == None) & cue & (count >= 3)):  # noqa: E711
+        ss = (_words_text(x, a, e) for a, e in zip(r.start[by_row[i] : by_row[i + 1]], r.end[by_row[i] : by_row[i + 1]], strict=True))
         if is_refusal(ss):
             out[i] = "refusal"
     # Another language: no sentence of the answer is in a language that the prompt has.

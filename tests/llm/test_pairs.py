@@ -73,3 +73,15 @@ def test_ends_are_counted_over_all_rows(spark):
     last = P._last(P._classes(w := P.T.words(P.T.folded(P.T.codes(P.pa.array([rare])))), ends.skeletons), *(P.np.array([i]) for i in (len(w) - 1, 0)))
     at = P.np.searchsorted(ends.contexts[4], P._context(last, 5))
     assert (ends.ended[4][at], ends.seen[4][at]) == (6, 6)
+
+
+def test_long_copies_and_refusals(spark):
+    """A question said many times over, three times before an answer, and refusals of more than 70 words."""
+    ask = "What is the best season for travel?"
+    sorry = "I am sorry, but I would rather not comment on this matter. Please ask an expert instead."
+    long = "I cannot help with that " + "because of the rules about such things and others " * 9
+    told = "The shopkeeper said sorry three times because nobody could help him. " * 12
+    planted = [(1, ask, " ".join([ask] * 9), "en"), (2, ask, " ".join([ask] * 3) + " " + " ".join(EN), "en"), (3, ask, " ".join([sorry] * 6), "en"), (4, ask, long, "en"), (5, ask, told + sorry, "en")]
+    filler = [(100 + i, "What is this thing and how does it work?", EN[i % 6] + " " + EN[i // 6], "en") for i in range(36)]
+    df = spark.createDataFrame(planted + filler, "row_id long, instruction string, response string, lang string")
+    assert rows(P.defects(df)) == [(1, "copied"), (3, "refusal"), (4, "refusal")]
