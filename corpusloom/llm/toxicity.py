@@ -198,7 +198,7 @@ class Model:
         out = (s[e] - s[a]) / (n[e] - n[a])
         out[e - a < SHORT] = -30 - self.bias
         for i in np.flatnonzero(e - a > LONG):
-            x = np.arange(a[i], e[i] - WINDOW + 1, 2)
+            x = np.arange(a[i], e[i] - WINDOW + 1)
             out[i] = max(out[i], ((s[x + WINDOW] - s[x]) / (n[x + WINDOW] - n[x])).max())
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -30, 30)))
 

@@ -75,3 +75,21 @@ def test_queries(spark):
     r = {x.source: x for x in X.source_rates(s).collect()}
     assert r["s"].documents + r[None].documents == 303
     assert X.document_scores(docs.limit(0), labels).count() == 0 and X.document_scores(docs.limit(3), labels.limit(0)).count() == 3
+
+
+def test_windows_reach_every_word():
+    """A word counts alike in the last window of a long passage, whether it is its last word or the one before."""
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm import toxicity as X
+
+    w = X.words_of(pa.array(["zzzq"]))
+    weight = np.zeros(1 << 22)
+    b, _ = X._word_features(w, np.array([0]))
+    weight[b] = 9
+    last, before = (" ".join(["ba"] * 22).split() for _ in range(2))
+    last.insert(22, "zzzq")
+    before.insert(21, "zzzq")
+    got = X.Model(weight, -1.0).scores(X.Passages(X.words_of(pa.array([" ".join(last), " ".join(before[:22]) + " ba"]))))
+    assert abs(got[0] - got[1]) < 1e-6
