@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder. The session names it in spark.checkpoint.dir; only where it is unset (a single machine) a temporary one is made."""
+    """``df`` written to the checkpoint folder, which the session names in spark.checkpoint.dir. Only where it is unset and all tasks
+    run on this machine (local mode, as in tests) a temporary one is made; on a cluster that is an error."""
     sc = df.sparkSession.sparkContext
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint"))
     return df.checkpoint(eager=True)
