@@ -9,7 +9,6 @@ these are combined in a tree of small groups until one is left, which is drawn.
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import textvec as T
 from corpusloom.llm.common import shared, table
 from corpusloom.llm.tokens import canonical_source
+from corpusloom.sources.checkpoint import checkpointed
 
 SEED = 20240117
 #: Open records that a task of the reduction tree combines, at most (for each source).
@@ -98,13 +98,6 @@ def _records(pairs: DataFrame) -> DataFrame:
     return pairs.select("row_id", canonical_source(F.col("src")).alias("src"), "response").where(F.col("response").isNotNull() & F.col("response").rlike(r"(?U)\S"))
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint"))  # of a single machine: a cluster names its own
-    return df.checkpoint(eager=True)
-
-
 _ROWS = "row_id long, src string, size double, copies long, fraction double, task long"
 
 
@@ -172,7 +165,7 @@ def mixture(pairs: DataFrame, mix: DataFrame, total: float | None = None) -> Dat
         for s, (_, f, size_) in carry.items():
             yield batch([owner[s]], [s], [size_], [math.floor(held.value[s] + 1e-12)], [f])
 
-    rounded = _checkpointed(_records(pairs).mapInArrow(first, _ROWS))
+    rounded = checkpointed(_records(pairs).mapInArrow(first, _ROWS))
     settled = "fraction is null or isnan(fraction)"
     parts = [rounded.where(settled)]
     # Each level of the tree combines the open records of FAN_IN tasks; the last one draws what stays open.
@@ -186,7 +179,7 @@ def mixture(pairs: DataFrame, mix: DataFrame, total: float | None = None) -> Dat
         if last:
             parts.append(step)
             break
-        step = _checkpointed(step)
+        step = checkpointed(step)
         parts.append(step.where(settled))
         open_, tasks = step.where(f"not ({settled})"), -(-tasks // FAN_IN)
     out = parts[0]

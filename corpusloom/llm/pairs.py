@@ -2,39 +2,45 @@
 
 Languages of prompt and response come from one naive Bayes model over character n-grams; an answer that no stop
 mark ends is held against the likelihood that a text ends after its last words. Copies are found by the words that
-prompt and response share, refusals by first-person declining sentences that leave nothing else in the answer.
+prompt and response share, refusals by a linear model of words and word pairs (``refusals``).
+
+The end-of-text model is asked only about the last words of answers without a stop mark. Their contexts are collected first; a
+bitmap of them, of fixed size, goes to the tasks that count contexts over all responses, so that little else is shuffled.
+The counts are exact and joined to the answers, whatever the number of either.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import nb
+from corpusloom.llm import nb, refusals
 from corpusloom.llm import textvec as T
 from corpusloom.llm.common import LANGS, bounded_sample, canonical_label, shared, table
+from corpusloom.llm.leaks import subsequence
+from corpusloom.sources.checkpoint import checkpointed
 
 #: Labelled responses that the language model is fitted on, at most (twice this at worst).
 SAMPLE_ROWS = 12000
 #: Words of the end-of-text model's longest context, and the weight of a shorter context in sightings of the longer one.
 ORDER, PULL = 5, 2.0
-#: Sightings in all responses from which a word, and a context or a word's beginning, is known; the most keys that are broadcast.
-WORD_SEEN, CONTEXT_SEEN, MOST_KEYS = 3, 2, 1 << 22
+#: Sightings in all responses from which a word, and a context or a word's beginning, is known.
+WORD_SEEN, CONTEXT_SEEN = 3, 2
+#: Bits of the bitmap of contexts that are asked for (16 MB). Beyond it more contexts are counted than are asked for, none is lost.
+BITMAP_BITS = 27
 #: A text that ends after its last words with less likelihood is truncated.
 END_LIKELIHOOD = 0.1
 #: Answers of fewer words than this are names, numbers or phrases: they are neither truncated nor in a language.
 SHORT_WORDS = 4
 #: Log-likelihood gap between languages, for each word of a sentence, that decides it.
 GAP = 1.0
-#: Words within which a sentence declines.
-DECLINE_WORDS = 70
 #: Shares of the response that must lie in the prompt, and of the prompt in the response, in a copy.
 COPY_OF_RESPONSE, COPY_OF_PROMPT = 0.85, 0.6
 
@@ -67,70 +73,13 @@ _NAMES = {
 _ASKS_LANG = {k: re.compile(v) for k, v in _NAMES.items()}
 _TRANSLATE = re.compile(r"translat|anuvaad|anuvad|अनुवाद|भाषांतर|অনুবাদ|மொழிபெயர்")
 
-# Sentences in which the answerer declines. Folded text: lower case, no nuktas, candrabindu as anusvara.
-_REFUSES = re.compile(
-    "|".join(
-        (
-            # English
-            r"\b(?:i|we)\b(?: \w+){0,3}? (?:unable|not able|not allowed|not permitted|cannot|can not|can t|cant|won t|wont|will not|would rather not|d rather not|prefer not|decline|refuse|do not wish|don t wish|am afraid)\b(?: \w+){0,6}? (?:answer|comment|provide|help|assist|discuss|talk|say|tell|share|give|advise|respond|speak|offer|opinion|information|that|this|do|fulfil\w*|comply|engage|complete)",
-            r"\b(?:would|d) rather not\b", r"not (?:a topic|something|a subject) (?:that )?i\b", r"outside (?:of )?what i\b", r"\bmy (?:guidelines|policy|policies|rules|instructions|training)\b", r"beyond what i\b",
-            r"\b(?:you|u) will have to (?:find|look|ask|check)\b", r"\bi (?:have to|must|need to|will have to|shall) (?:decline|refuse|pass|skip)", r"\bi (?:decline|refuse)\b", r"\bi have (?:nothing|no opinion|no comment)", r"\bi do(?: not|n t) (?:discuss|comment|talk|answer|get into|give|have (?:an|the|that|any))", r"not allowed to (?:answer|say|talk|discuss|comment|share|give)",
-            r"\bno (?:comment|answer|opinion|reply|word) from (?:me|us)\b", r"can(?: ?not|t| t) be answered by me", r"\bi am keeping (?:quiet|silent)|\bi (?:will )?(?:stay|remain|keep) (?:silent|quiet)",
-            # Hindi in Latin letters
-            r"\b(?:mujhse|mujh se|mere se)\b.*\b(?:nahi|nahin|nhi|nai|na|mat)\b", r"\bmere paas\b.*\b(?:nahi|nahin|nhi|nai)\b", r"\bmere liye\b.*\b(?:nahi|nahin|nhi|nai|mumkin|mushkil)\b", r"\bmere bas\b", r"\bchup re?hna\b", r"\bmaun\b", r"\bbolne se raha\b",
-            r"\b(?:main|mai|hum)\b.*\b(?:nahi|nahin|nhi|nai)\b(?: \w+)? (?:bata|bol|keh|kah|de|madad|samjha|likh|sujha)\w*(?: \w+)? (?:sakta|sakti|sakunga|sakungi|paunga|chahunga|chahungi|chahta|chahti)\b", r"\b(?:main|mai|hum)\b.*\b(?:nahi|nahin|nhi|nai)\b.*\b(?:chahunga|chahungi|bolunga|bolungi|bataunga|bataungi|lagaunga|samajhta|samajhti)\b",
-            r"\b(?:raay|rai|jawab|jaankari|salah|tippani)\b.*\b(?:dena|karna)\b.*\b(?:nahi|nahin|nhi|nai|mana|uchit)\b", r"\bmujhe\b.*\b(?:ijazat|ijaazat|anumati|allowed|permission)\b.*\b(?:nahi|nahin|nhi|nai)\b", r"\b(?:inkaar|inkar|mana) kar", r"\bmujhe\b.*\b(?:asvikar|mana|inkaar)\b", r"\bkuch (?:bhi )?(?:nahi|nahin|nhi|nai) (?:bata|keh|bol)",
-            # Hindi
-            r"अस्वीकार", r"मेरे बस में", r"मेरे लिए .*(?:नहीं|नही|असंभव|कठिन)", r"(?:मौन|चुप)(?: ही)? (?:रह|ही)", r"टिप्पणी (?:नहीं|नही|करने से)", r"(?:राय|सलाह|उत्तर|जवाब|जानकारी|टिप्पणी) .*(?:देना|देने|करना|करने) .*(?:नहीं|नही|असमर्थ|मना|इनकार)",
-            r"मै[ंं]? .*(?:नहीं|नही) .*(?:सकता|सकती|सकूंगा|चाहूंगा|चाहूंगी|चाहता|करूंगा|दूंगा|बोलूंगा|बताऊंगा|समझता|समझती)", r"कुछ (?:भी )?(?:नहीं|नही) (?:बता|कह|बोल)", r"मुझे .*(?:अनुमति|इजाजत) (?:नहीं|नही)", r"मुझसे .*(?:नहीं|नही)", r"असमर्थ", r"इनकार कर", r"मेरे पास .*(?:नहीं|नही)",
-            # Marathi
-            r"मी .*(?:शकत|शकणार|बोलणार|सांगणार|देणार|करणार|देऊ|बोलू|इच्छित) (?:नाही|नाहि)", r"मला .*(?:परवानगी|शक्य|जमणार|येणार|देता|सांगता|बोलता|योग्य) .*(?:नाही|नाहि)", r"माझ्या(?:कडे|कडून| कडे| कडून)? .*(?:नाही|नाहि)", r"नाकार", r"बोलणार नाही", r"गप्प राह", r"मौन",
-            # Bengali and Tamil
-            r"(?:আমি|আমার|আমাকে).*(?:না|নয়|নেই|অক্ষম|দুঃখিত)", r"দুঃখিত.*(?:পারব|পারছি|পারি)", r"(?:நான்|என்னால்|எனக்கு).*(?:முடியாது|இயலாது|இல்லை|மாட்டேன்|முடியவில்லை)", r"மன்னிக்கவும்",
-        )
-    )
-)
-# Sentences that may stand beside a refusal without adding anything.
-_FILLER = re.compile(
-    "|".join(
-        (
-            r"\bexpert\b", r"\belsewhere\b", r"\bsomeone else\b", r"anything else", r"something else", r"kuch (?:aur|or|n)\b", r"kisi (?:aur|expert|jaankaar)", r"poochn?[ao]", r"pooch lo", r"^(?:good|great|nice|fair) question$", r"^(?:that is|that s|it is|it s) a (?:good|great|fair)", r"thanks? (?:you )?(?:for|0|4) asking", r"^(?:i am |i m |im |so |very )*sorry$", r"^(?:my )?apolog", r"^maaf\b", r"^kshama\b", r"^dekho\b", r"a?chh?a sawaa?l", r"^hmm$",
-            r"विशेषज्ञ", r"और पूछ", r"ओर पूछ", r"तथा पूछ", r"अच्छा सवाल", r"अच्छा प्रश्न", r"^माफ", r"^क्षमा", r"^खेद", r"तज्ज्ञ", r"क्षमस्व", r"आणखी काही", r"काही विचार", r"বিশেষজ্ঞ", r"অন্য কিছু", r"নিপ", r"நிபுண", r"வேறு ஏதாவது", r"மன்னி", r"hope (?:this|that) helps", r"let me put it simply", r"please (?:ask|consult|contact|try|check|look)", r"understand",
-        )
-    )
-)
-_CUES = (
-    r"(?i)\b(i|my|we|me|us|im)\b|mujh|mere|\bmain?\b|\bhum\b|chup|maun|bolne|inkaa?r|\braay|will have to|rather not|allowed|मै|मुझ|मेर|अस्वीकार|टिप्पणी|मौन|चुप|राय|असमर्थ|मी|मला|माझ|नाकार|बोल|आमि|আমি|আমার|আমাকে|দুঃখিত|நான்|என்னால்|எனக்கு|மன்னி|उत्तर|जवाब|जानकारी|jawab|jaankari"
-)
 _CLOSERS = "\"'”’»)]}*_`~"
 # Vowels, and the half vowel that spellings put between them, of the four scripts.
 _VOWELS = "aeiouyअआइईउऊऋएऐओऔयঅআইঈউঊঋএঐওঔযஅஆஇஈஉஊஎஏஐஒஓஔய"
 _DANGLING = ",;:-–—(/&+"
-_UNK = np.uint64(0x1234567)
 _NUM = np.uint64(0x7654321)
 
 
-class EndModel:
-    """Times that a text went on or ended after a context of last words."""
-
-    def __init__(self, contexts: list[np.ndarray], ended: list[np.ndarray], seen: list[np.ndarray], vocabulary: np.ndarray, skeletons: np.ndarray, prefixes: np.ndarray):
-        self.contexts, self.ended, self.seen, self.vocabulary, self.skeletons, self.prefixes = contexts, ended, seen, vocabulary, skeletons, prefixes
-
-    def likelihood(self, last: np.ndarray) -> np.ndarray:
-        """Likelihood of an end after each row of ``last`` (word hashes, the last word last, 0: none): each longer
-        context that was seen corrects the likelihood after the shorter one by its counts."""
-        p = np.full(len(last), 0.1)
-        for k in range(1, ORDER + 1):
-            keys = self.contexts[k - 1]
-            if not len(keys):
-                continue
-            h = _context(last, k)
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = keys[at] == h
-            p[hit] = (self.ended[k - 1][at][hit] + PULL * p[hit]) / (self.seen[k - 1][at][hit] + PULL)
-        return p
-
-
 def _isin(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
     if not len(sorted_keys):
         return np.zeros(len(h), dtype=bool)
@@ -156,13 +105,12 @@ def _skeletons(w: T.Words) -> np.ndarray:
     return np.where(n[w.end] > n[w.start], h, w.hash)
 
 
-def _classes(w: T.Words, skeletons: np.ndarray) -> np.ndarray:
-    """Classes of words: their skeletons, but one class for all with a digit and one for all skeletons not listed."""
+def _numbered(w: T.Words) -> np.ndarray:
+    """Classes of words: their skeletons, but one class for all with a digit."""
     k = T.take(T.tables()[1], w.codes.c)
     n = np.zeros(len(k) + 1, dtype=np.int64)
     np.cumsum(k == T.DIGIT, out=n[1:])
-    h = _skeletons(w)
-    return np.where(n[w.end] > n[w.start], _NUM, np.where(_isin(skeletons, h), h, _UNK))
+    return np.where(n[w.end] > n[w.start], _NUM, _skeletons(w))
 
 
 class Ended:
@@ -183,50 +131,87 @@ class Ended:
         self.is_end[b[ok] - 1] = True
 
 
-def _tally(kind: int, key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """(kind, key, times ended, times seen) of each key."""
-    key, inv = np.unique(key, return_inverse=True)
-    seen = np.bincount(inv, times, len(key)).astype(np.int64)
-    return np.full(len(key), kind, np.int8), key, np.zeros(len(key), np.int64) if ended is None else np.bincount(inv, ended, len(key)).astype(np.int64), seen
+def _word_key(h: np.ndarray) -> np.ndarray:
+    return T.mix(h + np.uint64(3))
 
 
-def word_counts(x: T.Codes) -> list[tuple[np.ndarray, ...]]:
-    """Sightings of words (kind 0) and of their skeletons (kind 1)."""
-    s = Ended(x)
-    return [_tally(0, s.words.hash[s.at]), _tally(1, _skeletons(s.words)[s.at])]
+def _after_key(two: np.ndarray) -> np.ndarray:
+    """Key by which the two words before a last word are asked for."""
+    return T.mix(two ^ np.uint64(0x5851F42D4C957F2D))
+
 
+def _two(last: np.ndarray) -> np.ndarray:
+    """Context of the two words before the last one."""
+    return _context(np.concatenate([np.zeros((len(last), 1), np.uint64), last[:, :-1]], axis=1), 2)
+
+
+class Asked:
+    """The bitmap of the keys that are asked for."""
+
+    def __init__(self, places: np.ndarray, bits: np.ndarray):
+        self.bits = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+        self.bits[places] = bits.view(np.uint64)
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        at = key >> np.uint64(64 - BITMAP_BITS)
+        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _asked(candidates: DataFrame) -> Asked:
+    """The bitmap of all ``keys``, put together by tasks: no more than its own size reaches the driver."""
+    k = candidates.select(F.explode("keys").alias("key"))
+    at = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
+    # A shift of longs takes its last six bits.
+    t = k.groupBy(F.shiftright(at, 6).alias("place")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITMAP_BITS}) & 63))")).alias("bits")).toArrow()
+    return Asked(t["place"].to_numpy(), t["bits"].to_numpy())
+
+
+def _tally(key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(key, times ended, times seen) of each key."""
+    key, inv = np.unique(key, return_inverse=True)
+    seen = np.bincount(inv, times, len(key)).astype(np.int64)
+    return key, np.zeros(len(key), np.int64) if ended is None else np.bincount(inv, ended, len(key)).astype(np.int64), seen
 
-def context_counts(x: T.Codes, vocabulary: np.ndarray, skeletons: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """Sightings and ends of contexts (kinds 1 to ORDER), and of beginnings of known words after the two words before
-    them (kind 0): a last word among these is cut within."""
+
+def context_counts(x: T.Codes, asked: Asked) -> list[tuple[np.ndarray, ...]]:
+    """Of the keys asked for: sightings and ends of contexts, sightings of words, and of beginnings of words after the
+    two words before them (a last word among these is cut within)."""
     s = Ended(x)
     w, at = s.words, s.at
-    last = _last(_classes(w, skeletons), at, s.first)
-    # The same word after the same ones is looked at once.
-    _, i, inv = np.unique(T.mix(_context(last, ORDER) + w.hash[at]), return_index=True, return_inverse=True)
-    times, ended = np.bincount(inv, minlength=len(i)), np.bincount(inv, s.is_end[at], len(i))
-    last, at = last[i], at[i]
-    out = [_tally(k, _context(last, k), ended, times) for k in range(1, ORDER + 1)]
-    known = _isin(vocabulary, w.hash[at])
-    common = at[known]
-    two = _context(np.concatenate([np.zeros((len(common), 1), np.uint64), last[known][:, :-1]], axis=1), 2)
-    _, i, inv = np.unique(T.mix(two + w.hash[common]), return_index=True, return_inverse=True)
-    times, two, common = np.bincount(inv, times[known], len(i)), two[i], common[i]
-    n = np.minimum(w.end[common] - w.start[common] - 1, 15)
+    if not len(at):
+        return []
+    last = _last(_numbered(w), at, s.first)
+    is_end = s.is_end[at]
+    out = []
+    for k in range(1, ORDER + 1):
+        key = _context(last, k)
+        ok = asked(key)
+        out.append(_tally(key[ok], is_end[ok]))
+    key = _word_key(w.hash[at])
+    out.append(_tally(key[asked(key)]))
+    two = _two(last)
+    ok = asked(_after_key(two))
+    _, i, times = np.unique(T.mix(two[ok] + w.hash[at[ok]]), return_index=True, return_counts=True)
+    two, word = two[ok][i], at[ok][i]
+    n = w.end[word] - w.start[word] - 1
     of = np.repeat(np.arange(len(n)), n)
-    start = w.start[common][of]
+    start = w.start[word][of]
     begin = T.span_hash(x.c, start, start + 1 + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
-    return [*out, _tally(0, T.mix(two[of] + begin), times=times[of])]
+    key = T.mix(two[of] + begin)
+    ok = asked(key)
+    out.append(_tally(key[ok], times=times[of][ok]))
+    return out
 
 
-def _counted(df: DataFrame, count: Callable[[T.Codes], list[tuple[np.ndarray, ...]]], least: int) -> dict[int, tuple[np.ndarray, ...]]:
-    """By kind: keys seen ``least`` times or more over all responses, in order, with their ends and sightings. Above MOST_KEYS
-    keys the least number of sightings is raised until they are as many at most."""
+def end_counts(df: DataFrame, asked: Asked) -> DataFrame:
+    """(key, ended, seen) of each key asked for, over the sentences of all responses that a stop mark ends: contexts before each next word
+    went on, the one before the mark ended."""
+    held_bits = shared(df.sparkSession, asked)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for b in T.slices(it, "response", 1 << 23):
-            held += count(T.folded(T.codes(b.column("response"))))
+            held += context_counts(T.folded(T.codes(b.column("response"))), held_bits.value)
             if sum(len(h[0]) for h in held) > 1 << 21:
                 yield batch(held)
                 held = []
@@ -234,45 +219,28 @@ def _counted(df: DataFrame, count: Callable[[T.Codes], list[tuple[np.ndarray, ..
             yield batch(held)
 
     def batch(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        merged = []
-        for k in {h[0][0] for h in held if len(h[0])}:
-            _, key, ended, seen = (np.concatenate(c) for c in zip(*(h for h in held if len(h[0]) and h[0][0] == k), strict=True))
-            merged.append(_tally(k, key, ended, seen))
-        kind, key, ended, seen = (np.concatenate(c) for c in zip(*(merged or held), strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key.view(np.int64)), pa.array(ended), pa.array(seen)], names=["kind", "key", "ended", "seen"])
-
-    c = df.select("response").mapInArrow(run, "kind byte, key long, ended long, seen long")
-    c = c.groupBy("kind", "key").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen")).where(F.col("seen") >= least).persist()
-    try:
-        often = sorted(c.groupBy(F.least("seen", F.lit(1 << 20)).alias("seen")).count().collect(), reverse=True)
-        total = 0
-        for seen, n in often:
-            total += n
-            if total > MOST_KEYS:
-                least = seen + 1
-                break
-        t = c.where(F.col("seen") >= least).select("kind", "key", F.col("ended").cast("float"), F.col("seen").cast("float")).toArrow()
-    finally:
-        c.unpersist()
-    kind, key, ended, seen = (t[n].to_numpy() for n in ("kind", "key", "ended", "seen"))
-    key = key.view(np.uint64)
-    out = {}
-    for k in range(ORDER + 1):
-        at = np.flatnonzero(kind == k)
-        at = at[np.argsort(key[at])]
-        out[k] = key[at], ended[at], seen[at]
-    return out
-
-
-def count_ends(df: DataFrame) -> EndModel:
-    """From the sentences of all responses that a stop mark ends: contexts before each next word went on, the one before the mark ended."""
-    words = _counted(df, word_counts, WORD_SEEN)
-    vocabulary, skeletons = words[0][0], words[1][0]
-    known = shared(df.sparkSession, (vocabulary, skeletons))
-    found = _counted(df, lambda x: context_counts(x, *known.value), CONTEXT_SEEN)
-    known.destroy()
-    by_order = [found[k] for k in range(1, ORDER + 1)]
-    return EndModel([c[0] for c in by_order], [c[1] for c in by_order], [c[2] for c in by_order], vocabulary, skeletons, found[0][0])
+        key, ended, seen = (np.concatenate(c) for c in zip(*held, strict=True))
+        key, ended, seen = _tally(key, ended, seen)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ended), pa.array(seen)], names=["key", "ended", "seen"])
+
+    c = df.select("response").mapInArrow(run, "key long, ended long, seen long")
+    return c.groupBy("key").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen"))
+
+
+def likelihoods(candidates: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row_id, p, cut) of each row of ``candidates`` (row_id, uid, keys): the likelihood of an end after its last words, where each longer
+    context that was seen corrects that after the shorter one by its counts; and whether its last word, unknown or new after the same words, only begins one."""
+    k = candidates.select("row_id", "uid", F.posexplode("keys").alias("place", "key")).where(F.col("place") < ORDER + 2)
+    k = k.join(counts.where(F.col("seen") >= CONTEXT_SEEN), "key", "left")
+    at = lambda i, c: F.max(F.when(F.col("place") == i, F.col(c)))
+    k = k.groupBy("row_id", "uid").agg(*(at(i, c).alias(f"{c}{i}") for i in range(ORDER + 2) for c in ("ended", "seen")))
+    p = F.lit(0.1)
+    for i in range(ORDER):
+        k = k.withColumn(f"p{i}", F.when(F.col(f"seen{i}").isNull(), p).otherwise((F.col(f"ended{i}") + PULL * p) / (F.col(f"seen{i}") + PULL)))
+        p = F.col(f"p{i}")
+    known = F.coalesce(F.col(f"seen{ORDER}") >= WORD_SEEN, F.lit(False))
+    new = ~known | (F.col("seen2").isNull() & (p < 0.5))
+    return k.select("row_id", p.alias("p"), (new & F.col(f"seen{ORDER + 1}").isNotNull()).alias("cut"))
 
 
 def _last(cls: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -318,6 +286,20 @@ def _plain(x: T.Codes, i: int) -> str:
     return " ".join(re.findall(r"[^\W_](?:[^\W_]|[ऀ-ःऺ-ॏ॑-ॗॢॣঁ-ঃা-্ৗஂா-்ௗ])*", x.text(i)))
 
 
+#: Characters of prompt and part up to which they are compared letter by letter, beyond it word by word.
+_LETTERS = 1 << 22
+
+
+def _common(a: str, b: str) -> tuple[float, float]:
+    """Shares of ``b`` and of ``a`` that both have in the same order."""
+    if len(a) * len(b) <= _LETTERS:
+        size = sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size >= 3)
+        return size / len(b), size / len(a)
+    a_, b_ = (np.array([hash(w) for w in t.split()]) for t in (a, b))
+    size = subsequence(a_, b_)
+    return size / len(b_), size / len(a_)
+
+
 def is_copy(prompt: str, response: str) -> bool:
     """Whether the words of a response are those of its prompt, wholly or nearly, once or several times over."""
     response = _DRESS.sub("", response + " ").strip()
@@ -331,33 +313,14 @@ def is_copy(prompt: str, response: str) -> bool:
         step = len(response) / k
         parts = [response[round(i * step) : round((i + 1) * step)] for i in range(k)]
     for part in parts:
-        m = SequenceMatcher(None, prompt, part, autojunk=False)
-        size = sum(b.size for b in m.get_matching_blocks() if b.size >= 3)
-        if size < COPY_OF_RESPONSE * len(part) or size < COPY_OF_PROMPT * n:
+        mine, its = _common(prompt, part) if part.strip() else (0.0, 0.0)
+        if mine < COPY_OF_RESPONSE or its < COPY_OF_PROMPT:
             return False
     return True
 
 
-def _declines(s: str) -> bool:
-    """Whether a sentence declines, within DECLINE_WORDS words in a row: the patterns' time grows faster than a sentence's length."""
-    w = s.split()
-    step = DECLINE_WORDS // 2
-    return any(_REFUSES.search(" ".join(w[i : i + DECLINE_WORDS + step])) for i in range(0, max(1, len(w) - DECLINE_WORDS), step))
-
-
-def is_refusal(sentences: Iterable[str]) -> bool:
-    """Whether at least one sentence declines and no other one adds anything."""
-    found = False
-    for s in sentences:
-        if _declines(s):
-            found = True
-        elif not _FILLER.search(s) and len(s.split()) > 2:
-            return False
-    return found
-
-
-def find(b: pa.RecordBatch, language: np.ndarray, ends: EndModel) -> np.ndarray:
-    """The defect of each row of (instruction, response), or None."""
+def find(b: pa.RecordBatch, language: np.ndarray, declines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The defect of each row of (instruction, response), or None; the rows that the end-of-text model decides, and the keys that each asks for."""
     n = b.num_rows
     out = np.full(n, None, dtype=object)
     raw = T.codes(b.column("response"))
@@ -375,20 +338,16 @@ def find(b: pa.RecordBatch, language: np.ndarray, ends: EndModel) -> np.ndarray:
     shares = np.zeros(n)
     np.divide(np.bincount(w.row, _isin(np.unique(qh), rh), n), count, out=shares, where=count > 0)
     qn = np.diff(q.words.first)
-    for i in np.flatnonzero((out == None) & (shares >= 0.5) & (count >= 2) & (count >= 0.4 * np.minimum(qn, 60))):  # noqa: E711
+    for i in np.flatnonzero((out == None) & (shares >= 0.5) & (count >= 2)):  # noqa: E711
         prompt, whole = _plain(q.codes, i), q.codes.text(i)
         if _ASKS_COPY.search(prompt):
             continue
         response = _plain(x, i)
-        if any(is_copy(p, response) for p in dict.fromkeys([prompt, *_heads(whole)])):
+        if any(is_copy(p, response) for p in dict.fromkeys([prompt, *_lines(whole)])):
             out[i] = "copied"
-    # Refusals: answers with a cue.
-    cue = pc.match_substring_regex(b.column("response").fill_null(""), _CUES).to_numpy(zero_copy_only=False)
-    by_row = np.searchsorted(r.row, np.arange(n + 1))
-    for i in np.flatnonzero((out == None) & cue & (count >= 3)):  # noqa: E711
-        ss = (_words_text(x, a, e) for a, e in zip(r.start[by_row[i] : by_row[i + 1]], r.end[by_row[i] : by_row[i + 1]], strict=True))
-        if is_refusal(ss):
-            out[i] = "refusal"
+    # Refusals.
+    parts = refusals.Parts(w, _numbered, r.start, r.end, r.row)
+    out[(out == None) & refusals.declining(parts, declines)] = "refusal"  # noqa: E711
     # Another language: no sentence of the answer is in a language that the prompt has.
     answered, asked = r.has > 0, q.has > 0
     other = (out == None) & answered.any(axis=1) & asked.any(axis=1) & ~(answered & asked).any(axis=1) & (r.has.sum(axis=1) >= np.maximum(SHORT_WORDS, r.open))  # noqa: E711
@@ -397,25 +356,23 @@ def find(b: pa.RecordBatch, language: np.ndarray, ends: EndModel) -> np.ndarray:
         if not _TRANSLATE.search(prompt) and not any(_ASKS_LANG[LANGS[j]].search(prompt) for j in np.flatnonzero(answered[i])):
             out[i] = "other_language"
     # Truncated.
-    for i in truncated(raw, x, w, count, ends, (out == None) & (count >= SHORT_WORDS)):  # noqa: E711
-        out[i] = "truncated"
-    return out
-
-
-def _heads(text: str) -> list[str]:
-    """The first line of a prompt, as words: what follows may be a context."""
-    first = next((s for s in text.split("\n") if s.strip()), "")
-    x = T.folded(T.codes(pa.array([first])))
-    return [_plain(x, 0)]
+    dangling, open_, keys = unfinished(raw, x, w, parts.skeleton, (out == None) & (count >= SHORT_WORDS))  # noqa: E711
+    out[dangling] = "truncated"
+    return out, open_, keys
 
 
-def _words_text(x: T.Codes, a: int, e: int) -> str:
-    s = x.c[a:e].astype("<u4").tobytes().decode("utf-32-le", "replace")
-    return " ".join(re.sub(r"[^\wऀ-ൿ]+|[।॥_|]", " ", s).split())
+def _lines(text: str) -> list[str]:
+    """The lines of a prompt, as words: one of them may be the question, the others its context."""
+    parts = [s for s in text.split("\n") if s.strip()]
+    if len(parts) < 2:
+        return []
+    x = T.folded(T.codes(pa.array(parts)))
+    return [p for p in (_plain(x, i) for i in range(len(parts))) if p]
 
 
-def truncated(raw: T.Codes, x: T.Codes, w: T.Words, count: np.ndarray, ends: EndModel, rows: np.ndarray) -> np.ndarray:
-    """Rows that no stop mark ends and that don't end after such words."""
+def unfinished(raw: T.Codes, x: T.Codes, w: T.Words, cls: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``rows``, those that end on a sign after which text goes on; those that no stop mark ends; and of each of these the keys
+    that the end-of-text model is asked for: contexts of 1 to ORDER words, the last word, its letters as a beginning, and what they stand after."""
     kind = T.take(T.tables()[1], raw.c)
     skip = (kind == T.SPACE) | ((kind == T.SYMBOL) & ~T.among(raw.c, T.STOPS)) | T.among(raw.c, _CLOSERS) | (T.take(T.tables()[0], raw.c) == 0)
     solid = np.flatnonzero(~skip)
@@ -431,9 +388,8 @@ def truncated(raw: T.Codes, x: T.Codes, w: T.Words, count: np.ndarray, ends: End
     # A closing bracket at the end holds a remark, not the end of the answer.
     who = np.flatnonzero(rows)
     if not len(who):
-        return who
+        return who, who, np.zeros((0, ORDER + 3), np.uint64)
     final = w.first[who + 1] - 1
-    cls = _classes(w, ends.skeletons)
     depth = np.array([_remark(raw, i) for i in who])
     final = np.maximum(final - depth, w.first[who])
     last5 = _last(cls, final, w.first[who])
@@ -448,11 +404,9 @@ def truncated(raw: T.Codes, x: T.Codes, w: T.Words, count: np.ndarray, ends: End
         seg_a, seg_b = w.end[jj], w.start[np.minimum(jj + 1, len(w) - 1)]
         gap_has_stop[ok] = stops[seg_b[ok]] > stops[seg_a[ok]]
         last5[gap_has_stop, : ORDER - k] = 0
-    p = ends.likelihood(last5)
-    # A last word that is unknown, or never stood after the same two words, but begins a word that did.
-    two = _context(np.concatenate([np.zeros((len(who), 1), np.uint64), last5[:, :-1]], axis=1), 2)
-    new = ~_isin(ends.vocabulary, w.hash[final]) | (~_isin(ends.contexts[2], _context(last5, 3)) & (p < 0.5))
-    cut = new & _isin(ends.prefixes, T.mix(two + T.span_hash(x.c, w.start[final], w.end[final])))
+    two = _two(last5)
+    keys = [_context(last5, k) for k in range(1, ORDER + 1)]
+    keys += [_word_key(w.hash[final]), T.mix(two + T.span_hash(x.c, w.start[final], w.end[final])), _after_key(two)]
     # Answers that loop are no cases: the last words were said before.
     h4 = T.ngram_hash(cls, 4)
     loop = np.zeros(len(who), dtype=bool)
@@ -461,7 +415,8 @@ def truncated(raw: T.Codes, x: T.Codes, w: T.Words, count: np.ndarray, ends: End
             own = h4[w.first[i] : f - 2]
             loop[n] = (own == own[-1]).sum() >= 3 or len(np.unique(own)) < 0.6 * len(own)
     dangling = T.among(last[who], _DANGLING)
-    return who[((p < END_LIKELIHOOD) | cut | dangling) & ~loop]
+    ask = ~loop & ~dangling
+    return who[dangling & ~loop], who[ask], np.stack(keys, axis=1)[ask]
 
 
 def _remark(raw: T.Codes, i: int) -> int:
@@ -482,17 +437,28 @@ def defects(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     df = df.select("row_id", "instruction", "response", "lang")
     s = bounded_sample(df, "row_id", sample_rows).where(F.length("response") > 20).select("response", canonical_label(F.col("lang")).alias("label")).toArrow()
     texts = s["response"].combine_chunks() if s.num_rows else pa.array([], pa.string())
-    model = shared(df.sparkSession, (nb.train_languages(texts, s["label"].to_pylist())[0], count_ends(df)))
+    model = shared(df.sparkSession, (nb.train_languages(texts, s["label"].to_pylist())[0], refusals.train(texts, _numbered)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        language, ends = model.value
+        language, declines = model.value
+        uid = TaskContext.get().partitionId() << 40
         for b in T.slices(it, ["instruction", "response"]):
-            found = find(b, language, ends)
+            found, open_, keys = find(b, language, declines)
             at = np.flatnonzero(found != None)  # noqa: E711
-            if len(at):
-                yield pa.RecordBatch.from_arrays([b.column("row_id").take(pa.array(at)), pa.array(found[at], pa.string())], names=["row_id", "defect"])
-
-    return df.select("row_id", "instruction", "response").mapInArrow(run, "row_id long, defect string")
+            rows = np.concatenate([at, open_])
+            if not len(rows):
+                continue
+            offsets = np.concatenate([np.zeros(len(at) + 1, np.int32), np.arange(1, len(open_) + 1, dtype=np.int32) * (ORDER + 3)])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column("row_id").take(pa.array(rows)), pa.array([*found[at], *[None] * len(open_)], pa.string()), pa.array(uid + np.arange(len(rows))), lists], names=["row_id", "defect", "uid", "keys"])
+            uid += len(rows)
+
+    # Two later steps read it: written once, it needs no second look at the texts.
+    found = checkpointed(df.select("row_id", "instruction", "response").mapInArrow(run, "row_id long, defect string, uid long, keys array<long>"))
+    open_ = found.where("defect is null").select("row_id", "uid", "keys")
+    ends = likelihoods(open_, end_counts(df, _asked(open_)))
+    cut = ends.where((F.col("p") < END_LIKELIHOOD) | F.col("cut")).select("row_id", F.lit("truncated").alias("defect"))
+    return found.where("defect is not null").select("row_id", "defect").unionByName(cut)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

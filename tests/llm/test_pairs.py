@@ -69,10 +69,42 @@ def test_ends_are_counted_over_all_rows(spark):
     planted = [(1, "How do I keep a room?", EN[0] + " The lighthouse keeper paints gleam", "en"), (2, "How do I keep a room?", EN[0] + " " + rare.rstrip("."), "en"), (3, "How do I keep a room?", EN[0] + " The lighthouse keeper paints", "en")]
     df = spark.createDataFrame(planted + seen + filler, "row_id long, instruction string, response string, lang string")
     assert rows(P.defects(df, sample_rows=20)) == [(1, "truncated"), (3, "truncated")]
-    ends = P.count_ends(df)
-    last = P._last(P._classes(w := P.T.words(P.T.folded(P.T.codes(P.pa.array([rare])))), ends.skeletons), *(P.np.array([i]) for i in (len(w) - 1, 0)))
-    at = P.np.searchsorted(ends.contexts[4], P._context(last, 5))
-    assert (ends.ended[4][at], ends.seen[4][at]) == (6, 6)
+    w = P.T.words(P.T.folded(P.T.codes(P.pa.array([rare]))))
+    last = P._last(P._numbered(w), *(P.np.array([i]) for i in (len(w) - 1, 0)))
+    keys = [int(k.view(P.np.int64)[0]) for k in (P._context(last, 5), P._word_key(w.hash[-1:]))]
+    counts = P.end_counts(df, P._asked(spark.createDataFrame([(keys,)], "keys array<long>")))
+    assert rows(counts.where(P.F.col("key").isin(keys)).select("ended", "seen")) == [(0, 6), (6, 6)]
+
+
+def test_bitmap_loses_no_key(spark):
+    """Every key put in is found again, and of others hardly any."""
+    rng = P.np.random.default_rng(1)
+    keys = rng.integers(-(1 << 63), 1 << 63, 3000)
+    asked = P._asked(spark.createDataFrame([(keys[i::30].tolist(),) for i in range(30)], "keys array<long>"))
+    assert asked(keys.view(P.np.uint64)).all() and asked(rng.integers(0, 1 << 63, 100000).astype(P.np.uint64)).mean() < 0.01
+
+
+def test_end_likelihood_by_hand(spark):
+    """Contexts of one to five words, each correcting the shorter one; a word cut within; ties and unknown contexts."""
+    candidates = spark.createDataFrame([(7, 1, [1, 2, 3, 4, 5, 6, 7, 8]), (7, 2, [11, 12, 13, 14, 15, 16, 17, 18]), (8, 3, [1, 2, 23, 24, 25, 26, 27, 28])], "row_id long, uid long, keys array<long>")
+    counts = spark.createDataFrame([(1, 5, 10), (2, 4, 4), (3, 0, 1), (6, 0, 3), (7, 0, 9), (27, 0, 2)], "key long, ended long, seen long")
+    p = (4 + 2 * ((5 + 2 * 0.1) / 12)) / 6
+    got = sorted((r.row_id, round(r.p, 9), r.cut) for r in P.likelihoods(candidates, counts).collect())
+    assert got == [(7, 0.1, False), (7, round(p, 9), False), (8, round(p, 9), True)]
+
+
+@pytest.mark.parametrize("times", [1, 2, 3, 4, 5, 6, 8, 13, 20])
+def test_copies_any_number_of_times(times):
+    prompt = "what is the best season for travel in the hills"
+    assert P.is_copy(prompt, " ".join([prompt] * times))
+    assert not P.is_copy(prompt, " ".join([prompt] * times) + " the best season starts after the second harvest when roads are dry and rooms are cheap")
+
+
+def test_copies_of_very_long_prompts():
+    """Thousands of words are compared word by word."""
+    prompt = " ".join(f"w{i * 7919 % 9973}" for i in range(8000))
+    assert P.is_copy(prompt, prompt) and P.is_copy(prompt, " ".join(prompt.split()[:7000]))
+    assert not P.is_copy(prompt, " ".join(reversed(prompt.split())))
 
 
 def test_long_copies_and_refusals(spark):
