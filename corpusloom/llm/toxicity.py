@@ -26,13 +26,14 @@ BITS, DIMENSIONS, ORDERS = 19, 8, (3, 4, 5)
 #: Gradient steps of a round, rounds, step size, decay of embeddings, share of the loss that abusive passages have.
 STEPS, ROUNDS, RATE, DECAY, EPSILON, ABUSIVE_SHARE, SEED = 36, 3, 0.05, 1e-7, 1e-7, 0.3, 7
 #: A feature counts if so many words or pairs have it. Odds from which the best passage of an abusive document, and any of its passages, is meant.
-MIN_SEEN, FIRST_ODDS, SURE_ODDS = 3, 1.0, 1.8
+MIN_SEEN, FIRST_ODDS, SURE_ODDS = 2, 1.6, 2.1
 #: Documents' worth of no evidence that every word's odds start from.
-SMOOTH = 2.0
-#: A passage that scores at least this is abusive. Passages of more words are scored in windows of WINDOW words as well.
-THRESHOLD, LONG, WINDOW = 0.5, 22, 14
-#: A passage of fewer words says too little; it counts with its neighbours where a line break alone made it short.
-SHORT = 3
+SMOOTH = 1.0
+#: A passage that scores at least this is abusive. Passages of more words than WINDOW are scored in windows of so many as well.
+THRESHOLD, WINDOW = 0.5, 14
+#: A passage of fewer words says little: it counts only if the rated documents show one of its words to be abusive by itself, with
+#: SURE_ODDS and in so many abusive documents, at least.
+SHORT, WORD_SEEN = 3, 5
 
 # Digits and signs written for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -40,20 +41,6 @@ _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "
 _BETWEEN = ".*-_~·•+|/\\#^"
 _BREAKS = T.STOPS + "\n\r"
 
-# Written for this module: passages from which the model starts where few or no documents are rated.
-ABUSIVE = (
-    "You are a worthless idiot and nobody wants you here.", "Shut your mouth, you stupid bastard.", "I will break your legs if I see you again.", "Go and die, you useless pig.", "People like them are vermin and should be driven out.",
-    "Those people are all thieves, never trust one of them.", "Burn down their shops so that they learn.", "She took off her clothes and begged him for sex.", "Watch hot naked girls tonight.",
-    "tu ek number ka kamina aur harami hai", "chup kar kutte, warna tera muh tod dunga", "mar ja kahin jaakar suar", "in logon ko yahan se bhagao, sab keede hain", "apni nangi photo bhej na jaan", "raat bhar dono ne sex kiya",
-    "तू एक नंबर का कमीना और हरामी है", "चुप कर कुत्ते, वरना तेरा मुँह तोड़ दूँगा", "मर जा कहीं जाकर सूअर", "इन लोगों को यहाँ से भगाओ, सब कीड़े हैं", "अपनी नंगी तस्वीर भेज", "तू मूर्ख आहेस, तोंड बंद कर हरामखोर",
-)
-HARMLESS = (
-    "The rules say that words such as idiot and bastard are removed.", "The survey published the sex ratio of the district.", "A naked flame near the curtain is dangerous.", "The dog slept near the door.", "Rats were found in the old store room.", "Kill the process and start it again.",
-    "The play tells how their shops were burned and why nobody should repeat it.", "These people welcomed the visitors with songs.", "gadha roz kapde utha leta hai", "gali ka kutta darwaze par so raha hai", "nangi aankhon se taare dekhna mushkil hai", "school mein sex education par charcha hui",
-    "धोबी का गधा कपड़े उठाता है", "गली का कुत्ता दरवाज़े पर सो रहा है", "नियमों में लिखा है कि गधा जैसे शब्द मना हैं", "सूअर पालन का प्रशिक्षण हुआ", "ते लोक जत्रा भरवतात",
-)
-
-
 def normal(x: T.Codes) -> T.Codes:
     """Folded codes with disguises undone: letters for leet signs, no signs between letters, no doubled letters, spelled-out words joined."""
     x = T.folded(x)
@@ -176,10 +163,10 @@ def words_of(col: pa.Array) -> T.Words:
 
 
 class Model:
-    """One number for each feature and the softmax's bias."""
+    """One number for each feature, the softmax's bias, and the hashes of words that are abusive by themselves."""
 
-    def __init__(self, weight: np.ndarray, bias: float):
-        self.weight, self.bias = weight.astype(np.float32), bias
+    def __init__(self, weight: np.ndarray, bias: float, words: np.ndarray | None = None):
+        self.weight, self.bias, self.words = weight.astype(np.float32), bias, np.zeros(0, np.uint64) if words is None else words
 
     def scores(self, p: Passages) -> np.ndarray:
         """Probability that each passage is abusive."""
@@ -196,47 +183,52 @@ class Model:
         s, n = np.append(0, np.cumsum(total)), np.append(0, np.cumsum(count))
         a, e = p.first[:-1], p.first[1:]
         out = (s[e] - s[a]) / (n[e] - n[a])
-        out[e - a < SHORT] = -30 - self.bias
-        for i in np.flatnonzero(e - a > LONG):
+        short = np.flatnonzero(e - a < SHORT)
+        if len(short):
+            own = np.append(0, np.cumsum(np.isin(w.hash, self.words)))
+            out[short[own[e[short]] == own[a[short]]]] = -np.inf
+        for i in np.flatnonzero(e - a > WINDOW):
             x = np.arange(a[i], e[i] - WINDOW + 1)
             out[i] = max(out[i], ((s[x + WINDOW] - s[x]) / (n[x + WINDOW] - n[x])).max())
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -30, 30)))
 
 
-def _evidence(p: Passages, doc: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Mean log odds of each passage's words and pairs, from the abusive and harmless documents that have them."""
-    w = p.words
-    word = w.hash
-    pair = T.mix(w.hash[:-1] * np.uint64(3) + w.hash[1:])[p.pair_ok]
-    feature = np.concatenate([word, pair])
-    of = np.concatenate([p.of, p.of[1:][p.pair_ok]])
+def _odds(p: Passages, feature: np.ndarray, of: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features, the index of each given one, the log odds of each from the abusive and harmless documents that have it, and how many
+    abusive ones do. ``of`` is the passage of each given feature."""
     key, inv = np.unique(feature, return_inverse=True)
     seen = np.unique(inv * np.int64(len(docs)) + p.row[of])
     f, d = seen // len(docs), seen % len(docs)
     pos, neg = np.bincount(f, docs[d], len(key)), np.bincount(f, ~docs[d], len(key))
-    # Smoothed towards no evidence: a feature of few documents says little.
+    # Smoothed towards no evidence: a feature of few documents says little. One that no harmless document has says something even so,
+    # as all usual words occur in harmless ones.
     share = (docs.sum() + 1) / (len(docs) + 2)
-    odds = np.log((pos + SMOOTH * share) / share) - np.log((neg + SMOOTH * (1 - share)) / (1 - share))
-    odds[pos + neg < 3] = 0
-    total, count = np.bincount(of, odds[inv], len(p)), np.bincount(of, minlength=len(p))
-    return total / np.maximum(count, 1)
+    return key, inv, np.log((pos + SMOOTH * share) / share) - np.log((neg + SMOOTH * (1 - share)) / (1 - share)), pos
+
+
+def _evidence(p: Passages, docs: np.ndarray) -> np.ndarray:
+    """Mean log odds of each passage's words and pairs."""
+    w = p.words
+    pair = T.mix(w.hash[:-1] * np.uint64(3) + w.hash[1:])[p.pair_ok]
+    of = np.concatenate([p.of, p.of[1:][p.pair_ok]])
+    _, inv, odds, _ = _odds(p, np.concatenate([w.hash, pair]), of, docs)
+    return np.bincount(of, odds[inv], len(p)) / np.maximum(np.bincount(of, minlength=len(p)), 1)
 
 
 def train(texts: pa.Array, abusive: np.ndarray) -> Model:
-    """From rated documents: 1 abusive, 0 harmless."""
-    seeds = pa.array([*ABUSIVE, *HARMLESS])
-    rated = np.concatenate([abusive.astype(bool), np.arange(len(seeds)) < len(ABUSIVE)])
-    p = Passages(words_of(pa.concat_arrays([texts.cast(pa.string()), seeds])))
-    m = len(p)
+    """From rated documents: 1 abusive, 0 harmless. Where none is rated abusive, nothing scores."""
+    rated = abusive.astype(bool)
+    p = Passages(words_of(texts))
     doc = rated[p.row]
-    seed = p.row >= len(abusive)
+    if not doc.any():
+        return Model(np.zeros(1 << BITS), -np.inf)
     # The passages that a rating means: by the odds of their words, the best one of each abusive document and others like it.
-    odds = _evidence(p, doc, rated)
+    odds = _evidence(p, rated)
     best = np.full(len(rated), -np.inf)
     np.maximum.at(best, p.row, odds)
-    target = doc & (seed | ((odds >= best[p.row]) & (odds > FIRST_ODDS)) | (odds > SURE_ODDS))
+    target = doc & (((odds >= best[p.row]) & (odds > FIRST_ODDS)) | (odds > SURE_ODDS))
     weight = np.where(target | ~doc, 1.0, 0.0)
-    weight[~doc & ~seed & (odds > SURE_ODDS)] = 0  # of a wrong rating, perhaps
+    weight[~doc & (odds > SURE_ODDS)] = 0  # of a wrong rating, perhaps
     # Harmless passages are many and alike: a bounded part of them is enough, those most like abusive ones first.
     other = np.flatnonzero(~target)
     if len(other) > HARMLESS_PASSAGES:
@@ -252,7 +244,8 @@ def train(texts: pa.Array, abusive: np.ndarray) -> Model:
             # What scores in an abusive document is meant as well; a harmless passage that scores for sure is a wrong rating.
             target = target & (prob > 0.2) | doc & (prob > 0.8) & (odds > FIRST_ODDS)
             weight = np.where(doc & ~target, 0.3, np.where(~doc & (prob > 0.95) & (odds > FIRST_ODDS), 0.1, 1.0))
-    return net.model()
+    key, _, word_odds, pos = _odds(p, p.words.hash, p.of, rated)
+    return net.model(key[(word_odds >= SURE_ODDS) & (pos >= WORD_SEEN)])
 
 
 class _Net:
@@ -314,10 +307,10 @@ class _Net:
                 v -= RATE * (m1 / (1 - 0.9**self.t)) / (np.sqrt(m2 / (1 - 0.99**self.t)) + EPSILON)
         return prob
 
-    def model(self) -> Model:
+    def model(self, words: np.ndarray) -> Model:
         weight = np.zeros(1 << BITS, dtype=np.float32)
         weight[self.used] = self.emb @ (self.out[:, 1] - self.out[:, 0])
-        return Model(weight, float(self.bias[1] - self.bias[0]))
+        return Model(weight, float(self.bias[1] - self.bias[0]), words)
 
 
 class _Sums:
@@ -352,8 +345,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
 def document_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, source, score): the score of each document's worst passage.
 
-    Null, blank and wordless texts score 0. Repeated documents count each; without ratings the model has its own few
-    passages only; an empty table gives no row; other columns are ignored.
+    Null, blank and wordless texts score 0. Repeated documents count each; without documents rated abusive all score 0;
+    an empty table gives no row; other columns are ignored.
     """
     model = shared(documents.sparkSession, fit(documents, labels))
 

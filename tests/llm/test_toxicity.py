@@ -59,6 +59,24 @@ def test_harmless(model, text):
     assert score(model, text.format("Kaloru")) < X.THRESHOLD
 
 
+@pytest.mark.parametrize("text", ["Vermin!", "Filthy vermin!", "Hot girls!"])
+def test_short_insults(model, text):
+    """One or two words count where the rated documents show one of them to be abusive by itself."""
+    assert score(model, text) >= X.THRESHOLD
+    assert score(model, "the market in Kaloru sells a cheap version of the lamp. " + text) >= X.THRESHOLD
+
+
+@pytest.mark.parametrize("text", ["The lamp!", "Idiot?", "Cheap", "Kaloru", "zzq qqz"])
+def test_short_harmless(model, text):
+    assert score(model, text) < X.THRESHOLD
+
+
+def test_nothing_rated_abusive():
+    for texts, rated in (([], []), (["you are a worthless idiot"], [False])):
+        m = X.train(pa.array(texts, pa.string()), np.array(rated, dtype=bool))
+        assert score(m, "you are a worthless idiot") < 1e-9 and score(m, "") == 0
+
+
 def test_normal_form():
     x = X.normal(T.codes(pa.array(["k a m i n a", "b3w@kooof", "ha*ra-mi", "4 weeks b4", "don't", "", None])))
     assert [" ".join(x.text(i).split()) for i in range(7)] == ["kamina", "bewakof", "hara-mi", "4 weks b4", "don't", "", ""] or x.text(0).strip() == "kamina"
