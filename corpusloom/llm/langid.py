@@ -2,7 +2,9 @@
 
 Each language has a dictionary of raw text. A sentence belongs to the language whose dictionary compresses it
 smallest; where the margin to the next is narrow it is rejected and takes the language of its neighbours. Only
-dictionaries of the sentence's main script compete: a dictionary in another script has no bytes in common with it.
+dictionaries of the sentence's main script compete: a dictionary in another script has no bytes in common with it. Where one
+language alone has the script, it competes with no dictionary at all. A text of which every sentence is rejected has no language;
+labels serve to sort the dictionaries' text and never answer for a text.
 """
 
 from __future__ import annotations
@@ -25,28 +27,32 @@ from corpusloom.llm.seeds import SEEDS
 SAMPLE_ROWS, DICT_BYTES = 8000, 64 << 10
 #: A sentence is decided if the next dictionary needs more bytes by this much and by this share of the smallest size.
 MARGIN_BYTES, MARGIN_SHARE = 3, 0.04
-#: Compression level of the first look at a sentence, and of the second look at those it rejects.
-LEVEL, SLOW_LEVEL = 6, 19
+#: Compression level; and bytes put after every sentence, which cost the same in all languages: a short sentence alone would be stored
+#: as it is, as small gains don't pay for a compressed block.
+LEVEL, PADDING = 6, b"\0" * 24
+#: Steepness of the confidence in the margin's share of the size.
+STEEP = 8.0
 #: Texts with fewer words that contain a letter have no language of their own.
 MIN_WORDS = 4
 
 SCRIPT_OF = nb.SCRIPT_OF
-_INDEX = {x: i for i, x in enumerate(LANGS)}
-_SCRIPTS = np.array([SCRIPT_OF[x] for x in LANGS])
 
 
-def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
-    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     p = zstandard.ZstdCompressionParameters.from_level(
-        level, source_size=256, dict_size=len(content), write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
+        LEVEL, source_size=256, dict_size=len(content), write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
     )
+    if not content:
+        return zstandard.ZstdCompressor(compression_params=p)
+    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=p)
     return zstandard.ZstdCompressor(dict_data=d, compression_params=p)
 
 
 @lru_cache(4)
-def _compressors(dicts: tuple[bytes, ...], level: int) -> list[zstandard.ZstdCompressor]:
-    return [_compressor(d, level) for d in dicts]
+def _compressors(dicts: tuple[bytes, ...]) -> list[zstandard.ZstdCompressor]:
+    """One for each language and, at last, one without a dictionary."""
+    return [_compressor(d) for d in (*dicts, b"")]
 
 
 def letters(x: T.Codes) -> np.ndarray:
@@ -88,27 +94,19 @@ def classify(s: Sentences, dicts: tuple[bytes, ...]) -> tuple[np.ndarray, np.nda
     margin = np.zeros(len(s), dtype=np.int64)
     size = np.ones(len(s), dtype=np.int64)
     data = s.bytes
+    z = _compressors(dicts)
     for script in set(SCRIPT_OF.values()):
         at = np.flatnonzero(s.script == script)
         own = [i for i, x in enumerate(LANGS) if SCRIPT_OF[x] == script]
         if not len(at):
             continue
-        if len(own) == 1:
-            best[at] = own[0]
-            margin[at] = s.end[at] - s.start[at]
-            continue
-        for level in (LEVEL, SLOW_LEVEL):
-            z = _compressors(dicts, level)
-            parts = [data[a:b] for a, b in zip(s.start[at].tolist(), s.end[at].tolist(), strict=True)]
-            sizes = np.array([[len(x) for x in map(z[i].compress, parts)] for i in own])
-            order = np.argsort(sizes, axis=0, kind="stable")
-            least = np.take_along_axis(sizes, order[:1], 0)[0]
-            best[at] = np.array(own)[order[0]]
-            margin[at] = np.take_along_axis(sizes, order[1:2], 0)[0] - least
-            size[at] = least
-            at = at[~decided(best[at], margin[at], size[at])]
-            if not len(at):
-                break
+        parts = [data[a:b] + PADDING for a, b in zip(s.start[at].tolist(), s.end[at].tolist(), strict=True)]
+        sizes = np.array([[len(x) for x in map(z[i].compress, parts)] for i in (own if len(own) > 1 else [*own, -1])])
+        order = np.argsort(sizes, axis=0, kind="stable")
+        least = np.take_along_axis(sizes, order[:1], 0)[0]
+        best[at] = np.array([*own, -1])[order[0]]
+        margin[at] = np.take_along_axis(sizes, order[1:2], 0)[0] - least
+        size[at] = least
     return best, margin, size
 
 
@@ -143,18 +141,17 @@ def _letter_bytes(text: str) -> bytes:
 
 
 def segments(s: Sentences, dicts: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
-    """Maximal runs of sentences in one language: (row, first sentence, one past the last, language, margin in bytes, decided).
+    """Maximal runs of sentences in one language: (row, first sentence, one past the last, language, confidence).
 
     Rejected sentences join the run before them, or the one after them at a text's start. A text of which every
-    sentence is rejected is one run in the language with the smallest sum of sizes.
+    sentence is rejected is one run without a language (-1) and with a confidence of 0.5 at most.
     """
     best, margin, size = classify(s, dicts)
-    sure = decided(best, margin, size) & (s.words > 0)
-    lang = np.where(sure, best, -1)
+    lang = np.where(decided(best, margin, size) & (s.words > 0), best, -1)
     n = len(s)
     if not n:
         z = np.zeros(0, dtype=np.int64)
-        return z, z, z, z, z, z
+        return z, z, z, z, z
     first = np.searchsorted(s.row, s.row, side="left")
     idx = np.where(lang >= 0, np.arange(n), -1)
     before = np.maximum.accumulate(idx)
@@ -163,33 +160,24 @@ def segments(s: Sentences, dicts: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
     last = np.searchsorted(s.row, s.row, side="right") - 1
     has_b, has_a = before >= first, after <= last
     filled = np.where(has_b, lang[np.maximum(before, 0)], np.where(has_a, lang[np.minimum(after, n - 1)], -1))
-    lost = filled < 0
-    if lost.any():
-        votes = np.zeros((len(s.codes), len(LANGS)))
-        ok = lost & (best >= 0)
-        np.add.at(votes, (s.row[ok], best[ok]), margin[ok] + 0.01 * (s.end - s.start)[ok])
-        filled = np.where(lost & (votes[s.row].max(axis=1) > 0), votes[s.row].argmax(axis=1), filled)
     new = np.ones(n, dtype=bool)
     new[1:] = (s.row[1:] != s.row[:-1]) | (filled[1:] != filled[:-1])
     a = np.flatnonzero(new)
     b = np.append(a[1:], n)
-    total = np.add.reduceat(np.where(best == filled, margin, -margin), a)
-    return s.row[a], a, b, filled[a], total, ~lost[a]
+    # The margin's share of the compressed size, over the run; what is against the run's language counts against it.
+    share = np.add.reduceat(np.where(best == filled, margin, -margin), a) / np.add.reduceat(size, a)
+    confidence = 1 / (1 + np.exp(-STEEP * np.clip(np.where(filled[a] < 0, -np.abs(share), share), -1, 1)))
+    return s.row[a], a, b, filled[a], confidence
 
 
 def segment_rows(batches: Iterator[pa.RecordBatch], dicts: tuple[bytes, ...]) -> Iterator[pa.RecordBatch]:
     """(tbl, ref_id, text, label) to (tbl, ref_id, seg, lang, confidence, label, n_segs, start, end) with one row for each run."""
+    names = np.array([*LANGS, None], dtype=object)
     for b in T.slices(batches, "text"):
         s = Sentences(b.column("text"))
-        row, first, last, lang, total, sure = segments(s, dicts)
-        label = b.column("label")
-        if len(row):
-            # Where compression decides nothing, a label that fits the script stands.
-            lab = np.array([_INDEX.get(x, -1) for x in label.to_pylist()], dtype=np.int64)[row]
-            stands = ~sure.astype(bool) & (lab >= 0) & (_SCRIPTS[lab] == _SCRIPTS[lang])
-            lang = np.where(stands, lab, lang)
-        ok = (lang >= 0) & (s.row_words[row] >= MIN_WORDS) if len(row) else np.zeros(0, bool)
-        row, first, last, lang, total = (x[ok] for x in (row, first, last, lang, total))
+        row, first, last, lang, confidence = segments(s, dicts)
+        ok = s.row_words[row] >= MIN_WORDS if len(row) else np.zeros(0, bool)
+        row, first, last, lang, confidence = (x[ok] for x in (row, first, last, lang, confidence))
         if not len(row):
             continue
         begin = np.searchsorted(row, row, side="left")
@@ -199,8 +187,7 @@ def segment_rows(batches: Iterator[pa.RecordBatch], dicts: tuple[bytes, ...]) ->
         off = s.codes.start[row]
         yield pa.RecordBatch.from_arrays(
             [
-                b.column("tbl").take(at), b.column("ref_id").take(at), pa.array(seg), pa.array(np.array(LANGS, dtype=object)[lang], pa.string()),
-                pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30) / 2.0))), label.take(at), pa.array(n), pa.array(s.start[first] - off), pa.array(s.end[last - 1] - off),
+                b.column("tbl").take(at), b.column("ref_id").take(at), pa.array(seg), pa.array(names[lang], pa.string()), pa.array(confidence), b.column("label").take(at), pa.array(n), pa.array(s.start[first] - off), pa.array(s.end[last - 1] - off),
             ],
             names=["tbl", "ref_id", "seg", "lang", "confidence", "label", "n_segs", "start", "end"],
         )
@@ -232,7 +219,7 @@ def languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     ``df`` has tbl, ref_id, text and label (a code of the six or null); other columns are ignored. Null, blank and
     letterless texts and texts with fewer than four words that contain a letter give no row; repeated rows count
     each; an empty table gives no row. Ties between two languages are narrow margins, hence rejected; a text
-    of which every sentence is rejected has its label's language if that fits the script, else that of the larger sum.
+    of which every sentence is rejected, or has another script, has a null language. Labels don't matter to a text's own result.
     """
     df = df.select("tbl", "ref_id", "text", "label")
     dicts = shared(df.sparkSession, fit(df, sample_rows))
@@ -240,8 +227,9 @@ def languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def wrong_labels(segs: DataFrame) -> DataFrame:
-    """Rows of ``languages`` that a label doesn't tell already: all runs of mixed texts, and texts in one language whose label is missing or another."""
-    return segs.where((F.col("seg") > 0) | F.col("label").isNull() | (F.col("label") != F.col("lang")))
+    """Rows of ``languages`` that a label doesn't tell already: all runs of mixed texts, and texts in one language whose label is missing or another.
+    Rejected texts are no such rows."""
+    return segs.where(F.col("lang").isNotNull()).where((F.col("seg") > 0) | F.col("label").isNull() | (F.col("label") != F.col("lang")))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

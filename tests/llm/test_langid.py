@@ -40,6 +40,19 @@ def test_labels_that_are_right_are_no_cases(segments):
     assert all(0 < r.confidence <= 1 for r in segments.collect())
 
 
+def test_labels_answer_for_no_text():
+    """Whatever a text's own label says, its result is the same; what no dictionary compresses has no language."""
+    dicts = L.train(pa.array([a + " " + b for ss in (HI, MR, HG, EN) for a in ss for b in ss]), [k for k, ss in (("hi", HI), ("mr", MR), ("hinglish", HG), ("en", EN)) for _ in range(len(ss) ** 2)])
+    texts = [HI[0], MR[1], HG[2], EN[3], BN[0], TA[1], "qwzx vbnq zzkp wqjx pqlm xxvz", "ৎৎঢ় ঐঐঔ ঊঊঋ ৎঢ়ৎ ঔঔঐ", EN[1] + " " + HI[1]]
+    out = []
+    for label in (None, "en", "hinglish", "hi", "bn"):
+        b = pa.RecordBatch.from_arrays([pa.array(["t"] * len(texts)), pa.array(range(len(texts))), pa.array(texts), pa.array([label] * len(texts), pa.string())], names=["tbl", "ref_id", "text", "label"])
+        out.append([(r["ref_id"], r["seg"], r["lang"], r["confidence"]) for p in L.segment_rows(iter([b]), dicts) for r in p.to_pylist()])
+    assert all(x == out[0] for x in out)
+    assert [x[2] for x in out[0]] == ["hi", "mr", "hinglish", "en", "bn", "ta", None, None, "en", "hi"]
+    assert all((x[3] > 0.5) == (x[2] is not None) for x in out[0])
+
+
 def test_held_out_accuracy():
     """Trained on half of the labelled rows, wrong labels among them, the other half's labels must agree but for wrong ones."""
     try:
