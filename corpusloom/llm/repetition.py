@@ -1,10 +1,11 @@
 """Problem 5: repetition inside a document, by bands of zstandard ratios over whole texts and fixed chunks.
 
-Two ratios are taken. That of the text's own bytes rejects what is incompressible or compresses far too well for its
-length. That of the text's words, each written as eight bytes of its hash, depends on neither script nor spelling of
+Two ratios are taken. That of the text's own bytes, whole and by chunk, tells what is incompressible or compresses far too well for
+its length (``BANDS``). That of the text's words, each written as eight bytes of its hash, depends on neither script nor spelling of
 words: without repetition it is 1, and a run of words that occurred before costs a few bytes in all. Its
 length-specific limit is so wide that no text with the share of repetition asked for can lie beyond it (see
-``limit``); an exact count over those it lets through, and over all texts too long for the limit, gives the share.
+``limit``); an exact count over those it lets through gives the share. Chunks can't rule a text out there, as what repeats may lie
+chunks apart.
 """
 
 from __future__ import annotations
@@ -22,39 +23,43 @@ from corpusloom.llm.common import table
 
 #: A run has at least so many words; a text at least so many; and at least this share of its words lies in runs that occurred before.
 RUN, MIN_WORDS, SHARE = 4, 12, 0.30
-#: Bytes of a chunk of text, words of a chunk of words.
-CHUNK_BYTES, CHUNK_WORDS = 2048, 256
+#: Bytes of a chunk of text; words up to which the fast compressor finds every run, beyond which the one that looks at every place is used.
+CHUNK_BYTES, FAST_WORDS = 2048, 256
 #: Bands of the byte ratio by the text's bytes: (from bytes, repetitive below, incompressible above).
 BANDS = ((0, 0.0, 9.0), (100, 0.22, 1.05), (300, 0.18, 1.0), (1000, 0.14, 0.85), (4000, 0.10, 0.75), (20000, 0.06, 0.7))
-LEVEL = 6
+LEVEL, THOROUGH = 6, 16
+#: Bits of the widest window (128 MB).
+MOST_LOG = 27
 
 
 def limit(words: np.ndarray) -> np.ndarray:
     """Largest word ratio of a text that may have SHARE of its words in repeated runs.
 
     Such a text has 0.3 n words or more in matches of RUN words, 32 bytes, or longer; a match costs up to some 4 bytes
-    and saves 28: the ratio is at most 1 - 0.3 * 28 / 32 = 0.74 but for up to 14 bytes of headers, 1.75 / n. This holds
-    for CHUNK_WORDS words at most: in longer texts the compressor may skip over runs, as it searches in wider steps the
-    more bytes had no match, by up to 8 bytes within 256 words. See ``may_repeat``.
+    and saves 28: the ratio is at most 1 - 0.3 * 28 / 32 = 0.74 but for up to 14 bytes of headers, 1.75 / n. The fast compressor
+    searches in wider steps the more bytes had no match, by up to 8 bytes within FAST_WORDS words, which the limit's room covers; for
+    longer texts the optimal parser looks at every byte. The window holds the whole text.
     """
     return 0.82 + 2.4 / np.maximum(words, 1)
 
 
 def may_repeat(words: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    """Whether a text may have SHARE of its words in repeated runs: by its word ratio, but always if it has more than CHUNK_WORDS words."""
-    return (words >= MIN_WORDS) & ((words > CHUNK_WORDS) | (ratio <= limit(words)))
+    """Whether a text may have SHARE of its words in repeated runs, by its word ratio; one whose words no window holds may always."""
+    return (words >= MIN_WORDS) & ((ratio <= limit(words)) | (words > 1 << (MOST_LOG - 3)))
 
 
-@lru_cache(32)
-def _sized(log: int) -> zstandard.ZstdCompressor:
-    wide = {"window_log": log, "hash_log": min(log + 1, 22), "chain_log": min(log + 1, 22)} if log > 12 else {}
-    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=1 << log, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **wide)
+@lru_cache(64)
+def _sized(log: int, thorough: bool) -> zstandard.ZstdCompressor:
+    wide = {"window_log": log, "hash_log": min(log + 1, 24), "chain_log": min(log + 1, 24)} if log > 12 else {}
+    if thorough:
+        wide["strategy"] = zstandard.STRATEGY_BTOPT
+    p = zstandard.ZstdCompressionParameters.from_level(THOROUGH if thorough else LEVEL, source_size=1 << log, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **wide)
     return zstandard.ZstdCompressor(compression_params=p)
 
 
-def _z(size: int) -> zstandard.ZstdCompressor:
+def _z(size: int, thorough: bool = False) -> zstandard.ZstdCompressor:
     """A compressor whose window holds ``size`` bytes (128 MB at most)."""
-    return _sized(min(max(12, (size - 1).bit_length()), 27))
+    return _sized(min(max(12, (size - 1).bit_length()), MOST_LOG), thorough)
 
 
 @lru_cache(1)
@@ -96,18 +101,15 @@ def repeated_share(w: T.Words, rows: int) -> np.ndarray:
     return out
 
 
-def word_ratios(w: T.Words, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ratio of each row's word codes when compressed, whole and in its best chunk."""
+def word_ratios(w: T.Words, rows: int) -> np.ndarray:
+    """Ratio of each row's word codes when compressed."""
     data = w.hash.tobytes()
-    whole, chunk = np.ones(rows), np.ones(rows)
+    out = np.ones(rows)
     for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
         n = b - a
         if n >= MIN_WORDS:
-            z = _z(8 * n)
-            whole[i] = chunk[i] = len(z.compress(data[8 * a : 8 * b])) / (8 * n)
-            if n > CHUNK_WORDS:
-                chunk[i] = min(len(_z(8 * CHUNK_WORDS).compress(data[8 * j : 8 * min(j + CHUNK_WORDS, b)])) / (8 * min(CHUNK_WORDS, b - j)) for j in range(a, b - MIN_WORDS, CHUNK_WORDS))
-    return whole, chunk
+            out[i] = len(_z(8 * n, n > FAST_WORDS).compress(data[8 * a : 8 * b])) / (8 * n)
+    return out
 
 
 def byte_ratios(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +135,7 @@ def repetition(df: DataFrame) -> DataFrame:
     """(row_id, words, ratio, chunk_ratio, word_ratio, band, repeated_share) of each row of (row_id, response).
 
     Null, blank and wordless responses have 0 words, a word ratio of 1 and a share of 0; texts of fewer than twelve
-    words aren't compressed as words. The share is 0 where the word ratio already rules SHARE out. Repeated rows count
+    words aren't compressed as words. The share is exact for every text. Repeated rows count
     each; an empty table gives no row; other columns are ignored.
     """
 
@@ -141,8 +143,7 @@ def repetition(df: DataFrame) -> DataFrame:
         for b in T.slices(it, "response"):
             w = plain_words(b.column("response"))
             n = np.diff(w.first)
-            coded, _ = word_ratios(w, b.num_rows)
-            share = np.where(may_repeat(n, coded) | (n < MIN_WORDS), repeated_share(w, b.num_rows), 0.0)
+            coded, share = word_ratios(w, b.num_rows), repeated_share(w, b.num_rows)
             size, whole, chunk = byte_ratios(b.column("response"))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(n), pa.array(whole), pa.array(chunk), pa.array(coded), pa.array(band(size, whole, chunk)), pa.array(share)], names=["row_id", "words", "ratio", "chunk_ratio", "word_ratio", "band", "repeated_share"])
 
@@ -150,13 +151,16 @@ def repetition(df: DataFrame) -> DataFrame:
 
 
 def repetitive(df: DataFrame) -> DataFrame:
-    """row_id of each response with MIN_WORDS or more words, SHARE or more of them in repeated runs."""
+    """row_id of each response with MIN_WORDS or more words, SHARE or more of them in repeated runs.
+
+    Null, blank and short responses give no row; repeated rows count each; an empty table gives no row; other columns are ignored.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(it, "response"):
             w = plain_words(b.column("response"))
             n = np.diff(w.first)
-            coded, _ = word_ratios(w, b.num_rows)
+            coded = word_ratios(w, b.num_rows)
             at = np.flatnonzero(may_repeat(n, coded))
             if len(at):
                 part = plain_words(b.column("response").take(pa.array(at)))

@@ -43,7 +43,7 @@ def test_bands_lose_no_case():
     rng = random.Random(1)
     texts = []
     for _ in range(1500):
-        n = rng.choice([12, 13, 16, 25, 40, 80, 200, 700])
+        n = rng.choice([12, 13, 16, 25, 40, 80, 200, 256, 257, 300, 700])
         words = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}" for i in range(n)]
         need = -(-3 * n // 10)
         out, runs = words[: n - need], []
@@ -58,11 +58,40 @@ def test_bands_lose_no_case():
         texts.append(" ".join(body))
     w = R.plain_words(pa.array(texts))
     n = np.diff(w.first)
-    coded, _ = R.word_ratios(w, len(texts))
+    coded = R.word_ratios(w, len(texts))
     case = (n >= R.MIN_WORDS) & (R.repeated_share(w, len(texts)) >= R.SHARE)
     assert case.sum() > 300 and (coded[case] <= R.limit(n[case])).all()
 
 
+def test_limit_holds_for_long_texts():
+    """Just the share asked for in runs of four: at the end, spread over the second half, and among few different words; to 100,000 words."""
+    rng = np.random.default_rng(4)
+    for n in (257, 512, 1000, 4000, 20000, 100000):
+        for mode in ("tail", "spread", "few"):
+            fresh = n - 4 * -(-3 * n // 40)
+            w = rng.integers(1, 1 << 60, fresh) if mode != "few" else rng.permutation(np.repeat(rng.integers(1, 1 << 60, fresh // 4 + 1), 4))[:fresh]
+            runs = [w[a : a + 4] for a in rng.integers(0, fresh // 2, -(-3 * n // 40))]
+            at = np.sort(rng.integers(fresh // 2, fresh + 1, len(runs))) if mode == "spread" else np.full(len(runs), fresh)
+            h = np.insert(w, np.repeat(at, 4), np.concatenate(runs)).astype(np.uint64)
+            text = " ".join("".join(chr(97 + int(x) // 26**k % 26) for k in range(11)) for x in h)
+            v = R.plain_words(pa.array([text]))
+            share, ratio = R.repeated_share(v, 1)[0], R.word_ratios(v, 1)[0]
+            assert share < R.SHARE or ratio <= R.limit(np.array([len(h)]))[0] - 0.03
+
+
+def test_share_below_the_limit_is_reported(spark):
+    """p5_repetition gives the exact share where it is too small for p5_found, too."""
+    rng = random.Random(6)
+    texts = []
+    for n, again in ((235, 35), (250, 20), (1000, 100), (3000, 40), (60, 4)):
+        w = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(n - again)]
+        texts.append(" ".join(w + w[5 : 5 + again]))
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, response string")
+    got = {r.row_id: r.repeated_share for r in R.repetition(df).collect()}
+    assert got == {i: brute(t)[1] for i, t in enumerate(texts)} and all(0 < v < R.SHARE for v in got.values())
+    assert R.repetitive(df).count() == 0
+
+
 def test_repeats_far_back(spark):
     """Passages said again thousands of words later, whole or in runs of four, in any place; a long text without any."""
     rng = random.Random(2)
