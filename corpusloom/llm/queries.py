@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_sequences": packing.p6_sequences,
     "p6_fill": packing.p6_fill,
     "p7_found": leaks.p7_found,
+    "p7_cleaned": leaks.p7_cleaned,
     "p8_found": toxicity.p8_found,
     "p8_rates": toxicity.p8_rates,
 }

@@ -70,16 +70,13 @@ def test_subsequence_against_the_table():
         assert L.subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == t[-1][-1]
 
 
-def test_pieces_after_stray_own_words():
+def test_pieces_after_stray_own_words(spark):
     """Half of an item or more, edited, after a few of its own words that stand apart: all that a window at every own word finds."""
     import numpy as np
-    import pyarrow as pa
-
-    from corpusloom.llm import textvec as T
 
     rng = random.Random(4)
     texts = [ITEMS[i] for i in sorted(ITEMS)]
-    items = L.Items(np.arange(len(texts)), pa.array(texts), L.common_ngrams(iter([pa.array(texts)])))
+    items = next(L._blocks(L.classes(spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")), 1 << 20))
     lost = total = 0
     for _ in range(1500):
         k = rng.randrange(len(texts))
@@ -98,3 +95,40 @@ def test_pieces_after_stray_own_words():
         total += 1
         lost += not L.in_pieces(items, k, np.concatenate([*parts, other(60)]))
     assert total > 500 and lost == 0
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3, 7])
+def test_equal_items_leak_together(spark, copies):
+    """An item that the benchmark has more than once, in other case and punctuation, is found under each of its ids."""
+    same = [(100 + i, ITEMS[2] if i % 2 else ITEMS[2].upper().replace(".", " !")) for i in range(copies)]
+    b = spark.createDataFrame([*same, *((i, t) for i, t in ITEMS.items() if i != 2)], "item_id long, text string")
+    own = ITEMS[2].split()
+    d = spark.createDataFrame([(1, NOISE + " " + ITEMS[2]), (2, " ".join(own[5:18])), (3, changed(ITEMS[2])), (4, NOISE)], "doc_id long, text string")
+    assert sorted(rows(L.leaks(d, b))) == sorted((i, k) for i in (1, 2, 3) for k, _ in same)
+
+
+def test_run_hits_are_verified(spark):
+    """A run key that another text's words would share is no hit unless the twelve words are the item's."""
+    import numpy as np
+    import pyarrow as pa
+
+    items = next(L._blocks(L.classes(spark.createDataFrame([(1, ITEMS[2])], "item_id long, text string")), 1 << 20))
+    other = L.normal_words(pa.array(["one two three four five six seven eight nine ten eleven twelve"]))[0]
+    items.run_keys, items.run_at, items.run_item = L._ngrams(other, L.RUN)[0], np.array([0]), np.array([0])
+    items.table[:] = True
+    assert L.scan(other, items) == []
+
+
+def test_cleaned(spark, tables):
+    d, b = tables
+    for size in (1 << 20, 300):
+        got = {r.doc_id: r for r in L.cleaned(d, b, block_bytes=size).collect()}
+        assert {i: r.action for i, r in got.items()} == {1: "cut", 2: "cut", 3: "dropped", 4: "dropped", 5: "kept", 6: "kept", 7: "kept", 8: "kept", 9: "kept", 10: "kept", 11: "dropped", 12: "dropped"}
+        assert " ".join(got[1].text.split()) == NOISE + " " + NOISE and got[9].text is None and got[8].text == NOISE
+        assert got[2].leaked_words == 13 and got[2].text.split()[-1] == NOISE.split()[-1] and got[3].text is None
+    left = spark.createDataFrame([(i, r.text) for i, r in got.items()], "doc_id long, text string")
+    assert L.leaks(left, b).count() == 0
+    twice = spark.createDataFrame([(1, " ".join([NOISE, ITEMS[2], NOISE * 9, ITEMS[2], NOISE]))], "doc_id long, text string")
+    r = L.cleaned(twice, b).first()
+    assert r.action == "cut" and r.leaked_words == 2 * len(L.normal_words(__import__("pyarrow").array([ITEMS[2]]))[0])
+    assert L.cleaned(d.limit(0), b).count() == 0 and {r.action for r in L.cleaned(d, b.limit(0)).collect()} == {"kept"}
