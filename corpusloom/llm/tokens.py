@@ -108,17 +108,31 @@ class DoubleArray:
 
 
 class Unigram:
-    """A unigram vocabulary: pieces with log scores. A character that no piece covers costs one token for each of its bytes."""
+    """A unigram vocabulary: pieces with log scores. A character that no piece covers costs one token for each of its bytes. ``rules`` is
+    the model whose normalizer segments pass first, if it has one; ``strip`` is whether it drops all but one blank."""
 
-    def __init__(self, pieces: dict[str, float]):
+    def __init__(self, pieces: dict[str, float], rules: bytes | None = None, strip: bool = False):
+        self.rules, self.strip = rules, strip
         self.trie = DoubleArray({p.replace("▁", " ").encode(): s for p, s in pieces.items() if p})
         self.unknown = min(pieces.values(), default=0.0) - 10.0
 
+    def normal(self, segments: list[bytes]) -> list[bytes]:
+        texts = [s.decode("utf-8", "replace") for s in segments]
+        if self.rules is not None:
+            texts = _normalizer(self.rules).normalize(texts)
+        if self.strip:
+            texts = ["".join(" " + x for x in t.split(" ") if x) for t in texts]
+        return [t.encode() for t in texts]
+
     def counts(self, segments: list[bytes]) -> np.ndarray:
-        """Tokens of the best path of each segment."""
+        """Tokens of the best path of each segment, once normalized."""
+        if self.rules is not None or self.strip:
+            segments = self.normal(segments)
         n = np.array([len(s) for s in segments], dtype=np.int64)
         data = np.frombuffer(b"".join(segments), dtype=np.uint8)
         total = len(data)
+        if not total:
+            return np.zeros(len(segments), dtype=np.int64)
         off = np.cumsum(n) - n
         stop = np.repeat(off + n, n)  # end of the segment of each byte
         lead = (data & 0xC0) != 0x80
@@ -168,6 +182,13 @@ class Unigram:
         return length[off + n + np.arange(len(n))]
 
 
+@lru_cache(2)
+def _normalizer(model: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceNormalizer(model_proto=model, add_dummy_prefix=False, escape_whitespaces=False, remove_extra_whitespaces=False)
+
+
 def zipf_scores(pieces: list[str]) -> dict[str, float]:
     """Unigram scores of pieces in order of rank."""
     return {p: -math.log(i + ZIPF_SHIFT) for i, p in enumerate(pieces)}
@@ -175,17 +196,24 @@ def zipf_scores(pieces: list[str]) -> dict[str, float]:
 
 @lru_cache(2)
 def load_unigram(path: str = VOCABULARY) -> Unigram:
-    """The vocabulary of a SentencePiece model: with its own scores if it is a unigram model, by rank if not.
+    """The vocabulary of a SentencePiece model: with its own scores if it is a unigram model, by rank if not; and with its normalizer.
 
     Merge ranks are whole numbers that fall by one from piece to piece; log probabilities are not.
     """
     import sentencepiece
-
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        proto = f.read()
+    model.ParseFromString(proto)
+    spec = model.normalizer_spec
+    rules = proto if spec.precompiled_charsmap else None
+    sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
     ids = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
     pieces, scores = [sp.id_to_piece(i) for i in ids], [sp.get_score(i) for i in ids]
     own = any(s != int(s) for s in scores if abs(s) < 1e8)
-    return Unigram(dict(zip(pieces, scores, strict=True)) if own else zipf_scores(pieces))
+    return Unigram(dict(zip(pieces, scores, strict=True)) if own else zipf_scores(pieces), rules, spec.remove_extra_whitespaces)
 
 
 def segments(col: pa.Array) -> tuple[T.Codes, np.ndarray, np.ndarray, np.ndarray]:

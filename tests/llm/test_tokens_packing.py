@@ -28,6 +28,17 @@ def test_double_array(entries):
             assert (t.get(other) == entries[other]) if other in entries else t.get(other) != t.get(other)
 
 
+def test_segments_are_normalized_first():
+    """A unigram model's own rules (here lower case and compatibility forms) come before its pieces; dropped blanks cost nothing."""
+    spm = pytest.importorskip("sentencepiece")
+    rules = spm.SentencePieceNormalizer(rule_name="nmt_nfkc_cf").serialized_model_proto()
+    pieces = {"▁abc": -1.0, "▁": -2.0, "xii": -1.5, "a": -3.0}
+    plain, own = K.Unigram(pieces), K.Unigram(pieces, rules, strip=True)
+    texts = [" ＡＢＣ".encode(), b" ABC", " Ⅻ".encode(), b"   ", b" abc", b"", b"   abc"]
+    assert own.counts(texts).tolist() == [1, 1, 2, 0, 1, 0, 1]
+    assert plain.counts(texts)[[1, 3, 4, 5, 6]].tolist() == [4, 3, 1, 0, 3]
+
+
 def viterbi(segment: str, pieces: dict[str, float], unknown: float) -> int:
     best = [(0.0, 0)] + [(-1e18, 0)] * len(segment)
     for i in range(len(segment)):
