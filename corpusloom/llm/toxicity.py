@@ -187,9 +187,12 @@ class Model:
         if len(short):
             own = np.append(0, np.cumsum(np.isin(w.hash, self.words)))
             out[short[own[e[short]] == own[a[short]]]] = -np.inf
-        for i in np.flatnonzero(e - a > WINDOW):
-            x = np.arange(a[i], e[i] - WINDOW + 1)
-            out[i] = max(out[i], ((s[x + WINDOW] - s[x]) / (n[x + WINDOW] - n[x])).max())
+        long = np.flatnonzero(e - a > WINDOW)
+        if len(long):
+            k = (e - a)[long] - WINDOW + 1
+            at = np.cumsum(k) - k
+            x = np.arange(k.sum()) + np.repeat(a[long] - at, k)
+            out[long] = np.maximum(out[long], np.maximum.reduceat((s[x + WINDOW] - s[x]) / (n[x + WINDOW] - n[x]), at))
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -30, 30)))
 
 
