@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.wordlists import MEETING
+
 DEVANAGARI = "ऀ-ॿ"
 #: White space as Python's str.split has it.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -253,8 +255,7 @@ def query_mood(t: Column) -> Column:
 
 def task_priority(t: Column) -> Column:
     """high before low, medium without either."""
-    s = F.lower(t)
-    return F.when(s.rlike(r"\b(urgent|asap|immediately|critical|high priority|today)\b"), "high").when(s.rlike(r"\b(low priority|whenever|eventually|nice to have|someday)\b"), "low").otherwise("medium")
+    return F.when(t.rlike(pyregex(MEETING["high"])), "high").when(t.rlike(pyregex(MEETING["low"])), "low").otherwise("medium")
 
 
 def whole_words(listed: list[str]) -> str:
@@ -287,3 +288,10 @@ def code_of(t: Column, places: list[tuple[str, str]]) -> Column:
         cond = F.contains(low, F.lit(name.lower()))
         named = F.when(cond, code) if named is None else named.when(cond, code)
     return F.when(up.isin([c for c, _ in places]), up).otherwise(named.otherwise(up))
+
+
+def hash_embedding(t: Column) -> Column:
+    """128 numbers from the 64 bytes of a text's SHA-512, said twice, each from -1 to 1, scaled to length 1."""
+    half = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substring(F.sha2(t, 512), i * 2 + 1, F.lit(2)), 16, 10).cast("double") / 127.5 - 1)
+    unit = let(half, lambda v: let(F.sqrt(2 * F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), lambda n: F.transform(F.concat(v, v), lambda x: F.when(n > 0, x / n).otherwise(x))))
+    return F.when(t.isNotNull(), unit)

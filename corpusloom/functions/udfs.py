@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import difflib
-import hashlib
 import json
 import re
 import unicodedata
 from urllib.parse import unquote_to_bytes
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.wordlists import REDACT
+
 
 def _each(fn):
     return lambda s: s.map(lambda x: None if x is None else fn(x))
@@ -117,17 +117,16 @@ def chunks(limit: int = 500):
     return split
 
 
-_KINDS = (("email", r"[\w.+-]+@[\w-]+\.[\w.]+"), ("ssn", r"\b\d{3}-\d{2}-\d{4}\b"), ("card", r"\b(?:\d[ -]?){12,18}\d\b"), ("phone", r"(?:\+?\d{1,2}[-. ]?)?\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}\b"))
+_KINDS = tuple((kind, re.compile(rx, re.IGNORECASE)) for kind, rx in REDACT.items())
 
 
 def _redact(t: str) -> str:
-    spans: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []
     for kind, rx in _KINDS:
-        for m in re.finditer(rx, t):
-            if all(m.end() <= a or m.start() >= b for a, b, _ in spans):
-                spans.append((m.start(), m.end(), kind))
+        free = [(m.start(), m.end(), kind) for m in rx.finditer(t)]
+        taken += [x for x in free if all(x[1] <= a or x[0] >= b for a, b, _ in taken)]
     out, at = [], 0
-    for a, b, kind in sorted(spans):
+    for a, b, kind in sorted(taken):
         out += [t[at:a], f"[REDACTED-{kind}]"]
         at = b
     return "".join([*out, t[at:]])
@@ -203,35 +202,3 @@ def line_diff(a: pd.Series, b: pd.Series) -> pd.Series:
         return [{"op": op, "a": "\n".join(p[i1:i2]), "b": "\n".join(q[j1:j2])} for op, i1, i2, j1, j2 in difflib.SequenceMatcher(None, p, q).get_opcodes() if op != "equal"]
 
     return pd.Series([None if x is None or y is None else diff(x, y) for x, y in zip(a, b, strict=True)])
-
-
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def hash_embedding(s: pd.Series) -> pd.Series:
-    """128 numbers from a text's SHA-512, with length 1."""
-
-    def embed(t: str) -> list[float]:
-        h = hashlib.sha512(t.encode()).digest()
-        v = np.frombuffer(h + hashlib.sha512(h).digest(), dtype=np.uint8).astype(np.float64) / 127.5 - 1
-        return (v / np.linalg.norm(v)).astype(np.float32).tolist()
-
-    return _each(embed)(s)
-
-
-def schema_reward(keys: list[str]):
-    """How much of a reply is the JSON object asked for: 1 as it stands, 0.2 inside other text, 0 not at all, times the share of its keys."""
-
-    @F.pandas_udf(T.DoubleType())
-    def score(s: pd.Series) -> pd.Series:
-        def one(t: str) -> float:
-            for part, form in ((t, 1.0), (t[t.find("{") : t.rfind("}") + 1] if "{" in t else "", 0.2)):
-                try:
-                    v = json.loads(part)
-                except ValueError:
-                    continue
-                if isinstance(v, dict):
-                    return form * (sum(k in v for k in keys) / len(keys) if keys else 1.0)
-            return 0.0
-
-        return _each(one)(s)
-
-    return score

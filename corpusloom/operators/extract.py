@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.functions import wordlists as W
+
+#: Line ends as Python's str.splitlines has them.
+BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def html_text(t: Column) -> Column:
@@ -17,30 +21,95 @@ def html_text(t: Column) -> Column:
 
 
 def findings(df: DataFrame, key: str, text: str, patterns: Mapping[str, str], luhn: tuple[str, ...] = ("credit_card",)) -> DataFrame:
-    """(key, line, kind, masked, context) of every match in every line, lines from 1; kinds in ``luhn`` need the check digit."""
-    lines = df.select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("_i", "_line"))
-    per = F.array(*(F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("_line", F.lit(f"({p})"), F.lit(1)).alias("found")) for k, p in patterns.items()))
+    """(key, line, kind, masked, context) of every match in every line, lines from 1; kinds in ``luhn`` need the check digit.
+
+    One look at the whole text with all patterns comes first, so that lines are cut of few texts only. Null and empty texts give no row.
+    """
+    rules = {k: X.pyregex(p) for k, p in patterns.items()}
+    some = df.where(F.col(text).rlike("|".join(f"(?:{p})" for p in rules.values())))
+    lines = some.select(key, F.posexplode(F.split(F.col(text), BREAKS)).alias("_i", "_line"))
+    per = F.array(*(F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("_line", F.lit(f"({p})"), F.lit(1)).alias("found")) for k, p in rules.items()))
     hits = lines.select(key, "_i", "_line", F.explode(per).alias("_p")).select(key, "_i", "_line", F.col("_p.kind").alias("kind"), F.explode("_p.found").alias("_m"))
     hits = hits.where(~F.col("kind").isin(list(luhn)) | X.is_card_number(F.col("_m")))
-    return hits.select(key, (F.col("_i") + 1).alias("line"), "kind", X.masked(F.col("_m")).alias("masked"), F.substring("_line", 1, 200).alias("context"))
+    return hits.select(key, (F.col("_i") + 1).alias("line"), "kind", X.masked(F.col("_m")).alias("masked"), F.substring(X.strip(F.col("_line")), 1, 200).alias("context"))
 
 
-def cleanup_actions(found: DataFrame, key: str, actions: Mapping[str, tuple[str, str]]) -> DataFrame:
+def cleanup_actions(found: DataFrame, key: str, actions: Mapping[str, tuple[str, str]] = W.CLEANUP) -> DataFrame:
     """One action for each key and kind, with severity and matches."""
     pick = lambda i, default: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in actions.items() for x in (k, v[i])]), F.col("kind")), F.lit(default))
-    return found.groupBy(key, "kind").agg(F.count("*").alias("matches"), F.min("line").alias("first_line")).select(key, "kind", "matches", "first_line", pick(0, "review").alias("action"), pick(1, "medium").alias("severity"))
-
-
-def action_items(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line, kind, content) of lines that commit, decide or ask."""
-    lines = df.select(key, F.posexplode(F.split(F.col(text), r"\r?\n|(?<=[.?!।])\s+")).alias("_i", "_l"))
-    s = F.lower("_l")
-    kind = (
-        F.when(s.rlike(r"\b(action item|todo|to do|will (?:send|prepare|write|follow up|check)|needs? to|should)\b"), "action")
-        .when(s.rlike(r"\b(decided|agreed|decision|approved)\b"), "decision")
-        .when(s.rlike(r"\?\s*$"), "question")
+    return found.groupBy(key, "kind").agg(F.count("*").alias("matches"), F.min("line").alias("first_line")).select(key, "kind", "matches", "first_line", pick(0, "redact").alias("action"), pick(1, "medium").alias("severity"))
+
+
+def _spoken(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Texts that aren't blank, each under a number of its own (``_u``), with their stripped lines (``_s``)."""
+    t = df.where(F.col(text).rlike(r"(?U)\S")).select(key, F.col(text).alias("_t"), F.monotonically_increasing_id().alias("_u"))
+    return t.withColumn("_s", F.transform(F.split("_t", BREAKS), X.strip))
+
+
+def _items(spoken: DataFrame, key: str) -> DataFrame:
+    m = {k: X.pyregex(p).replace(r"@(\w+)", f"@({X.WORD_CHAR}+)") for k, p in W.MEETING.items()}
+    s, line = F.col("_s"), F.col("line")
+    near = lambda i, x: F.array_join(F.filter(F.array(F.when(i > 0, F.get(s, i - 1)), x, F.get(s, i + 1)), lambda y: y.isNotNull() & (y != "")), " ")
+    rows = F.transform(s, lambda x, i: F.struct(i.alias("i"), x.alias("line"), near(i, x).alias("context")))
+    # Of a text only the lines that someone's name begins or that say something of interest leave the row.
+    said = "|".join(f"(?:{m[k]})" for k in ("marker", "phrase", "commitment", "decision", "question"))
+    rows = F.filter(rows, lambda r: r["line"].rlike(m["speaker"]) | r["line"].rlike(said) | r["line"].contains("?"))
+    t = spoken.select(key, "_u", F.inline(rows)).withColumn("label", F.nullif(F.regexp_extract("line", m["speaker"], 1), F.lit("")))
+    t = t.withColumn("speaker", F.last("label", True).over(Window.partitionBy("_u").orderBy("i")))
+    first = lambda x, k, g=1: F.trim(F.regexp_extract(x, m[k], g))
+    bare = F.when(F.col("label").isNotNull(), X.strip(F.regexp_replace(line, m["speaker"], ""))).otherwise(line)
+    marked, task = line.rlike(m["marker"]), first(line, "marker")
+    said_in = F.when(marked, task).otherwise(line)
+    level = F.when(said_in.rlike(m["high"]), "high").when(said_in.rlike(m["low"]), "low").otherwise("medium")
+    mention = F.nullif(F.regexp_extract(said_in, m["mention"], 1), F.lit(""))
+    item = lambda cond, kind, who, content, deadline, priority: F.when(cond, F.struct(F.lit(kind).alias("kind"), who.alias("who"), content.alias("content"), deadline.alias("deadline"), priority.alias("priority")))
+    none = F.lit(None).cast("string")
+    found = F.array(
+        item(marked | line.rlike(m["phrase"]), "action", F.coalesce(mention, "speaker", F.lit("Unassigned")), F.when(marked, task).otherwise(bare), first(said_in, "deadline"), level),
+        item(line.rlike(m["commitment"]), "commitment", F.coalesce("speaker", F.lit("Unknown")), first(line, "commitment", 2), first(line, "deadline"), none),
+        item(line.rlike(m["decision"]), "decision", F.coalesce("speaker", F.lit("Group")), first(line, "decision"), none, none),
+        item((line.contains("?") | line.rlike(m["question"])) & (bare != ""), "question", none, bare, none, none),
     )
-    return lines.select(key, (F.col("_i") + 1).alias("line"), kind.alias("kind"), F.trim("_l").alias("content")).where("kind is not null")
+    t = t.select(key, "_u", (F.col("i") + 1).alias("line"), "context", F.inline(F.array_compact(found)))
+    # A question that a text asks again counts once.
+    again = F.row_number().over(Window.partitionBy("_u", "kind", "content").orderBy("line"))
+    return t.withColumn("_n", again).where("kind != 'question' or _n = 1").drop("_n")
+
+
+def meeting_items(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, line, kind, who, content, deadline, priority, context) of actions, commitments, decisions and open questions in transcripts.
+
+    Who is mentioned, or else speaks; the context is the line and its neighbours. Null and blank texts give no row; repeated rows count each.
+    """
+    return _items(_spoken(df, key, text), key).select(key, "line", "kind", "who", "content", "deadline", "priority", "context")
+
+
+def minutes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, minutes): attendees, discussion, actions, decisions and open questions of a transcript, as one text. A text that is null or
+    blank has none to tell."""
+    spoken = _spoken(df, key, text)
+    i = _items(spoken, key)
+    line = lambda kind, say: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("line", say.alias("say"))))), lambda x: x["say"])
+    due, grade = F.when(F.col("deadline") != "", F.concat(F.lit(" (due: "), "deadline", F.lit(")"))).otherwise(""), F.when(F.col("priority") != "medium", F.concat(F.lit(" ["), "priority", F.lit("]"))).otherwise("")
+    # One text's lines only are gathered.
+    per = i.groupBy("_u").agg(
+        line("action", F.concat(F.lit("- **"), "who", F.lit("**: "), "content", due, grade)).alias("_actions"), line("decision", F.concat(F.lit("- "), "content", F.lit(" ("), "who", F.lit(")"))).alias("_decisions"),
+        line("question", F.concat(F.lit("- "), "content")).alias("_questions"),
+    )
+    names = F.array_sort(F.array_distinct(F.filter(F.transform("_s", lambda x: F.regexp_extract(x, W.MEETING["speaker"], 1)), lambda x: x != "")))
+    none = F.array().cast("array<string>")
+    full = lambda x, empty: F.when(F.size(F.coalesce(x, none)) > 0, x).otherwise(F.array(F.lit(empty)))
+    head = lambda x: F.array(F.lit(f"### {x}\n"))
+    topics = F.flatten(F.transform(sections(F.col("_t")), lambda x, k: F.array(F.concat(F.lit("**Topic "), (k + 1).cast("string"), F.lit("**\n")), X.strip(x), F.lit(""))))
+    gap = F.array(F.lit(""))
+    asked = F.when(F.size(F.coalesce("_questions", none)) > 0, F.concat(head("Open Questions"), F.col("_questions"), gap)).otherwise(none)
+    parts = F.concat(
+        F.array(F.lit("## Meeting Minutes\n")), head("Attendees"), full(F.transform(names, lambda x: F.concat(F.lit("- "), x)), "- (no speakers identified)"), gap, head("Discussion"), topics,
+        head("Action Items"), full(F.col("_actions"), "- (none identified)"), gap, head("Decisions"), full(F.col("_decisions"), "- (none identified)"), gap, asked,
+    )
+    told = spoken.join(per, "_u", "left").select(key, F.array_join(parts, "\n").alias("minutes"))
+    blank = df.where(F.col(text).isNull() | ~F.col(text).rlike(r"(?U)\S")).select(key, F.lit("## Meeting Minutes\n\nNo transcript content provided.\n").alias("minutes"))
+    return told.unionByName(blank)
 
 
 def extract_field(t: Column, name: str) -> Column:
@@ -61,10 +130,15 @@ def extract_field(t: Column, name: str) -> Column:
     return F.struct(F.when(v != "", v).alias("value"), F.when(v != "", F.lit(c)).otherwise(0.0).alias("confidence"))
 
 
-def suggestions(df: DataFrame, key: str, text: str, rules: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """(key, action, confidence) of every rule whose pattern the text has, most confident first by rank."""
-    hits = F.filter(F.array(*(F.when(F.col(text).rlike(p), F.struct(F.lit(a).alias("action"), F.lit(c).alias("confidence"), F.lit(i).alias("rank"))) for i, (a, (p, c)) in enumerate(rules.items()))), lambda x: x.isNotNull())
-    return df.select(key, F.explode(hits).alias("_h")).select(key, "_h.action", "_h.confidence", "_h.rank")
+def suggestions(df: DataFrame, key: str, text: str, rules: Mapping[str, tuple[str, float]] = W.SUGGESTIONS, elements: Column | None = None) -> DataFrame:
+    """(key, action, confidence, rank) of every rule whose pattern the text has, the most confident first. Rules that only the text of
+    ``elements`` (an array of texts) has count for nine tenths. Null and blank texts have none of their own."""
+    other = F.lit("") if elements is None else F.array_join(F.filter(elements, lambda x: x != ""), " ")
+    here = lambda p: F.coalesce(F.col(text).rlike(X.pyregex(p)), F.lit(False))
+    found = lambda c, i, a: F.struct((-c).alias("_c"), F.lit(i).alias("_i"), F.lit(a).alias("action"))
+    hits = [F.when(here(p), found(F.lit(conf), i, a)).when(other.rlike(X.pyregex(p)), found(F.lit(conf) * 0.9, i + len(rules), a)) for i, (a, (p, conf)) in enumerate(rules.items())]
+    t = df.select(key, F.posexplode(F.array_sort(F.array_compact(F.array(*hits)))).alias("rank", "_h"))
+    return t.select(key, "_h.action", (-F.col("_h._c")).alias("confidence"), "rank")
 
 
 def calls_text(calls: Column) -> Column:
@@ -118,6 +192,20 @@ def slots(t: Column, rules: Mapping[str, str]) -> Column:
     return out
 
 
+def request_slots(t: Column, devices: Mapping[str, str] | None = None) -> Column:
+    """A struct of the slots of a request: device (of the caller's own catalogue), action, time, place, error and urgency; null where there is none."""
+    low = F.lower(t)
+    error = F.nullif(F.regexp_extract(low, W.SLOT_ERROR, 0), F.lit(""))
+    lights = F.nullif(F.regexp_extract(low, f"({W.SLOT_LIGHTS})", 1), F.lit(""))
+    first = None
+    for x in W.SLOT_LIGHTS.split("|"):  # the first of the list, not of the text
+        first = F.when(low.contains(x), x) if first is None else first.when(low.contains(x), x)
+    return F.struct(
+        (slots(t, devices) if devices else F.lit(None).cast("string")).alias("device"), slots(t, W.SLOT_ACTIONS).alias("action"), slots(t, W.SLOT_TIMES).alias("time"), slots(t, W.SLOT_PLACES).alias("place"),
+        F.coalesce(error, F.when(lights.isNotNull(), first)).alias("error"), F.coalesce(slots(t, W.SLOT_URGENCY), F.lit("low")).alias("urgency"),
+    )
+
+
 def how_to(df: DataFrame, key: str, title: Column, intro: Column, steps: Column) -> DataFrame:
     """(key, question, answer) of a how-to: its title as a question, the introduction and numbered steps as the answer."""
     body = F.array_join(F.transform(steps, lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), s)), "\n")
@@ -133,8 +221,8 @@ def report_rows(t: Column) -> Column:
 
 
 def sections(t: Column, group: int = 5) -> Column:
-    """Parts of minutes: between blank lines, or ``group`` lines each where there is none; blank parts are left out."""
-    lines = F.split(t, "\n")
-    n = F.size(lines)
-    grouped = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / group).cast("int")), lambda i: F.array_join(F.slice(lines, i * group + 1, group), "\n"))
-    return F.filter(F.when(t.rlike(r"\n\s*\n"), F.split(t, r"\n\s*\n")).otherwise(grouped), lambda x: F.trim(x) != "")
+    """Parts of a transcript: between blank lines, or ``group`` lines that aren't blank each where there is none."""
+    parts = F.filter(F.transform(F.split(X.strip(t), r"\n(?U:\s)*\n"), X.strip), lambda x: x != "")
+    lines = F.filter(F.split(t, BREAKS), lambda x: X.strip(x) != "")
+    grouped = X.let(lines, lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / group), F.lit(0)).cast("int")), lambda i: F.array_join(F.slice(v, i * group + 1, group), "\n")))
+    return F.when(F.size(parts) > 1, parts).otherwise(grouped)

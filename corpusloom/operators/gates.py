@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions import wordlists as W
+from corpusloom.operators.metrics import percentiles
 
 
 def _t(t: Column) -> Column:
@@ -241,7 +242,7 @@ def expanded_prompt(t: Column) -> Column:
 
 def quantile_filter(df: DataFrame, column: str, q: float = 0.9) -> DataFrame:
     """Rows whose value is at most the interpolated quantile, cut to a whole number. Nulls are dropped; an empty table stays empty."""
-    limit = df.agg(F.floor(F.percentile(F.col(column), F.lit(q))).alias("_limit"))
+    limit = percentiles(df, [], column, {"_q": ("interpolated", q)}).select(F.floor("_q").alias("_limit"))  # one row
     return df.join(F.broadcast(limit), F.lit(True)).where(F.col(column) <= F.col("_limit")).drop("_limit")
 
 

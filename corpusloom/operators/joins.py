@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import keep_first
+from corpusloom.operators.ranks import place
 from corpusloom.sources.checkpoint import checkpointed
 
 
@@ -43,12 +44,22 @@ def compare_runs(baseline: DataFrame, candidate: DataFrame, key: str, passed: st
 
 
 def fill_neighbours(wanted: DataFrame, key: str, listed: str, pool: DataFrame, item: str, k: int) -> DataFrame:
-    """(key, item, rank): the listed neighbours first, filled up to ``k`` with other pool items in order of a hash. The pool is a small dimension."""
-    own = wanted.select(key, F.posexplode(listed).alias("pos", item))
-    want = wanted.select(key, listed)
-    fill = want.join(F.broadcast(pool.select(item).distinct()), F.lit(True)).where(~F.array_contains(listed, F.col(item))).select(key, F.lit(1 << 20).alias("pos"), item)
-    w = Window.partitionBy(key).orderBy("pos", F.xxhash64(key, item), item)
-    return own.unionByName(fill).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(key, item, "rank")
+    """(key, item, rank): the listed neighbours first, filled up to ``k`` with other pool items in order of chance.
+
+    The pool lies on a ring, in order of a hash; each key begins at a place of its own and takes as many items as it may need, so no
+    key meets the whole pool. Listed items that come up again are skipped. A null or empty list is filled altogether.
+    """
+    items = place(pool.select(item).where(F.col(item).isNotNull()).distinct().withColumn("_h", F.sha1(F.encode(F.col(item).cast("string"), "UTF-8"))), [], ["_h", item])
+    size = items.agg(F.count("*").alias("_size"))  # one row
+    have = F.coalesce(F.col(listed), F.array().cast(dict(wanted.dtypes)[listed]))
+    begin = F.conv(F.substring(F.sha1(F.encode(F.col(key).cast("string"), "UTF-8")), 1, 8), 16, 10).cast("long")
+    w = wanted.select(key, have.alias("_have")).join(F.broadcast(size), F.lit(True)).where("_size > 0")
+    steps = F.sequence(F.lit(0), F.least(F.lit(k) + F.size("_have"), "_size") - 1)
+    turn = w.select(key, "_have", F.explode(steps).alias("_i"), "_size").withColumn("_place", F.pmod(begin + F.col("_i"), F.col("_size")) + 1)
+    fill = turn.join(items.select("_place", item), "_place").where(~F.array_contains("_have", F.col(item))).select(key, (F.col("_i") + (1 << 20)).cast("long").alias("_at"), item)
+    own = wanted.select(key, F.posexplode(listed).alias("_at", item)).select(key, F.col("_at").cast("long").alias("_at"), item)
+    r = F.row_number().over(Window.partitionBy(key).orderBy("_at"))
+    return own.unionByName(fill).withColumn("rank", r).where(F.col("rank") <= k).select(key, item, "rank")
 
 
 def weight_or_margins(cells: DataFrame, weights: DataFrame, keys: Sequence[str], default: float = 0.5) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import pyregex
+from corpusloom.operators.ranks import place, running
+
 
 def histogram(df: DataFrame, value: Column, missing: str = "?") -> DataFrame:
     """A1, A2: rows by value, nulls under ``missing``."""
@@ -20,31 +23,26 @@ def kept_by_source(df: DataFrame, source: Column, kept: Column) -> DataFrame:
     return t.join(F.broadcast(whole), F.lit(True)).select("source", "scanned", "kept", F.round(100 * F.try_divide("kept", "_all"), 4).alias("percent"))
 
 
-def percentile_floor(value: Column, q: float) -> Column:
-    """The value at place floor(n q), from 0, of the sorted ones. Collects a group: for groups of a bounded size (see ``percentiles_by_rank``)."""
-    a = F.sort_array(F.collect_list(value))
-    return F.try_element_at(a, F.least(F.size(a), F.floor(F.size(a) * q).cast("int") + 1))
-
+def percentiles(df: DataFrame, by: Sequence[str], value: str, asked: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """Percentiles by group under the names asked for, each as (rule, q): ``floor``, the value at place floor(n q), from 0, of the sorted ones;
+    ``nearest``, the one at place ceil(n q), from 1; ``interpolated``, between the two about (n - 1) q.
 
-def percentile_floor_by_counts(df: DataFrame, by: Sequence[str], value: str, q: float) -> DataFrame:
-    """A9a for groups of any size: values are counted first, and the running count of distinct values tells the one at place floor(n q)."""
+    Values are counted first, and running counts over ranges of the distinct ones tell their places: no task holds a group. Nulls don't count.
+    """
     c = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    run = c.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*by).orderBy(value))).withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
-    return run.where(F.col("_upto") > F.least(F.col("_n") - 1, F.floor(F.col("_n") * q))).groupBy(*by).agg(F.min(value).alias(value))
-
-
-def percentile_nearest(value: Column, q: float) -> Column:
-    """The value at place ceil(n q), from 1."""
-    return F.expr(f"percentile_disc({q}) within group (order by {_sql(value)})")
-
-
-def percentile_interpolated(value: Column, q: float) -> Column:
-    """The interpolated percentile."""
-    return F.percentile(value, F.lit(q))
-
-
-def _sql(c: Column) -> str:
-    return str(c)[8:-2]
+    r = running(c, by, [value], "_c")
+    n, upto = F.col("_all"), F.col("_upto")
+    first = lambda k: F.min(F.when(upto > k, F.col(value)))  # noqa: E731  # the value at place k, from 0
+    out = []
+    for name, (rule, q) in asked.items():
+        if rule == "interpolated":
+            at = (n - 1) * F.lit(q)
+            low, high = first(F.floor(at)), first(F.ceil(at))
+            out.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+        else:
+            k = F.least(n - 1, F.floor(n * F.lit(q))) if rule == "floor" else F.greatest(F.lit(0), F.ceil(n * F.lit(q)) - 1)
+            out.append(first(k).alias(name))
+    return r.groupBy(*by).agg(*out)
 
 
 def shares(df: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
@@ -59,7 +57,7 @@ def topic(q: Column, a: Column, topics: dict[str, tuple[str, str]], head: int =
     t = F.substring(F.concat(F.coalesce(q, F.lit("")), F.lit(" "), F.coalesce(a, F.lit(""))), 1, head)
     out = None
     for name, (latin, other) in topics.items():
-        cond = t.rlike(rf"(?iu)\b({latin})\b|({other})")
+        cond = t.rlike(pyregex(rf"\b(?:{latin})\b|(?:{other})", True))
         out = F.when(cond, name) if out is None else out.when(cond, name)
     return out.otherwise("other")
 
@@ -145,11 +143,6 @@ def rewards(completion: Column, truth: Column) -> dict[str, Column]:
     return {"format": F.when(shape, 3.0).otherwise(0.0), "approximate": approx, "answer": answer, "number": num}
 
 
-def count_reward(actual: Column, expected: Column) -> Column:
-    """One less the relative error of a count, not below 0."""
-    return F.greatest(F.lit(0.0), 1 - F.abs(actual - expected) / expected)
-
-
 def parameter_score(tool_ok: Column, got: Column, want: Column) -> Column:
     """0.3 tool, 0.3 recall of parameters, 0.3 right values, 0.1 less a quarter for each parameter that wasn't wanted, of maps."""
     gk, wk = F.map_keys(got), F.map_keys(want)
@@ -192,6 +185,6 @@ def token_ledger(df: DataFrame, by: Sequence[str], tokens_in: str, tokens_out: s
 
 
 def audit_timeline(log: DataFrame, session: str, at: str, tool: str, status: str) -> DataFrame:
-    """(session, line, text) of each call in order of time: a report's lines, as rows. Sessions are put in order one by one."""
-    line = F.row_number().over(Window.partitionBy(session).orderBy(at, tool))
-    return log.select(session, line.alias("line"), F.concat_ws(" ", F.col(at).cast("string"), tool, F.concat(F.lit("["), F.coalesce(status, F.lit("?")), F.lit("]"))).alias("text"))
+    """(session, line, text) of each call in order of time: a report's lines, as rows. A hot session is put in order range by range."""
+    p = place(log.select(session, at, tool, status), [session], [at, tool])
+    return p.select(session, F.col("_place").cast("int").alias("line"), F.concat_ws(" ", F.col(at).cast("string"), tool, F.concat(F.lit("["), F.coalesce(status, F.lit("?")), F.lit("]"))).alias("text"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.ranks import neighbours, place
+
 
 def first_by_role(messages: Column, role: str) -> Column:
     """Content of the first message of a role, null without one."""
@@ -47,7 +49,7 @@ def free_slots(busy: DataFrame, by: Sequence[str], start: str, end: str, day_sta
     w = Window.partitionBy(*by, "_d0", "_d1").orderBy("_s")
     gaps = m.select(*by, F.coalesce(F.lag("_e").over(w), F.col("_d0")).alias("slot_start"), F.col("_s").alias("slot_end"))
     tail = m.groupBy(*by, "_d0", "_d1").agg(F.max("_e").alias("slot_start")).select(*by, "slot_start", F.col("_d1").alias("slot_end"))
-    minutes = F.floor((F.unix_seconds(F.col("slot_end").cast("timestamp")) - F.unix_seconds(F.col("slot_start").cast("timestamp"))) / 60 + 0.5).cast("long")
+    minutes = F.floor((F.unix_micros(F.col("slot_end").cast("timestamp")) - F.unix_micros(F.col("slot_start").cast("timestamp"))) / 60e6 + 0.5).cast("long")
     return gaps.unionByName(tail).withColumn("minutes", minutes).where((F.col("slot_end") > F.col("slot_start")) & (F.col("minutes") >= least_minutes))
 
 
@@ -63,21 +65,18 @@ def carried(df: DataFrame, by: Sequence[str], order: Sequence[str], label: str,
 
 
 def with_context(df: DataFrame, by: Sequence[str], order: Sequence[str], line: str, name: str) -> DataFrame:
-    """The trimmed lines before, at and after each row, blank ones left out."""
-    w = Window.partitionBy(*by).orderBy(*order)
+    """The trimmed lines before, at and after each row, blank ones left out. Hot groups are cut into ranges."""
     clean = lambda c: F.when(F.trim(c) != "", F.trim(c))
-    return df.withColumn(name, F.concat_ws(" ", clean(F.lag(line).over(w)), clean(F.col(line)), clean(F.lead(line).over(w))))
+    d = neighbours(df, by, order, line)
+    return d.withColumn(name, F.concat_ws(" ", clean(F.col("_previous")), clean(F.col(line)), clean(F.col("_next")))).drop("_previous", "_next")
 
 
 def length_batches(df: DataFrame, length: str, order: str, size: int = 16) -> DataFrame:
     """Rows in batches of one length class: sorted by length, cut by ``size``; the ragged tail has the last number.
 
-    Places come from counts of lengths and places within one length, so no task sorts all rows; a hot length is one key.
+    Places are those within ranges of (length, order) after the counts of the ranges before, so no task sorts all rows or all of one length.
     """
-    c = df.groupBy(length).agg(F.count("*").alias("_c"))
-    before = c.select(length, (F.sum("_c").over(Window.orderBy(length)) - F.col("_c")).alias("_before"))  # one row for each distinct length
-    place = F.col("_before") + F.row_number().over(Window.partitionBy(length).orderBy(order)) - 1
-    return df.join(before, length).withColumn("batch", F.floor(place / size)).drop("_before")
+    return place(df, [], [length, order]).withColumn("batch", F.floor((F.col("_place") - 1) / size)).drop("_place")
 
 
 def padded_positions(df: DataFrame, batch: str, length: str) -> DataFrame:
@@ -106,8 +105,11 @@ def greedy_share(df: DataFrame, by: Sequence[str], tokens: str, budget: str, ord
 
     t = dict(c.dtypes)
     got = c.groupBy(*by).applyInPandas(passes, ", ".join(f"{k} {t[k]}" for k in c.columns) + ", _take long").select(*by, tokens, "_take")
-    rank = F.row_number().over(Window.partitionBy(*by, tokens).orderBy(*order))
-    return df.join(got, [*by, tokens]).withColumn("_r", rank).where("_r <= _take").select(*df.columns)
+    # Of a length that is kept or left as a whole no row needs a place; of each group at most a few lengths are cut.
+    whole = got.join(c.select(*by, tokens, "_n"), [*by, tokens])
+    kept = df.join(whole.where("_take = _n").select(*by, tokens), [*by, tokens], "left_semi")
+    cut = place(df.join(whole.where("_take > 0 and _take < _n").select(*by, tokens, "_take"), [*by, tokens]), [*by, tokens], order)
+    return kept.unionByName(cut.where(F.col("_place") <= F.col("_take")).select(*df.columns))
 
 
 def trimmed_turns(messages: Column, tokens: Column, cap: int, least: int = 4) -> Column:
@@ -144,9 +146,15 @@ def eviction(df: DataFrame, session: str, order: str, tokens: str, keep: int = 1
 
 
 def compressed_history(df: DataFrame, by: Sequence[str], order: str, content: str, window: int, short: Column) -> DataFrame:
-    """Rows older than the newest ``window`` have their one-line form, others their content."""
-    r = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))
-    return df.withColumn("view", F.when(r > window, short).otherwise(F.col(content)))
+    """Rows older than the newest ``window`` have their one-line form, others their content. Rows as old as the oldest of the newest
+    count as new. The newest rows are picked within tasks first, so a hot group moves a few rows of each."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    limit = newest(df, by, order, window).groupBy(*by).agg(F.min(order).alias("_from")).toDF(*keys, "_from")
+    same = F.lit(True)
+    for b, k in zip(by, keys, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(k))
+    d = df.join(limit, same, "left")
+    return d.withColumn("view", F.when(F.col(order) < F.col("_from"), short).otherwise(F.col(content))).select(*df.columns, "view")
 
 
 def rolling_band(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, rows: int = 10) -> DataFrame:
@@ -157,4 +165,4 @@ def rolling_band(df: DataFrame, by: Sequence[str], order: Sequence[str], value:
 
 def variants(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """A variant from 0 to n - 1 by place within its group."""
-    return df.withColumn("variant", F.pmod(F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1, F.lit(n)))
+    return place(df, by, order).withColumn("variant", F.pmod(F.col("_place") - 1, F.lit(n))).drop("_place")

@@ -128,10 +128,14 @@ def _(t):
     return t.orders.select("o_orderkey", X.clean_subject(F.concat(F.lit("Re: Fwd: "), "o_orderpriority")).alias("subject"))
 
 
-@query("f25_file_kinds", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'document' WHEN 1 THEN 'spreadsheet' WHEN 2 THEN 'image' ELSE 'other' END kind, lower('/home/user/data/' || c_custkey) path FROM customer")
+_EXTENSIONS = "pdf docx doc txt md rtf odt html xlsx xls csv tsv ods jpg jpeg png gif bmp tiff webp svg mp3 wav m4a ogg flac aac wma mp4 avi mkv mov wmv flv webm zip tar gz rar 7z bz2 ts js py rs go java c cpp h exe nothing".split()
+
+
+@query("f25_file_kinds", f"""SELECT c_custkey, CASE WHEN i < 8 THEN 'document' WHEN i < 13 THEN 'spreadsheet' WHEN i < 21 THEN 'image' WHEN i < 28 THEN 'audio' WHEN i < 35 THEN 'video' WHEN i < 41 THEN 'archive' WHEN i < 50 THEN 'code' ELSE 'other' END kind,
+ lower('/home/user/data/' || c_custkey) path FROM (SELECT c_custkey, c_custkey % {len(_EXTENSIONS)} i FROM customer)""")
 def _(t):
-    ext = F.element_at(F.array(*map(F.lit, (".PDF", ".csv", ".png", ".unknown"))), (c("c_custkey") % 4 + 1).cast("int"))
-    return t.customer.select("c_custkey", X.file_kind(F.concat(F.lit("report"), ext), W.FILE_KINDS).alias("kind"), X.clean_path(F.concat(F.lit("~//Data/"), c("c_custkey").cast("string"), F.lit("/"))).alias("path"))
+    ext = F.element_at(F.array(*(F.lit(("." if e != "nothing" else "") + (e.upper() if i % 3 == 0 else e)) for i, e in enumerate(_EXTENSIONS))), (c("c_custkey") % len(_EXTENSIONS) + 1).cast("int"))
+    return t.customer.select("c_custkey", X.file_kind(F.concat(F.lit("a.b/report"), ext), W.FILE_KINDS).alias("kind"), X.clean_path(F.concat(F.lit("~//Data/"), c("c_custkey").cast("string"), F.lit("/"))).alias("path"))
 
 
 @query("f27_haversine", "SELECT s_suppkey, round(2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(b1 - a1) / 2), 2) + cos(radians(a1)) * cos(radians(b1)) * pow(sin(radians(b2 - a2) / 2), 2)))), 4) km FROM (SELECT s_suppkey, (s_suppkey % 90)::double a1, (s_suppkey % 180)::double a2, s_nationkey::double b1, (s_nationkey * 7)::double b2 FROM supplier)")
@@ -184,9 +188,11 @@ def _(t):
     return t.pool_todo.select("pool_id", X.query_mood(INS()).alias("mood"))
 
 
-@query("f39_priorities", r"SELECT row_id, CASE WHEN regexp_matches(s, '\b(urgent|asap|immediately|critical|high priority|today)\b') THEN 'high' WHEN regexp_matches(s, '\b(low priority|whenever|eventually|nice to have|someday)\b') THEN 'low' ELSE 'medium' END priority FROM (SELECT row_id, lower(coalesce(response, '')) s FROM train_smoke)")
+@query("f39_priorities", r"SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'low' WHEN 2 THEN 'high' ELSE 'medium' END priority FROM part")
 def _(t):
-    return t.train_smoke.select("row_id", X.task_priority(RSP()).alias("priority"))
+    said = ("Critically important: {}", "{} if time permits", "low priority, yet needed ASAP: {}", "today {} whenever")
+    s = F.element_at(F.array(*map(F.lit, said)), (c("p_partkey") % 4 + 1).cast("int"))
+    return t.part.select("p_partkey", X.task_priority(F.replace(s, F.lit("{}"), c("p_name"))).alias("priority"))
 
 
 # ---- gates
@@ -377,9 +383,9 @@ def _(t):
     return t.train_smoke.select("row_id", G.deflection(c("response")).alias("kind"))
 
 
-@query("gate29_like", "SELECT p_partkey FROM part WHERE p_name ILIKE '%1%' OR p_type ILIKE '%brass%'")
+@query("gate29_like", "SELECT p_partkey FROM part WHERE p_name ILIKE '%red_w%' OR p_type ILIKE '%promo%'")
 def _(t):
-    return t.part.where(G.like_search("brass", c("p_type")) | G.like_search("1", c("p_name"))).select("p_partkey")
+    return t.part.where(G.like_search("proMO", c("p_type")) | G.like_search("red_W", c("p_name"))).select("p_partkey")
 
 
 @query("gate30_filters", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 1000")
@@ -501,18 +507,23 @@ def _(t):
     return J.compare_runs(ok.select("doc_id", "labelled_at", (c("quality") >= 2).alias("p")), ok.select("doc_id", "labelled_at", (c("quality") >= 3).alias("p")), "doc_id", "p", "labelled_at")
 
 
-@query("j07_neighbours")
+@query("j07_neighbours", """WITH p AS (SELECT n_name near_name, row_number() OVER (ORDER BY sha1(n_name), n_name) - 1 place, count(*) OVER () n FROM nation), w AS (SELECT n_name AS name, ('0x' || left(sha1(n_name), 8))::bigint begins FROM nation),
+ a AS (SELECT name, name near_name, -1 AS k FROM w UNION ALL SELECT name, near_name, i FROM w, range(0, 4) r(i), p WHERE i < n AND place = (begins + i) % n AND near_name <> name)
+ SELECT name, near_name, rank FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY k)::int AS rank FROM a) WHERE rank <= 3""")
 def _(t):
-    wanted = t.nation.where("n_nationkey < 12").select(c("n_name").alias("name"), F.array("n_name").alias("near"))
-    return J.fill_neighbours(wanted, "name", "near", t.region.select(c("r_name").alias("item")).withColumnRenamed("item", "near_name"), "near_name", 3)
+    wanted = t.nation.select(c("n_name").alias("name"), F.array("n_name").alias("near"))
+    return J.fill_neighbours(wanted, "name", "near", t.nation.select(c("n_name").alias("near_name")), "near_name", 3)
 
 
-@query("j08_weights", """WITH w AS (SELECT o_orderstatus s, o_orderpriority p, avg(o_totalprice) weight FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1, 2), g AS (SELECT DISTINCT o_orderstatus s, o_orderpriority p FROM orders)
+# All orders count; combinations that none of them has fall back to the means of their status and priority.
+@query("j08_weights", """WITH w AS (SELECT o_orderstatus s, o_orderpriority p, avg(o_totalprice) weight FROM orders GROUP BY 1, 2), g AS (SELECT s, p FROM (SELECT DISTINCT o_orderstatus s FROM orders UNION SELECT 'lost'), (SELECT DISTINCT o_orderpriority p FROM orders UNION SELECT 'none'))
  SELECT g.s, g.p, round(coalesce(w.weight, (coalesce((SELECT avg(weight) FROM w x WHERE x.s = g.s), 0.5) + coalesce((SELECT avg(weight) FROM w y WHERE y.p = g.p), 0.5)) / 2), 4) weight FROM g LEFT JOIN w USING (s, p)""")
 def _(t):
     o = t.orders.select(c("o_orderstatus").alias("s"), c("o_orderpriority").alias("p"), "o_totalprice", "o_orderkey")
-    w = o.where("o_orderkey % 3 = 0").groupBy("s", "p").agg(F.avg("o_totalprice").alias("weight"))
-    return J.weight_or_margins(o.select("s", "p").distinct(), w, ["s", "p"]).select("s", "p", F.round("weight", 4).alias("weight"))
+    w = o.groupBy("s", "p").agg(F.avg("o_totalprice").alias("weight"))
+    one = t.spark.range(1)
+    cells = J.jobs(o.select("s").union(one.select(F.lit("lost"))).distinct(), o.select("p").union(one.select(F.lit("none"))).distinct())
+    return J.weight_or_margins(cells, w, ["s", "p"]).select("s", "p", F.round("weight", 4).alias("weight"))
 
 
 @query("j09_severities", "SELECT event_id, CASE event_type WHEN 'click' THEN 'low' WHEN 'purchase' THEN 'high' ELSE 'medium' END severity FROM events")

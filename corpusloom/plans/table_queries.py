@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
+from corpusloom.functions import schema as J
 from corpusloom.functions import text as X
 from corpusloom.functions import udfs as U
 from corpusloom.functions import wordlists as W
@@ -64,11 +63,8 @@ def _(t):
 
 @query("a9_percentiles", """SELECT event_type, list_sort(list(value))[least(count(*), floor(count(*) * 0.9)::bigint + 1)] floor90, quantile_disc(value, 0.5) nearest50, round(quantile_cont(value, 0.9), 6) interpolated90, list_sort(list(value))[least(count(*), floor(count(*) * 0.5)::bigint + 1)] upper_median FROM events WHERE value IS NOT NULL GROUP BY event_type""")
 def _(t):
-    e = t.events.where("value is not null")
-    a = M.percentile_floor_by_counts(e, ["event_type"], "value", 0.9).withColumnRenamed("value", "floor90")
-    m = M.percentile_floor_by_counts(e, ["event_type"], "value", 0.5).withColumnRenamed("value", "upper_median")
-    b = e.groupBy("event_type").agg(F.expr("percentile_disc(0.5) within group (order by value)").alias("nearest50"), F.round(M.percentile_interpolated(c("value"), 0.9), 6).alias("interpolated90"))
-    return a.join(b, "event_type").join(m, "event_type")
+    p = M.percentiles(t.events, ["event_type"], "value", {"floor90": ("floor", 0.9), "nearest50": ("nearest", 0.5), "interpolated90": ("interpolated", 0.9), "upper_median": ("floor", 0.5)})
+    return p.withColumn("interpolated90", F.round("interpolated90", 6))
 
 
 @query("a10_shares", "SELECT o_orderpriority, n_rows, weight, round(100.0 * n_rows / sum(n_rows) OVER (), 4) row_percent, round(100.0 * weight / sum(weight) OVER (), 4) weight_percent FROM (SELECT o_orderpriority, count(*) n_rows, sum(length(o_orderstatus) + o_orderkey % 7)::bigint weight FROM orders GROUP BY 1)")
@@ -143,14 +139,33 @@ def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", *(v.alias(k) for k, v in r.items()))
 
 
-@query("a22_count_rewards", "SELECT l_orderkey, l_linenumber, round(greatest(0, 1 - abs(l_quantity - 25) / 25), 6) reward FROM lineitem")
+_book = '{"type": "object", "properties": {"k": {"type": "integer", "minimum": 10}, "z": {"type": "string"}}, "required": ["k", "z"], "additionalProperties": false}'
+
+
+def _completions(t):
+    """Of each part a completion of one of five forms: all there, in a fence, a key too few, a key too many, no JSON."""
+    k = c("p_size").cast("string")
+    form = c("p_partkey") % 5
+    full = F.concat(F.lit('{"k": '), k, F.lit(', "z": "a"'))
+    s = F.when(form == 0, F.concat(full, F.lit("}"))).when(form == 1, F.concat(F.lit("x\n```json\n"), full, F.lit("}\n```"))).when(form == 2, F.concat(F.lit('{"k": '), k, F.lit("}"))).when(form == 3, F.concat(full, F.lit(', "q": 1}'))).otherwise("none")
+    return t.part.select("p_partkey", s.alias("s"))
+
+
+@query("a22_count_rewards", "SELECT p_partkey, CASE p_partkey % 5 WHEN 2 THEN 0.5 WHEN 3 THEN 0.5 WHEN 4 THEN 0.0 ELSE 1.0 END reward FROM part")
 def _(t):
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(M.count_reward(c("l_quantity"), F.lit(25.0)), 6).alias("reward"))
+    return _completions(t).select("p_partkey", J.fields_reward("s", F.lit(2)).alias("reward"))
 
 
-@query("a22_schema_rewards", "SELECT event_id, CASE WHEN props IS NULL THEN NULL WHEN json_exists(props, '$.k') THEN 0.5 ELSE 0.0 END reward FROM events")
+@query("a22_format_rewards", "SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 0.2 WHEN 4 THEN 0.0 ELSE 1.0 END reward FROM part")
 def _(t):
-    return t.events.select("event_id", U.schema_reward(["k", "missing"])("props").alias("reward"))
+    return _completions(t).select("p_partkey", J.format_reward("s", F.lit(False)).alias("reward"))
+
+
+# Six checks are declared: two properties, two required names, one minimum, one for further names.
+@query("a22_schema_rewards", """SELECT p_partkey, round(CASE WHEN f = 4 THEN 0 ELSE 0.75 * (CASE f WHEN 2 THEN 0.5 ELSE 1 END) * (1 - bad / 6.0) + (CASE WHEN bad = 0 THEN 0.25 ELSE 0 END) END, 9) reward
+ FROM (SELECT p_partkey, p_partkey % 5 f, (CASE WHEN p_size < 10 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 5 IN (2, 3) THEN 1 ELSE 0 END) bad FROM part)""")
+def _(t):
+    return _completions(t).select("p_partkey", F.round(J.schema_reward("s", F.lit(_book)), 9).alias("reward"))
 
 
 @query("a23_parameter_scores", "SELECT n_nationkey, round(0.3 * (n_nationkey % 2) + 0.3 * 0.5 + 0.3 * 0.5 + 0.1 * 0.75, 6) score FROM nation")
@@ -207,14 +222,22 @@ def _(t):
     return N.merged_intervals(t.orders.select(c("o_custkey").alias("k"), c("o_orderdate").alias("s"), (c("o_orderdate") + F.expr("interval 60 days")).alias("e")), ["k"], "s", "e")
 
 
-@query("w06_free_slots")
+# Busy half hours within 8 and 18 o'clock, merged, and the gaps before, between and after them that last half an hour.
+_SLOTS = """WITH b AS (SELECT user_id, ts::date AS day, greatest(ts, ts::date + INTERVAL 8 HOUR) s, least(ts + INTERVAL 30 MINUTE, ts::date + INTERVAL 18 HOUR) e FROM events), d AS (SELECT * FROM b WHERE s < e),
+ m AS (SELECT *, max(e) OVER (PARTITION BY user_id, day ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) top FROM d),
+ g AS (SELECT *, sum(CASE WHEN top IS NULL OR s > top THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, day ORDER BY s, e ROWS UNBOUNDED PRECEDING) k FROM m), u AS (SELECT user_id, day, min(s) s, max(e) e FROM g GROUP BY user_id, day, k),
+ x AS (SELECT user_id, day, coalesce(lag(e) OVER (PARTITION BY user_id, day ORDER BY s), day + INTERVAL 8 HOUR) slot_start, s slot_end FROM u UNION ALL SELECT user_id, day, max(e), day + INTERVAL 18 HOUR FROM u GROUP BY user_id, day),
+ slots AS (SELECT *, floor((epoch(slot_end) - epoch(slot_start)) / 60 + 0.5)::bigint AS minutes FROM x WHERE slot_end > slot_start AND floor((epoch(slot_end) - epoch(slot_start)) / 60 + 0.5) >= 30)"""
+
+
+@query("w06_free_slots", _SLOTS + " SELECT user_id, day, slot_start, slot_end, minutes FROM slots")
 def _(t):
     e = t.events.select("user_id", F.to_date("ts").alias("day"), "ts", (c("ts") + F.expr("interval 30 minutes")).alias("until"))
     d = c("day").cast("timestamp_ntz")
     return N.free_slots(e, ["user_id", "day"], "ts", "until", d + F.expr("interval 8 hours"), d + F.expr("interval 18 hours"))
 
 
-@query("w07_first_fit")
+@query("w07_first_fit", _SLOTS + " SELECT user_id, day, slot_start, slot_end, minutes FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY hour(slot_start) < 12, slot_start) r FROM slots) WHERE r = 1")
 def _(t):
     e = t.events.select("user_id", F.to_date("ts").alias("day"), "ts", (c("ts") + F.expr("interval 30 minutes")).alias("until"))
     d = c("day").cast("timestamp_ntz")
@@ -414,30 +437,80 @@ def _(t):
 # ---- extraction
 
 
-@query("x00_html_text", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '<[^>]+>', ' ', 'g'), '[ \t\n\x{0B}\f\r]+', ' ', 'g'), ' ') plain FROM documents WHERE text IS NOT NULL")
+def _kinds(t: str) -> str:
+    # The patterns in RE2, which has no look-around: ASCII word boundaries.
+    pats = {
+        "ssn": r"\b\d{3}-\d{2}-\d{4}\b", "credit_card": r"\b(?:\d[ -]*?){13,19}\b", "email": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "phone": r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b", "aws_key": "AKIA[0-9A-Z]{16}", "github_token": "gh[pousr]_[A-Za-z0-9_]{36,}",
+        "stripe_key": "(?:sk|pk)_(?:test|live)_[0-9a-zA-Z]{24,}", "private_key": "-----BEGIN (?:RSA |EC |DSA )?PRIVATE KEY-----", "generic_api_key": r"(?i)(?:password|secret|token|api_key|apikey)\s*[:=]\s*['\"][^'\"]{8,}['\"]",
+    }
+    return " UNION ALL ".join(f"SELECT doc_id, line, '{k}' AS kind, unnest(regexp_extract_all(l, {S.q(p)})) m, l FROM {t}" for k, p in pats.items())
+
+
+# Digits doubled at every second place from the end, nine off what is over nine, must sum to a multiple of ten.
+_luhn = r"(length(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN (length(d) - i) % 2 = 1 THEN (2 * d[i]::int) - CASE WHEN d[i]::int > 4 THEN 9 ELSE 0 END ELSE d[i]::int END)) % 10 = 0)"
+_found = r'''WITH t AS (SELECT {} doc_id, {} AS text FROM {}), s AS (SELECT doc_id, string_split_regex(text, '\r\n|[\n\r\x{{0B}}\x{{0C}}\x{{1C}}-\x{{1E}}\x{{85}}\x{{2028}}\x{{2029}}]') ls FROM t WHERE text IS NOT NULL), l AS (SELECT doc_id, unnest(range(1, len(ls) + 1))::int line, unnest(ls) l FROM s),
+ f AS (SELECT doc_id, line, kind, m, l, regexp_replace(m, '\D', '', 'g') d FROM ({}) q), g AS (SELECT * FROM f WHERE kind <> 'credit_card' OR ''' + _luhn + r'''),
+ found AS (SELECT doc_id, line, kind, CASE WHEN length(trim(m)) <= 4 THEN repeat('*', length(trim(m))) ELSE left(trim(m), 2) || repeat('*', length(trim(m)) - 4) || right(trim(m), 2) END masked, left({}, 200) context FROM g)'''
+
+
+def _found_in(key: str, text: str, table: str) -> str:
+    return _found.format(key, text, table, _kinds("l"), S.strip("l"))
+
+
+_docs = ("doc_id", "text", "documents")
+# A line of each kind of finding, with the customer's number: valid cards are few.
+_planted = ("c_custkey", r"'ssn ' || (100 + c_custkey % 900) || '-12-3456, card 4111 1111 1111 ' || (1000 + c_custkey % 9000) || chr(10) || ' mail ' || lower(c_mktsegment) || '@ex.co (555) 123-4567 ' || chr(10) || 'AKIA' || lpad(c_custkey::varchar, 16, '0') || ' sk_live_' || repeat('a', 24) || ' ghs_' || repeat('b', 36) || ' -----BEGIN RSA PRIVATE KEY-----' || chr(10) || 'password = ''hunter-' || c_custkey || '-2'''", "customer")
+
+
+def _sensitive(t):
+    k = c("c_custkey")
+    lines = F.concat(
+        F.lit("ssn "), (100 + k % 900).cast("string"), F.lit("-12-3456, card 4111 1111 1111 "), (1000 + k % 9000).cast("string"), F.lit("\n mail "), F.lower("c_mktsegment"), F.lit("@ex.co (555) 123-4567 \nAKIA"), F.lpad(k.cast("string"), 16, "0"), F.lit(" sk_live_" + "a" * 24 + " ghs_" + "b" * 36),
+        F.lit(" -----BEGIN RSA PRIVATE KEY-----\npassword = 'hunter-"), k.cast("string"), F.lit("-2'"),
+    )
+    return t.customer.select(k.alias("doc_id"), lines.alias("text"))
+
+
+@query("x01_findings", _found_in(*_docs) + " SELECT doc_id, line, kind, masked, context FROM found")
 def _(t):
-    return t.documents.where("text is not null").select("doc_id", E.html_text(c("text")).alias("plain"))
+    return E.findings(t.documents.select("doc_id", "text"), "doc_id", "text", {**W.PII, **W.SECRETS})
 
 
-@query("x01_findings")
+@query("gate34_sensitive", _found_in(*_planted) + " SELECT doc_id, line, kind, masked, context FROM found")
 def _(t):
-    return E.findings(t.documents.select("doc_id", "text"), "doc_id", "text", {**W.PII, "assignment": W.SECRETS["assignment"]})
+    return E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS})
 
 
-@query("x02_redacted")
+@query("x02_redacted", r"SELECT c_custkey, 'my [REDACTED-accountNumber], mail [REDACTED-email], ssn [REDACTED-ssn], card [REDACTED-creditCard], call ([REDACTED-phone] or 12' AS said FROM customer")
 def _(t):
-    return t.documents.select("doc_id", F.md5(U.redacted("text")).alias("h"))
+    k = F.lpad(c("c_custkey").cast("string"), 10, "7")
+    s = F.concat(F.lit("my account number is "), k, F.lit(", mail A.b@"), F.lower("c_mktsegment"), F.lit(".Co, ssn 123-45-6789, card 4111 1111 1111 1112, call (555) 123-4567 or 12"))
+    return t.customer.select("c_custkey", U.redacted(s).alias("said"))
+
+
+@query("x03_cleanup", _found_in(*_planted) + """ SELECT doc_id, kind, count(*) matches, min(line) first_line, CASE WHEN kind IN ('ssn', 'credit_card', 'email', 'phone') THEN 'redact' WHEN kind = 'private_key' THEN 'move' ELSE 'rotate' END AS action,
+ CASE WHEN kind IN ('email', 'phone') THEN 'low' WHEN kind = 'generic_api_key' THEN 'medium' ELSE 'high' END severity FROM found GROUP BY doc_id, kind""")
+def _(t):
+    return E.cleanup_actions(E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS}), "doc_id")
+
 
+def _meeting(t):
+    k = c("p_partkey").cast("string")
+    return t.part.select("p_partkey", F.concat(F.lit("Ann: Hello. We decided to buy "), c("p_brand"), F.lit(".\n\nBob: TODO: @Eve ship item "), k, F.lit(" by Friday. urgent\n\n\nThey should check "), c("p_type"), F.lit(" eventually\nAnn: I will call them before noon. Why not?\nWhy not?")).alias("s"))
 
-@query("x03_cleanup")
+
+@query("x04_action_items", '''SELECT p_partkey, unnest([1, 3, 6, 7, 7, 8])::int line, unnest(['decision', 'action', 'action', 'commitment', 'question', 'question']) kind, unnest(['Ann', 'Eve', 'Bob', 'Ann', NULL, NULL]) who,
+ unnest(['to buy ' || p_brand, '@Eve ship item ' || p_partkey || ' by Friday. urgent', 'They should check ' || p_type || ' eventually', 'call them before noon', 'I will call them before noon. Why not?', 'Why not?']) content,
+ unnest([NULL, 'Friday', '', 'noon', NULL, NULL]) deadline, unnest([NULL, 'high', 'low', NULL, NULL, NULL]) priority FROM part''')
 def _(t):
-    f = E.findings(t.documents.select("doc_id", "text"), "doc_id", "text", W.PII)
-    return E.cleanup_actions(f, "doc_id", {"ssn": ("encrypt", "critical"), "email": ("mask", "low")})
+    return E.meeting_items(_meeting(t), "p_partkey", "s").drop("context")
 
 
-@query("x04_action_items")
+@query("x05_minutes", '''SELECT p_partkey, concat_ws(chr(10), '## Meeting Minutes' || chr(10), '### Attendees' || chr(10), '- Ann', '- Bob', '', '### Discussion' || chr(10), '**Topic 1**' || chr(10), 'Ann: Hello. We decided to buy ' || p_brand || '.', '', '**Topic 2**' || chr(10), 'Bob: TODO: @Eve ship item ' || p_partkey || ' by Friday. urgent', '',
+ '**Topic 3**' || chr(10), 'They should check ' || p_type || ' eventually' || chr(10) || 'Ann: I will call them before noon. Why not?' || chr(10) || 'Why not?', '', '### Action Items' || chr(10), '- **Eve**: @Eve ship item ' || p_partkey || ' by Friday. urgent (due: Friday) [high]', '- **Bob**: They should check ' || p_type || ' eventually [low]', '',
+ '### Decisions' || chr(10), '- to buy ' || p_brand || ' (Ann)', '', '### Open Questions' || chr(10), '- I will call them before noon. Why not?', '- Why not?', '') AS minutes FROM part''')
 def _(t):
-    return E.action_items(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return E.minutes(_meeting(t), "p_partkey", "s")
 
 
 @query("x06_fields", r"SELECT doc_id, nullif(regexp_extract(text, '([\w.+-]+@[\w-]+\.[\w.]*\w)', 1), '') email, nullif(regexp_extract(text, '(\d+)', 1), '') number FROM documents WHERE text IS NOT NULL")
@@ -451,9 +524,11 @@ def _(t):
     return t.nation.select("n_nationkey", F.explode(U.table_rows(s)).alias("cells")).select("n_nationkey", F.array_join("cells", ",").alias("cells"))
 
 
-@query("x08_suggestions", "SELECT doc_id, 'mail' AS action, 0.9 confidence, 0 AS rank FROM documents WHERE regexp_matches(text, '@') UNION ALL SELECT doc_id, 'open', 0.7, 1 FROM documents WHERE regexp_matches(text, 'https?://')")
+@query("x08_suggestions", """SELECT p_partkey, unnest(['Draft reply email', 'Open URL', 'Open file', 'Create task', 'Create calendar event', 'Extract to spreadsheet']) AS action, unnest([0.85, 0.85, 0.8, 0.8, 0.75, 0.63]) confidence, unnest(range(0, 6))::int AS rank FROM part WHERE p_partkey % 2 = 0
+ UNION ALL SELECT p_partkey, 'Extract to spreadsheet', 0.63, 0 FROM part WHERE p_partkey % 2 = 1""")
 def _(t):
-    return E.suggestions(t.documents, "doc_id", "text", {"mail": ("@", 0.9), "open": ("https?://", 0.7)})
+    s = F.when(c("p_partkey") % 2 == 0, F.concat(F.lit("a.b@c.de see https://x.y/z TODO /usr/"), F.regexp_replace("p_brand", "#", ""), F.lit(" at 12:30"))).otherwise(c("p_name"))
+    return E.suggestions(t.part.select("p_partkey", s.alias("s")), "p_partkey", "s", elements=F.array(F.lit("p|q|r"))).withColumn("confidence", F.round("confidence", 6))
 
 
 @query("x09_tool_calls", '''SELECT event_id, '{"arguments": {"level": "' || event_type || '", "n": "' || user_id || '"}, "name": "set_mode"}' AS call FROM events''')
@@ -477,10 +552,12 @@ def _(t):
     return t.events.select("event_id", E.tagged(F.concat(F.lit("["), c("event_type"), F.lit("] x")), ("click", "view")).alias("tag"))
 
 
-@query("x15_diffs")
+@query("x15_diffs", "SELECT p_partkey, 'insert' AS op, '' a, p_type b FROM part WHERE p_size >= 25 UNION ALL SELECT p_partkey, 'replace', p_brand, p_type FROM part WHERE p_size < 25")
 def _(t):
-    p = t.pool_todo.groupBy("key").agg(F.min_by("instruction", "pool_id").alias("a"), F.max_by("instruction", "pool_id").alias("b")).where("a != b")
-    return p.select("key", F.explode(U.line_diff("a", "b")).alias("d")).select("key", "d.op", "d.a", "d.b")
+    """A line put in, or another in its place."""
+    a = F.concat_ws("\n", "p_name", F.when(c("p_size") < 25, c("p_brand")), F.lit("end"))
+    d = U.line_diff(a, F.concat_ws("\n", "p_name", "p_type", F.lit("end")))
+    return t.part.select("p_partkey", F.explode(d).alias("d")).select("p_partkey", "d.op", "d.a", "d.b")
 
 
 @query("x16_how_to", "SELECT p_partkey, 'How to ' || lower(p_name) || '?' question, concat_ws(chr(10), nullif(trim(p_brand), ''), '1. ' || p_type || chr(10) || '2. ' || p_name) answer FROM part")
@@ -499,9 +576,12 @@ def _(t):
     return t.events.select("event_id", E.time_expression(s, c("ts")).alias("ends"))
 
 
-@query("x19_slots", "SELECT p_partkey, CASE WHEN regexp_matches(lower(p_type), 'brass|copper') THEN 'metal' WHEN regexp_matches(lower(p_type), 'steel') THEN 'steel' END slot FROM part")
+@query("x19_slots", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'restart' WHEN 1 THEN 'pause_internet' WHEN 2 THEN 'upgrade' END AS action, CASE event_id % 4 WHEN 0 THEN 'tomorrow morning' WHEN 1 THEN 'until specific time' WHEN 2 THEN 'for a few hours' ELSE 'tonight' END AS time,
+ CASE event_id % 4 WHEN 0 THEN 'upstairs' WHEN 3 THEN 'living room' END place, CASE event_id % 4 WHEN 2 THEN 'error 502' WHEN 3 THEN 'blinking red' END error, CASE event_id % 4 WHEN 0 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END urgency, CASE event_id % 4 WHEN 0 THEN 'hub' END device FROM events""")
 def _(t):
-    return t.part.select("p_partkey", E.slots(c("p_type"), {"metal": "brass|copper", "steel": "steel"}).alias("slot"))
+    said = ("Power cycle the hub upstairs tomorrow morning, ASAP", "pause  internet until 9:30 pm", "Upgrade for 3 hours: ERROR 502, it is slow", "a blinking red and blinking white light in the living room tonight")
+    s = F.element_at(F.array(*map(F.lit, said)), (c("event_id") % 4 + 1).cast("int"))
+    return t.events.select("event_id", E.request_slots(s, {"hub": r"\bhub\b"}).alias("x")).select("event_id", "x.*")
 
 
 # ---- retrieval
@@ -509,9 +589,9 @@ def _(t):
 _cos = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6)"
 
 
-@query("r01_hash_embeddings", "SELECT p_partkey, 1.0 length FROM part")
+@query("r01_hash_embeddings")
 def _(t):
-    return t.part.select("p_partkey", F.round(R.norm(U.hash_embedding("p_name")), 4).alias("length"))
+    return t.part.select("p_partkey", F.transform(X.hash_embedding(c("p_name")), lambda x: F.round(x, 6)).alias("embedding"))
 
 
 @query("r02_cosine", f"SELECT a.vec_id, {_cos} score FROM embeddings a, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) b")
@@ -537,20 +617,40 @@ def _(t):
     return t.embeddings.select("vec_id", F.round(R.norm(p), 5).alias("length"), F.round(p[0], 5).alias("x0"))
 
 
-@query("r06_bm25")
+# The terms of a text: what the Spark expression does, in RE2.
+_stop = "(" + ", ".join(map(S.q, W.STOPWORDS)) + ")"
+
+
+def _terms(t: str) -> str:
+    s = rf"regexp_replace(lower({t}), '\bwi[\W_]*fi\b', 'wifi', 'g')"
+    s = rf"regexp_replace(regexp_replace(regexp_replace({s}, '([0-9])(\p{{L}})', '\1 \2', 'g'), '(\p{{L}})([0-9])', '\1 \2', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')"
+    kept = rf"list_filter(string_split({s}, ' '), lambda x: x <> '' AND x NOT IN {_stop} AND (length(x) > 1 OR regexp_matches(x, '^[0-9]$')))"
+    return f"list_transform({kept}, lambda x: CASE WHEN length(x) >= 7 AND x LIKE '%ing' THEN x[:-4] WHEN length(x) >= 6 AND x LIKE '%ed' THEN x[:-3] WHEN length(x) >= 5 AND x LIKE '%s' AND x NOT LIKE '%ss' THEN x[:-2] ELSE x END)"
+
+
+def _bm25(fields: dict[str, int], query: str) -> str:
+    text = " || ".join(f"list_transform(range(0, {n}), lambda i: coalesce({f}, ''))" for f, n in fields.items())
+    return f"""d AS (SELECT pool_id, {_terms(f"array_to_string({text}, ' ~ ')")} ts FROM pool_todo), q AS (SELECT unnest({_terms(S.q(query))}) q), st AS (SELECT count(*) n, avg(len(ts)) mean FROM d), df AS (SELECT q, (SELECT count(*) FROM d WHERE list_contains(ts, q)) df FROM (SELECT DISTINCT q FROM q)),
+ bm AS (SELECT pool_id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * f * 2.5 / (f + 1.5 * (0.25 + 0.75 * len(ts) / greatest(mean, 1e-9)))) score FROM (SELECT d.pool_id, d.ts, df.df, st.n, st.mean, len(list_filter(d.ts, lambda x: x = q.q)) f FROM d, q JOIN df USING (q), st) WHERE f > 0 GROUP BY pool_id)"""
+
+
+@query("r06_bm25", "WITH " + _bm25({"instruction": 3, "category": 1}, "tips for keeping the night bus clean") + " SELECT pool_id, round(score, 6) score FROM bm")
 def _(t):
     return R.bm25(t.pool_todo, "pool_id", {"instruction": 3, "category": 1}, "tips for keeping the night bus clean", W.STOPWORDS).select("pool_id", F.round("score", 6).alias("score"))
 
 
-@query("r07_phrases")
+_phrase = "(SELECT pool_id, len(list_distinct(q)) nq, len(list_distinct(p)) np, len(list_intersect(q, p)) k FROM (SELECT pool_id, {} q, {} p FROM pool_todo))".format(_terms("'keeping the night bus clean'"), _terms("coalesce(instruction, '')"))
+
+
+@query("r07_phrases", f"SELECT pool_id, round((CASE WHEN np > 0 THEN k / np ELSE 0 END + k / nq) / 2 + CASE WHEN np > 0 AND k = np THEN 0.05 ELSE 0 END, 6) score FROM {_phrase}")
 def _(t):
     q, p = X.search_terms(F.lit("keeping the night bus clean"), W.STOPWORDS), X.search_terms(F.coalesce("instruction", F.lit("")), W.STOPWORDS)
     return t.pool_todo.select("pool_id", F.round(R.phrase_score(q, p), 6).alias("score"))
 
 
-@query("r08_with_priors")
+@query("r08_with_priors", "WITH " + _bm25({"instruction": 3}, "night bus") + ", best AS (SELECT pool_id, score FROM bm ORDER BY round(score, 9) DESC, pool_id LIMIT 16) SELECT pool_id, round(score + CASE WHEN category IS NOT NULL THEN 1.5 ELSE 0 END + CASE WHEN src = 'arena' THEN 0.6 ELSE 0 END, 6) total FROM best JOIN pool_todo USING (pool_id) ORDER BY 2 DESC, pool_id LIMIT 3")
 def _(t):
-    s = R.bm25(t.pool_todo, "pool_id", {"instruction": 3}, "night bus", W.STOPWORDS).join(t.pool_todo.select("pool_id", "category", "src"), "pool_id")
+    s = R.bm25(t.pool_todo, "pool_id", {"instruction": 3}, "night bus", W.STOPWORDS).withColumn("score", F.round("score", 9)).join(t.pool_todo.select("pool_id", "category", "src"), "pool_id")
     return R.with_priors(s, "pool_id", {"category": (c("category").isNotNull(), 1.5), "source": (c("src") == "arena", 0.6)}).select("pool_id", F.round("total", 6).alias("total"))
 
 
@@ -560,9 +660,12 @@ def _(t):
     return t.embeddings.select("vec_id", F.round(R.max_sim(F.array(v), F.array(v, F.reverse(v))), 5).alias("score"))
 
 
-@query("r10_keywords")
+@query("r10_keywords", "SELECT n_nationkey, 3.0 score, 0.555556 confidence FROM nation WHERE n_name = 'NATION_3'")
 def _(t):
-    return R.keyword_match(t.part.select("p_partkey", F.split("p_type", " ").alias("k")), "p_partkey", "k", "promo burnished nickel")
+    """A phrase counts twice; another nation that is named once lies behind."""
+    k = F.array(F.lower("n_name"), F.concat(F.lit("from "), F.lower("n_name")))
+    got = R.keyword_match(t.nation.select("n_nationkey", k.alias("k")), "n_nationkey", "k", "A parcel from nation_3 to NATION_7")
+    return got.select("n_nationkey", "score", F.round("confidence", 6).alias("confidence"))
 
 
 @query("r11_threshold", f"SELECT a.vec_id, {_cos} score FROM embeddings a, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) b WHERE {_cos} >= 0.2 ORDER BY score DESC, vec_id LIMIT 50")
@@ -579,10 +682,6 @@ def _(t):
 # ---- sources
 
 
-def _folder() -> str:
-    return tempfile.mkdtemp(prefix="corpusloom")
-
-
 @query("s10_read_only_sql", "SELECT o_orderpriority, count(*) n FROM orders WHERE o_totalprice > 1000 GROUP BY 1")
 def _(t):
     t.orders.createOrReplaceTempView("s10_orders")
@@ -594,9 +693,9 @@ def _(t):
     return io.read_columns(t.spark, f"{t.folder}/documents.parquet", ["doc_id", "source"])
 
 
-@query("s19_names", "SELECT p_partkey FROM part WHERE regexp_matches(p_type, '(?i)promo.*nickel')")
+@query("s19_names", "SELECT p_partkey FROM part WHERE regexp_matches(p_name, '(?i)red.*t')")
 def _(t):
-    return t.part.where(io.name_matches(c("p_type"), "promo*nickel")).select("p_partkey")
+    return t.part.where(io.name_matches(c("p_name"), "RED*T")).select("p_partkey")
 
 
 @query("s23_upsert", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN upper(n_name) || '!' ELSE n_name END n_name FROM nation WHERE n_nationkey <> 4")
@@ -665,11 +764,23 @@ def _(t):
     return t.oasst_v8.select("key", prompt_fits(c("messages"), 600).alias("fits"))
 
 
-@query("gate25_examples", "SELECT key, CASE WHEN list_transform(messages, lambda m: m.role) IS DISTINCT FROM ['system', 'user', 'assistant'] THEN 'roles' ELSE 'call' END reason FROM oasst_v8")
+@query("gate25_examples", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'roles' WHEN 1 THEN 'call' WHEN 2 THEN 'tool' END reason FROM events")
 def _(t):
+    """Two valid forms, and one without a system turn, without a call, and with an unknown tool."""
     from corpusloom.operators.gates import example_reason
 
-    return t.oasst_v8.select("key", example_reason(c("messages"), ["set_mode"]).alias("reason"))
+    k = c("event_id") % 5
+    call = F.when(k == 1, "done").when(k == 2, "[other(a=1)]").when(k == 3, F.concat(F.lit(" [set_mode(level='"), "event_type", F.lit("')] "))).otherwise("[get.mode()]")
+    turn = lambda role, text: F.struct(role.alias("role"), text.alias("content"))
+    m = F.array(turn(F.when(k == 0, "user").otherwise("system"), F.lit("s")), turn(F.lit("user"), F.lit("u")), turn(F.lit("assistant"), call))
+    return t.events.select("event_id", example_reason(m, ["set_mode", "get.mode"]).alias("reason"))
+
+
+@query("gate24_schemas", "SELECT p_partkey, p_partkey % 4 IN (0, 1) valid FROM part")
+def _(t):
+    k = (c("p_partkey") % 4 + 1).cast("int")
+    s = F.element_at(F.array(F.lit('{"type": "object", "properties": {"a": {"type": "string"}}}'), F.lit('{"type": ["string", "null"], "minLength": 2}'), F.lit('{"$ref": "#/definitions/a"}'), F.lit('{"type": "text"}')), k)
+    return t.part.select("p_partkey", J.schema_is_valid(s).alias("valid"))
 
 
 @query("j04_under_path", "SELECT p_partkey FROM part WHERE p_type ILIKE 'promo%'")
@@ -691,9 +802,10 @@ def _(t):
     return M.audit_timeline(t.events, "user_id", "event_id", "event_type", "props")
 
 
-@query("x05_sections", r"SELECT doc_id, len(list_filter(string_split_regex(text, '\n\s*\n'), lambda x: trim(x, ' ') <> ''))::int n_sections FROM documents WHERE regexp_matches(text, '\n\s*\n')")
+@query("x05_sections", r"SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN ['a ' || p_name, p_type || chr(10) || 'b'] ELSE [p_name || chr(10) || '2' || chr(10) || '3' || chr(10) || '4' || chr(10) || '5', '6'] END parts FROM part")
 def _(t):
-    return t.documents.where(c("text").rlike(r"\n\s*\n")).select("doc_id", F.size(E.sections(c("text"))).alias("n_sections"))
+    even = F.concat(F.lit("\n\na "), c("p_name"), F.lit("\n \n\n"), c("p_type"), F.lit("\nb\n"))
+    return t.part.select("p_partkey", E.sections(F.when(c("p_partkey") % 2 == 0, even).otherwise(F.concat("p_name", F.lit("\n2\n3\n4\n5\n6")))).alias("parts"))
 
 
 @query("s15_merged_pools", r"""WITH u AS (SELECT instruction, plang, 'p' || pool_id id FROM pool_todo UNION ALL SELECT instruction, plang, 't' || strftime(generated_at, '%Y%m%d%H%M%S') || key FROM teacher_gen),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -87,8 +88,8 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; quotes where needed, nulls empty."""
-    df.write.mode(mode).csv(path, header=True, quoteAll=False, escape='"', emptyValue="", nullValue="")
+    """CSV with a header; quotes where needed, nulls empty, blanks kept."""
+    df.write.mode(mode).csv(path, header=True, quoteAll=False, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", keep_nulls: bool = True) -> None:
@@ -96,16 +97,45 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", keep_null
     df.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
-def list_files(spark: SparkSession, path: str, skip_dirs: Sequence[str] = (), skip_extensions: Sequence[str] = (), most_bytes: int = 10 << 20) -> DataFrame:
-    """(path, length, modificationTime) of files under a folder; contents are never read."""
+def list_files(spark: SparkSession, path: str, skip_dirs: Sequence[str] = (), skip_extensions: Sequence[str] = (), most_bytes: int = 10 << 20, most_depth: int | None = None) -> DataFrame:
+    """(path, length, modificationTime) of files under a folder, at most so many folders below it; contents are never read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
     for d in skip_dirs:
         df = df.where(~F.contains("path", F.lit(f"/{d}/")))
     if skip_extensions:
         df = df.where(~F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(list(skip_extensions)))
+    if most_depth is not None:
+        below = F.substring_index("path", path.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+        df = df.where(F.size(F.split(below, "/")) <= most_depth)
     return df.where(F.col("length") <= most_bytes)
 
 
+def write_files(df: DataFrame, folder: str) -> None:
+    """Writes each row of (name, text) as a file of its own, from the tasks that hold the rows; the folder must be one that all executors share."""
+    local = folder.removeprefix("file:")
+    local = "/" + local.lstrip("/") if folder.startswith("file:") else local
+
+    def put(rows) -> None:
+        for r in rows:
+            path = os.path.join(local, r["name"])
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "w", encoding="utf-8", newline="") as f:
+                f.write(r["text"] or "")
+
+    df.select("name", "text").foreachPartition(put)
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, kind, text) of the files of a folder, each one document: plain text as it stands (bytes that aren't UTF-8 become U+FFFD), pages
+    without their marks (S16). Files of other kinds (pdf, docx: no reader is installed) are left out."""
+    from corpusloom.operators.extract import html_text
+
+    df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    kind = F.when(ext.isin("htm", "html"), "html").when(ext.isin("txt", "md", "text"), "text")
+    return df.select("path", kind.alias("kind"), F.when(kind == "html", html_text(F.col("value"))).otherwise(F.col("value")).alias("text")).where("kind is not null")
+
+
 def name_matches(name: Column, pattern: str) -> Column:
     """Whether a name has a glob pattern anywhere, whatever its case."""
     return name.rlike("(?i)" + ".*".join(re.escape(p).replace(r"\?", ".") for p in pattern.split("*")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -62,14 +62,39 @@ def distinct_within(events: DataFrame, key: str, at: str, late: str = "1 hour")
     return events.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late).dropDuplicatesWithinWatermark([key]).drop("_at")
 
 
+def value_counts(events: DataFrame, by: str, value: str) -> DataFrame:
+    """How often each key has each value: the state that ``stats_of_counts`` is told from, for batches and streams alike."""
+    return events.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("value")).agg(F.count("*").alias("n"))
+
+
+def stats_of_counts(counts: DataFrame, by: str) -> DataFrame:
+    """Count, mean (whole numbers divided without rest) and 95th percentile (the value at place floor(0.95 n) of the sorted ones, from 0) by key, exactly."""
+    w = Window.partitionBy(by)
+    run = counts.withColumn("_upto", F.sum("n").over(w.orderBy("value"))).withColumn("_all", F.sum("n").over(w))
+    whole = dict(counts.dtypes)["value"] in ("tinyint", "smallint", "int", "bigint")
+    total = F.sum(F.col("value") * F.col("n"))
+    mean = F.floor(total / F.sum("n")).cast("long") if whole else total / F.sum("n")
+    p95 = F.min(F.when(F.col("_upto") > F.least(F.col("_all") - 1, F.floor(F.col("_all") * 0.95)), F.col("value")))
+    return run.groupBy(by).agg(F.sum("n").alias("n"), mean.alias("mean"), p95.alias("p95"))
+
+
 def running_stats(events: DataFrame, by: str, value: str) -> DataFrame:
-    """Count, mean and 95th percentile (approximate, mergeable) by key."""
-    return events.groupBy(by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.approx_percentile(value, F.lit(0.95)).alias("p95"))
+    """Of a batch."""
+    return stats_of_counts(value_counts(events, by, value), by)
 
 
-def session_log(turns: DataFrame, session: str, order: str, tokens: str, keep: int = 10) -> DataFrame:
-    """Of each session its turns, tokens, and the tokens of the newest ``keep`` turns."""
-    from pyspark.sql import Window
+def write_running_stats(stream: DataFrame, by: str, value: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Of a stream: its counts are kept as state, and each batch writes the statistics anew."""
 
+    def step(batch: DataFrame, _: int) -> None:
+        stats_of_counts(batch, by).write.mode("overwrite").parquet(out)
+
+    return value_counts(stream, by, value).writeStream.outputMode("complete").foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def session_log(turns: DataFrame, session: str, order: str, tokens: str, keep: int = 10) -> DataFrame:
+    """Of each session its turns, tokens, and the tokens of the newest ``keep`` turns. Newest turns are picked within tasks first."""
     r = F.row_number().over(Window.partitionBy(session).orderBy(F.col(order).desc()))
-    return turns.withColumn("_r", r).groupBy(session).agg(F.count("*").alias("turns"), F.sum(tokens).alias("tokens"), F.sum(F.when(F.col("_r") <= keep, F.col(tokens)).otherwise(0)).alias("kept_tokens"))
+    kept = turns.select(session, order, tokens).withColumn("_r", r).where(F.col("_r") <= keep).groupBy(F.col(session).alias("_session")).agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("kept_tokens"))
+    all_ = turns.groupBy(session).agg(F.count("*").alias("turns"), F.sum(tokens).alias("tokens"))
+    return all_.join(kept, all_[session].eqNullSafe(kept["_session"])).drop("_session")

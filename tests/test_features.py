@@ -104,7 +104,7 @@ def test_udfs(spark):
     assert '"name": "f"' in one(spark, "<think>no</think>[f(a=1)]", U.tool_call("t"))
     assert '"name": "g"' in one(spark, 'text {"name": "g", "arguments": {"x": 1,}}', U.tool_call("t"))
     assert one(spark, "no call", U.tool_call("t")) is None
-    assert one(spark, '{"a": 1}', U.schema_reward(["a", "b"])("t")) == pytest.approx(0.5)
+    assert one(spark, "acct # 123456 or account number is 1234567890, call 555-123-4567", U.redacted("t")) == "[REDACTED-accountNumber] or [REDACTED-accountNumber], call [REDACTED-phone]"
     assert one(spark, None, U.nfc("t")) is None
 
 
@@ -115,3 +115,16 @@ def test_tokenizer_counts(spark):
     if not os.path.exists(path):
         pytest.skip("no tokenizer file")
     assert one(spark, "hello world", U.tokenizer_counts(path)("t")) == 2
+
+
+def test_hash_embedding(spark):
+    """Both halves are the same 64 bytes, from -1 to 1, scaled to length 1."""
+    import hashlib
+
+    import numpy as np
+
+    for t in ("some text", "", "हिंदी"):
+        b = np.frombuffer(hashlib.sha512(t.encode()).digest(), np.uint8) / 127.5 - 1
+        v = np.concatenate([b, b]) / np.sqrt(2 * (b * b).sum())
+        assert np.allclose(one(spark, t, X.hash_embedding(F.col("t"))), v, atol=1e-12)
+    assert one(spark, None, X.hash_embedding(F.col("t"))) is None

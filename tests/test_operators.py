@@ -106,8 +106,9 @@ def test_lookups(spark):
 def test_percentile_by_floor_index(spark, values, q):
     df = spark.createDataFrame([("g", v) for v in values], "g string, v int")
     want = sorted(values)[min(len(values) - 1, int(len(values) * q))]
-    assert M.percentile_floor_by_counts(df, ["g"], "v", q).first().v == want
-    assert df.agg(M.percentile_floor(F.col("v"), q).alias("v")).first().v == want
+    got = M.percentiles(df, ["g"], "v", {"f": ("floor", q), "n": ("nearest", q), "i": ("interpolated", q)}).first()
+    assert got.f == want and got.n == sorted(values)[max(0, int(np.ceil(round(len(values) * q, 9))) - 1)] and got.i == pytest.approx(float(np.quantile(values, q)))
+    assert M.percentiles(df, [], "v", {"f": ("floor", q)}).first().f == want
 
 
 def test_threshold_and_precision(spark):
@@ -328,3 +329,81 @@ def test_chance_rank_is_a_plain_rank(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").alias("g"))
     plain = F.row_number().over(Window.partitionBy("g").orderBy(L.chance_order(F.col("id"), 5), "id"))
     assert rows(L.chance_rank(df, ["g"], F.col("id"), 5), "id", "_rank") == rows(df.withColumn("_rank", plain), "id", "_rank")
+
+
+# ---- hot groups
+
+
+def test_places_and_neighbours_in_ranges(spark, request):
+    """One group of nine tenths of all rows, cut into ranges: places, running sums and neighbours are those of a plain sort; nulls are a group of their own."""
+    from corpusloom.operators import ranks
+
+    rng = np.random.default_rng(5)
+    data = [("hot" if rng.random() < 0.9 else None if rng.random() < 0.3 else "cold", int(i), None if rng.random() < 0.2 else f"v{i}") for i in rng.permutation(3000)]
+    df = spark.createDataFrame(data, "g string, i long, v string").repartition(7)
+    # So few rows would be put into one range.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    s = ranks.ranged(df, ["g"], ["i"])
+    assert s.where("g = 'hot'").select("_p").distinct().count() > 2
+    sizes = sorted(r["count"] for r in s.groupBy("_p").count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+    want = {}
+    for g in {d[0] for d in data}:
+        rows_ = sorted((d for d in data if d[0] == g), key=lambda d: d[1])
+        for k, d in enumerate(rows_):
+            want[d[1]] = (k + 1, sum(x[1] for x in rows_[: k + 1]), rows_[k - 1][2] if k else None, rows_[k + 1][2] if k + 1 < len(rows_) else None)
+    place = {r.i: r._place for r in ranks.place(df, ["g"], ["i"]).collect()}
+    total = {r.i: r._upto for r in ranks.running(df, ["g"], ["i"], "i").collect()}
+    near = {r.i: (r._previous, r._next) for r in ranks.neighbours(df, ["g"], ["i"], "v").collect()}
+    assert {i: (place[i], total[i], *near[i]) for i in want} == want and len(place) == len(data)
+    assert [r._place for r in ranks.place(df, [], ["i"]).orderBy("i").collect()] == list(range(1, 3001))
+    assert ranks.place(df.limit(0), ["g"], ["i"]).count() == 0
+
+
+def test_hot_key_operators_equal_the_plain_ones(spark):
+    rng = np.random.default_rng(6)
+    data = [("hot" if rng.random() < 0.9 else f"k{rng.integers(5)}", int(i), int(rng.integers(1, 9))) for i in range(800)]
+    df = spark.createDataFrame(data, "g string, i long, n long")
+    by = {g: sorted((d for d in data if d[0] == g), key=lambda d: d[1]) for g in {d[0] for d in data}}
+    assert {r.i: r.variant for r in N.variants(df, ["g"], ["i"], 3).collect()} == {d[1]: k % 3 for rows_ in by.values() for k, d in enumerate(rows_)}
+    v = {r.i: r.view for r in N.compressed_history(df, ["g"], "i", "n", 4, F.lit(-1)).collect()}
+    assert v == {d[1]: (d[2] if k >= len(rows_) - 4 else -1) for rows_ in by.values() for k, d in enumerate(rows_)}
+    b = {r.i: r.batch for r in N.length_batches(df, "n", "i", 16).collect()}
+    assert b == {d[1]: k // 16 for k, d in enumerate(sorted(data, key=lambda d: (d[2], d[1])))}
+    kept = {r.i for r in N.greedy_share(df.withColumn("b", F.lit(100)), ["g"], "n", "b", ["i"]).collect()}
+    want = set()
+    for rows_ in by.values():
+        left = 100
+        for d in sorted(rows_, key=lambda d: (-d[2], d[1])):
+            if d[2] <= left:
+                left -= d[2]
+                want.add(d[1])
+    assert kept == want
+
+
+def test_neighbours_of_keys_fill_from_a_ring(spark):
+    pool = spark.createDataFrame([(f"p{i}",) for i in range(9)] + [("p1",), (None,)], "item string")
+    wanted = spark.createDataFrame([("a", ["p1", "x"]), ("b", []), ("c", None), ("d", ["p1", "p2", "p3", "p4", "p5"])], "k string, near array<string>")
+    got = {}
+    for r in J.fill_neighbours(wanted, "k", "near", pool, "item", 4).collect():
+        got.setdefault(r.k, {})[r["rank"]] = r["item"]
+    assert all(sorted(g) == [1, 2, 3, 4] and len(set(g.values())) == 4 for g in got.values())
+    assert (got["a"][1], got["a"][2]) == ("p1", "x") and [got["d"][i] for i in range(1, 5)] == ["p1", "p2", "p3", "p4"]
+    assert J.fill_neighbours(wanted, "k", "near", pool.limit(0), "item", 4).count() == 2 + 4
+
+
+def test_meetings(spark):
+    text = "Ann: Hi.\nBob: AI: @Zoë fix it by May 5; asap\n\nwe need to figure out why\nI'll pay"
+    df = spark.createDataFrame([(1, text), (1, text), (2, None), (3, " \n "), (4, "todo: \nnothing here")], "d int, t string")
+    got = [tuple(r) for r in E.meeting_items(df, "d", "t").orderBy("d", "line", "kind").collect()]
+    one = [
+        (1, 2, "action", "Zoë", "@Zoë fix it by May 5; asap", "May 5", "high", "Ann: Hi. Bob: AI: @Zoë fix it by May 5; asap"),
+        (1, 4, "question", None, "we need to figure out why", None, None, "we need to figure out why I'll pay"),
+        (1, 5, "commitment", "Bob", "pay", "", None, "we need to figure out why I'll pay"),
+    ]
+    need = [(1, 4, "action", "Bob", "we need to figure out why", "", "medium", "we need to figure out why I'll pay")]
+    assert sorted(got, key=str) == sorted([x for x in (*one, *need) for _ in range(2)], key=str)
+    m = {r.d: r.minutes for r in E.minutes(df.where("d > 1"), "d", "t").collect()}
+    assert m[2] == m[3] == "## Meeting Minutes\n\nNo transcript content provided.\n" and "- (no speakers identified)" in m[4] and "**Topic 1**\n\ntodo: \nnothing here\n" in m[4]
+    assert E.meeting_items(df.limit(0), "d", "t").count() == 0

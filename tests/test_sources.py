@@ -105,5 +105,28 @@ def test_stream_windows(spark, tmp_path):
     stream = lambda: spark.readStream.schema(schema).parquet(str(src))
     assert rows(collect(T.tumbling(stream(), "ts", "k"), "w1", "complete"), "n", "total") == [(2, 3.0), (2, 8.0)]
     assert collect(T.distinct_within(stream(), "id", "ts", "4 hours"), "w2", "append").count() == 3
-    assert rows(collect(T.running_stats(stream(), "k", "value"), "w3", "complete"), "k", "n") == [("a", 4)]
+    T.write_running_stats(stream(), "k", "value", str(tmp_path / "stats"), str(tmp_path / "ck3")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "stats")), "k", "n", "mean", "p95") == [("a", 4, 2.75, 4.0)]
+    assert rows(T.running_stats(spark.createDataFrame([("a", v) for v in range(1, 41)] + [("b", None), ("c", 7)], "k string, v int"), "k", "v")) == [("a", 40, 20, 39), ("c", 1, 7, 7)]
     assert rows(T.sessions(spark.read.parquet(str(src)), "ts", "k"), "n") == [(1,), (1,), (2,)]
+
+
+def test_documents_and_depth(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    write(tmp_path / "a" / "x.txt", b"line\n\xff two")
+    write(tmp_path / "a" / "b" / "y.HTML", "<p>one</p><script>no</script> &lt;")
+    write(tmp_path / "a" / "z.pdf", "%PDF")
+    assert rows(io.read_documents(spark, str(tmp_path / "a")), "kind", "text") == [("html", "one &lt;"), ("text", "line\n\ufffd two")]
+    names = lambda d: sorted(os.path.basename(r.path) for r in io.list_files(spark, str(tmp_path / "a"), most_depth=d).collect())
+    assert names(1) == ["x.txt", "z.pdf"] and names(2) == ["x.txt", "y.HTML", "z.pdf"] == names(None)
+
+
+def test_clusters_must_name_a_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from corpusloom.sources.checkpoint import scratch
+
+    for master in ("yarn", "spark://h:1", "local-cluster[2,1,1024]"):
+        bare = SimpleNamespace(sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda *_: None))
+        with pytest.raises(ValueError):
+            scratch(bare, "x")
