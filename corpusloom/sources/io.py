@@ -122,6 +122,7 @@ def write_files(df: DataFrame, folder: str) -> None:
             with open(path, "w", encoding="utf-8", newline="") as f:
                 f.write(r["text"] or "")
 
+    os.makedirs(local, exist_ok=True)
     df.select("name", "text").foreachPartition(put)
 
 
