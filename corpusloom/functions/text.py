@@ -69,7 +69,13 @@ def words(t: Column) -> Column:
 
 
 def word_count(t: Column) -> Column:
-    return F.size(words(t))
+    """how many words lie between white space; no array of them is made."""
+    return F.regexp_count(t, F.lit(r"(?U)[^\s\x1c-\x1f]+"))
+
+
+def is_blank(t: Column) -> Column:
+    """Whether a text has nothing but white space."""
+    return ~t.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def token_word_count(t: Column) -> Column:

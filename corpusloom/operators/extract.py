@@ -20,14 +20,16 @@ def html_text(t: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(s, "<[^>]+>", " "), r"\s+", " "))
 
 
-def findings(df: DataFrame, key: str, text: str, patterns: Mapping[str, str], luhn: tuple[str, ...] = ("credit_card",)) -> DataFrame:
+def findings(df: DataFrame, key: str, text: str, patterns: Mapping[str, str], luhn: tuple[str, ...] = ("credit_card",), first: str | None = None) -> DataFrame:
     """(key, line, kind, masked, context) of every match in every line, lines from 1; kinds in ``luhn`` need the check digit.
 
-    One look at the whole text with all patterns comes first, so that lines are cut of few texts only. Null and empty texts give no row.
+    One look at the whole text comes first, so that lines are cut of few texts only: with ``first``, a pattern that every text with a finding has
+    (``W.SENSITIVE`` for the known kinds), or else with all patterns. Null and empty texts give no row.
     """
     rules = {k: X.pyregex(p) for k, p in patterns.items()}
-    some = df.where(F.col(text).rlike("|".join(f"(?:{p})" for p in rules.values())))
+    some = df.where(F.col(text).rlike(first or "|".join(f"(?:{p})" for p in rules.values())))
     lines = some.select(key, F.posexplode(F.split(F.col(text), BREAKS)).alias("_i", "_line"))
+    lines = lines.where(F.col("_line").rlike(first)) if first else lines
     per = F.array(*(F.struct(F.lit(k).alias("kind"), F.regexp_extract_all("_line", F.lit(f"({p})"), F.lit(1)).alias("found")) for k, p in rules.items()))
     hits = lines.select(key, "_i", "_line", F.explode(per).alias("_p")).select(key, "_i", "_line", F.col("_p.kind").alias("kind"), F.explode("_p.found").alias("_m"))
     hits = hits.where(~F.col("kind").isin(list(luhn)) | X.is_card_number(F.col("_m")))

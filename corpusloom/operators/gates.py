@@ -20,7 +20,10 @@ def corpus_coarse(t: Column, script: str = X.DEVANAGARI, min_words: int = 40, ma
     """Empty, short, long, chars, latin."""
     t = _t(t)
     n = X.word_count(t)
-    return X.first_of([(X.strip(t) == "", "empty"), (n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), ((X.script_share_of_text(t, script) < least_script) | (X.latin_share(t) > most_latin), "latin")])
+    return (
+        F.when(X.is_blank(t), "empty").when(~n.between(min_words, max_words), F.when(n < min_words, "short").otherwise("long")).when(F.length(t) > max_chars, "chars")
+        .when((X.script_share_of_text(t, script) < least_script) | (X.latin_share(t) > most_latin), "latin")
+    )
 
 
 def corpus_quality(
@@ -31,29 +34,23 @@ def corpus_quality(
     other language (by markers), english, loopy. ``empty`` only shows where short texts are allowed (a text without words is short)."""
     t = _t(t)
     share = X.script_share_of_letters(t, script)
-    markers = F.struct(X.runs_in(t, list(other), runs=runs).alias("other"), X.runs_in(t, list(own), runs=runs).alias("own"))
-
-    def by_share(share: Column, n: Column) -> Column:
-        return X.first_of([(share < least_script, names[0]), ((share > 0.995) & (n < 60), "stub")])
-
-    def by_markers(m: Column) -> Column:
-        oth, mine = m["other"], m["own"]
-        return X.first_of([((oth > 0) & (oth > mine), names[1]), ((oth >= 3) & (oth >= 2 * F.greatest(F.lit(1), mine)), names[2])])
+    oth, mine = X.runs_in(t, list(other), runs=runs), X.runs_in(t, list(own), runs=runs)
+    # Each step is computed only if the ones before gave no reason. What several conditions need stands in the first of them only
+    # for almost all texts: that no word of the other language is there, that the number of words is within bounds.
+    any_foreign = t.rlike(f"[{''.join(foreign.values())}]")
 
     def reason(w: Column) -> Column:
-        # Each step is computed only if the ones before gave no reason, and its parts once.
         n = F.size(w)
-        any_foreign = t.rlike(f"[{''.join(foreign.values())}]")
         return F.coalesce(
-            X.first_of([(n < min_words, "short"), (n > max_words, "long"), (F.length(t) > max_chars, "chars"), (X.strip(t) == "", "empty")]),
+            F.when(~n.between(min_words, max_words), F.when(n < min_words, "short").otherwise("long")).when(F.length(t) > max_chars, "chars").when(X.is_blank(t), "empty"),
             F.when(any_foreign, X.first_of([(t.rlike(f"[{r}]"), name) for name, r in foreign.items()])) if foreign else F.lit(None).cast("string"),
             X.first_of(
                 [
                     (t.rlike(f"[{W.SYMBOLS}]"), "symbols"), (t.rlike(r"(.)\1{6,}"), "repeat"), (t.rlike("(?i)" + W.URL) | (t.contains("@") & t.rlike("(?U)" + W.EMAIL)), "url"), (t.rlike(r"(?U)\d{6,}"), "digits"), (~t.rlike(r"\p{L}"), "noletters"),
+                    (share < least_script, names[0]), ((n < 60) & (share > 0.995), "stub"),
                 ]
             ),
-            X.let(share, lambda s: by_share(s, n)),
-            X.let(markers, by_markers),
+            F.when(oth > 0, X.first_of([(oth > mine, names[1]), ((oth >= 3) & (oth >= 2 * F.greatest(F.lit(1), mine)), names[2])])),
             X.first_of([(F.regexp_count(t, F.lit(X.whole_words(W.ENGLISH_FUNCTION))) >= english, "english"), (X.trigram_uniqueness(w) < uniqueness, "loopy")]),
         )
 
@@ -100,9 +97,11 @@ def language_gate(t: Column, lang: str, other: Sequence[str] = tuple(W.GATE_MARA
     """Empty, foreign_script, and by the slot's language: more distinct forms of another language than of its own, three of them at all, or two romanised ones."""
     t = _t(t)
     m, h = X.runs_in(t, list(other), distinct=True), X.runs_in(t, list(own), distinct=True)
-    r = F.when(X.strip(t) == "", "empty").when(t.rlike(f"[{foreign}]"), "foreign_script")
+    r = F.when(X.is_blank(t), "empty").when(t.rlike(f"[{foreign}]"), "foreign_script")
     if lang == "hindi":
-        r = r.when(m > h, F.concat(F.lit("marathi_dominated("), m, F.lit(">"), h, F.lit(")"))).when(m >= 3, F.concat(F.lit("marathi_markers("), m, F.lit(")")))
+        # Forms are only counted where one of the other language is there at all.
+        counted = F.when(m > h, F.concat(F.lit("marathi_dominated("), m, F.lit(">"), h, F.lit(")"))).when(m >= 3, F.concat(F.lit("marathi_markers("), m, F.lit(")")))
+        r = r.when(m > 0, counted)
     if lang == "hinglish":
         r = r.when(F.regexp_count(t, F.lit(X.whole_words(list(latin)))) >= 2, "marathi_romanised")
     return r

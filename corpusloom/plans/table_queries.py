@@ -473,12 +473,12 @@ def _sensitive(t):
 
 @query("x01_findings", _found_in(*_docs) + " SELECT doc_id, line, kind, masked, context FROM found")
 def _(t):
-    return E.findings(t.documents.select("doc_id", "text"), "doc_id", "text", {**W.PII, **W.SECRETS})
+    return E.findings(t.documents.select("doc_id", "text"), "doc_id", "text", {**W.PII, **W.SECRETS}, first=W.SENSITIVE)
 
 
 @query("gate34_sensitive", _found_in(*_planted) + " SELECT doc_id, line, kind, masked, context FROM found")
 def _(t):
-    return E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS})
+    return E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS}, first=W.SENSITIVE)
 
 
 @query("x02_redacted", r"SELECT c_custkey, 'my [REDACTED-accountNumber], mail [REDACTED-email], ssn [REDACTED-ssn], card [REDACTED-creditCard], call ([REDACTED-phone] or 12' AS said FROM customer")
@@ -491,7 +491,7 @@ def _(t):
 @query("x03_cleanup", _found_in(*_planted) + """ SELECT doc_id, kind, count(*) matches, min(line) first_line, CASE WHEN kind IN ('ssn', 'credit_card', 'email', 'phone') THEN 'redact' WHEN kind = 'private_key' THEN 'move' ELSE 'rotate' END AS action,
  CASE WHEN kind IN ('email', 'phone') THEN 'low' WHEN kind = 'generic_api_key' THEN 'medium' ELSE 'high' END severity FROM found GROUP BY doc_id, kind""")
 def _(t):
-    return E.cleanup_actions(E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS}), "doc_id")
+    return E.cleanup_actions(E.findings(_sensitive(t), "doc_id", "text", {**W.PII, **W.SECRETS}, first=W.SENSITIVE), "doc_id")
 
 
 def _meeting(t):
