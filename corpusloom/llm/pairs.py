@@ -6,18 +6,19 @@ prompt and response share, refusals by a linear model of words and word pairs (`
 
 The end-of-text model is asked only about the last words of answers without a stop mark. Their contexts are collected first; a
 bitmap of them, of fixed size, goes to the tasks that count contexts over all responses, so that little else is shuffled.
-The counts are exact and joined to the answers, whatever the number of either.
+The counts are exact and joined to the answers, whatever the number of either. Rare words are one class in contexts: which ones are not
+rare is counted over all responses, too, and known to all tasks as a bitmap.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ SAMPLE_ROWS = 12000
 ORDER, PULL = 5, 2.0
 #: Sightings in all responses from which a word, and a context or a word's beginning, is known.
 WORD_SEEN, CONTEXT_SEEN = 3, 2
-#: Bits of the bitmap of contexts that are asked for (16 MB). Beyond it more contexts are counted than are asked for, none is lost.
+#: Bits of the bitmaps (16 MB each). The fuller they are, the more contexts are counted that none asks for and the more rare words pass for known ones; none is lost.
 BITMAP_BITS = 27
 #: A text that ends after its last words with less likelihood is truncated.
 END_LIKELIHOOD = 0.1
@@ -77,7 +78,7 @@ _CLOSERS = "\"'”’»)]}*_`~"
 # Vowels, and the half vowel that spellings put between them, of the four scripts.
 _VOWELS = "aeiouyअआइईउऊऋएऐओऔयঅআইঈউঊঋএঐওঔযஅஆஇஈஉஊஎஏஐஒஓஔய"
 _DANGLING = ",;:-–—(/&+"
-_NUM = np.uint64(0x7654321)
+_UNK, _NUM = np.uint64(0x1234567), np.uint64(0x7654321)
 
 
 def _isin(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -145,8 +146,8 @@ def _two(last: np.ndarray) -> np.ndarray:
     return _context(np.concatenate([np.zeros((len(last), 1), np.uint64), last[:, :-1]], axis=1), 2)
 
 
-class Asked:
-    """The bitmap of the keys that are asked for."""
+class Bitmap:
+    """A set of keys by their first bits: it has all that were put in, and some others."""
 
     def __init__(self, places: np.ndarray, bits: np.ndarray):
         self.bits = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
@@ -157,13 +158,12 @@ class Asked:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _asked(candidates: DataFrame) -> Asked:
-    """The bitmap of all ``keys``, put together by tasks: no more than its own size reaches the driver."""
-    k = candidates.select(F.explode("keys").alias("key"))
+def bitmap(keys: DataFrame) -> Bitmap:
+    """The bitmap of the column ``key``, put together by tasks: no more than its own size reaches the driver."""
     at = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
     # A shift of longs takes its last six bits.
-    t = k.groupBy(F.shiftright(at, 6).alias("place")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITMAP_BITS}) & 63))")).alias("bits")).toArrow()
-    return Asked(t["place"].to_numpy(), t["bits"].to_numpy())
+    t = keys.groupBy(F.shiftright(at, 6).alias("place")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITMAP_BITS}) & 63))")).alias("bits")).toArrow()
+    return Bitmap(t["place"].to_numpy(), t["bits"].to_numpy())
 
 
 def _tally(key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -173,14 +173,25 @@ def _tally(key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray |
     return key, np.zeros(len(key), np.int64) if ended is None else np.bincount(inv, ended, len(key)).astype(np.int64), seen
 
 
-def context_counts(x: T.Codes, asked: Asked) -> list[tuple[np.ndarray, ...]]:
+def _classes(skeletons: np.ndarray, known: Bitmap) -> np.ndarray:
+    """One class for all skeletons that aren't known."""
+    return np.where(known(skeletons) | (skeletons == _NUM), skeletons, _UNK)
+
+
+def skeleton_counts(x: T.Codes) -> list[tuple[np.ndarray, ...]]:
+    """Sightings of the words' skeletons."""
+    s = Ended(x)
+    return [_tally(_numbered(s.words)[s.at])] if len(s.at) else []
+
+
+def context_counts(x: T.Codes, known: Bitmap, asked: Bitmap) -> list[tuple[np.ndarray, ...]]:
     """Of the keys asked for: sightings and ends of contexts, sightings of words, and of beginnings of words after the
     two words before them (a last word among these is cut within)."""
     s = Ended(x)
     w, at = s.words, s.at
     if not len(at):
         return []
-    last = _last(_numbered(w), at, s.first)
+    last = _last(_classes(_numbered(w), known), at, s.first)
     is_end = s.is_end[at]
     out = []
     for k in range(1, ORDER + 1):
@@ -203,15 +214,13 @@ def context_counts(x: T.Codes, asked: Asked) -> list[tuple[np.ndarray, ...]]:
     return out
 
 
-def end_counts(df: DataFrame, asked: Asked) -> DataFrame:
-    """(key, ended, seen) of each key asked for, over the sentences of all responses that a stop mark ends: contexts before each next word
-    went on, the one before the mark ended."""
-    held_bits = shared(df.sparkSession, asked)
+def _counted(df: DataFrame, count: Callable[[T.Codes], list[tuple[np.ndarray, ...]]]) -> DataFrame:
+    """(key, ended, seen) over all responses, of what ``count`` finds in each."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for b in T.slices(it, "response", 1 << 23):
-            held += context_counts(T.folded(T.codes(b.column("response"))), held_bits.value)
+            held += count(T.folded(T.codes(b.column("response"))))
             if sum(len(h[0]) for h in held) > 1 << 21:
                 yield batch(held)
                 held = []
@@ -227,6 +236,18 @@ def end_counts(df: DataFrame, asked: Asked) -> DataFrame:
     return c.groupBy("key").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen"))
 
 
+def known_skeletons(df: DataFrame) -> Bitmap:
+    """Skeletons that WORD_SEEN words or more have, in the sentences of all responses that a stop mark ends."""
+    return bitmap(_counted(df, skeleton_counts).where(F.col("seen") >= WORD_SEEN))
+
+
+def end_counts(df: DataFrame, known: Broadcast, asked: Bitmap) -> DataFrame:
+    """(key, ended, seen) of each key asked for, over the sentences of all responses that a stop mark ends: contexts before each next word
+    went on, the one before the mark ended."""
+    held = shared(df.sparkSession, asked)
+    return _counted(df, lambda x: context_counts(x, known.value, held.value))
+
+
 def likelihoods(candidates: DataFrame, counts: DataFrame) -> DataFrame:
     """(row_id, p, cut) of each row of ``candidates`` (row_id, uid, keys): the likelihood of an end after its last words, where each longer
     context that was seen corrects that after the shorter one by its counts; and whether its last word, unknown or new after the same words, only begins one."""
@@ -319,7 +340,7 @@ def is_copy(prompt: str, response: str) -> bool:
     return True
 
 
-def find(b: pa.RecordBatch, language: np.ndarray, declines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def find(b: pa.RecordBatch, language: np.ndarray, declines: np.ndarray, known: Bitmap) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The defect of each row of (instruction, response), or None; the rows that the end-of-text model decides, and the keys that each asks for."""
     n = b.num_rows
     out = np.full(n, None, dtype=object)
@@ -356,7 +377,7 @@ def find(b: pa.RecordBatch, language: np.ndarray, declines: np.ndarray) -> tuple
         if not _TRANSLATE.search(prompt) and not any(_ASKS_LANG[LANGS[j]].search(prompt) for j in np.flatnonzero(answered[i])):
             out[i] = "other_language"
     # Truncated.
-    dangling, open_, keys = unfinished(raw, x, w, parts.skeleton, (out == None) & (count >= SHORT_WORDS))  # noqa: E711
+    dangling, open_, keys = unfinished(raw, x, w, _classes(parts.skeleton, known), (out == None) & (count >= SHORT_WORDS))  # noqa: E711
     out[dangling] = "truncated"
     return out, open_, keys
 
@@ -438,12 +459,13 @@ def defects(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     s = bounded_sample(df, "row_id", sample_rows).where(F.length("response") > 20).select("response", canonical_label(F.col("lang")).alias("label")).toArrow()
     texts = s["response"].combine_chunks() if s.num_rows else pa.array([], pa.string())
     model = shared(df.sparkSession, (nb.train_languages(texts, s["label"].to_pylist())[0], refusals.train(texts, _numbered)))
+    known = shared(df.sparkSession, known_skeletons(df))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         language, declines = model.value
         uid = TaskContext.get().partitionId() << 40
         for b in T.slices(it, ["instruction", "response"]):
-            found, open_, keys = find(b, language, declines)
+            found, open_, keys = find(b, language, declines, known.value)
             at = np.flatnonzero(found != None)  # noqa: E711
             rows = np.concatenate([at, open_])
             if not len(rows):
@@ -456,7 +478,7 @@ def defects(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     # Two later steps read it: written once, it needs no second look at the texts.
     found = checkpointed(df.select("row_id", "instruction", "response").mapInArrow(run, "row_id long, defect string, uid long, keys array<long>"))
     open_ = found.where("defect is null").select("row_id", "uid", "keys")
-    ends = likelihoods(open_, end_counts(df, _asked(open_)))
+    ends = likelihoods(open_, end_counts(df, known, bitmap(open_.select(F.explode("keys").alias("key")))))
     cut = ends.where((F.col("p") < END_LIKELIHOOD) | F.col("cut")).select("row_id", F.lit("truncated").alias("defect"))
     return found.where("defect is not null").select("row_id", "defect").unionByName(cut)
 

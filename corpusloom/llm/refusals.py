@@ -88,9 +88,11 @@ class Parts:
     def scores(self, weight: np.ndarray) -> np.ndarray:
         """Mean odds of each sentence's words, skeletons and pairs; a word of each class is worth BONUS more."""
         w, s, p = self.buckets()
-        inner = np.append(0, np.cumsum(weight[p]))  # the pair of a sentence's first word reaches before it
-        total = self.sums(weight[w] + weight[s]) + np.where(self.count > 0, inner[self.b] - inner[np.minimum(self.a + 1, self.b)], 0)
-        return total / np.maximum(1, 3 * self.count - 1) + BONUS * self.seeded(w)
+        once = np.ones(len(w), dtype=bool)  # a word said again at once counts once: answers that loop decline nothing
+        once[1:] = self.hash[1:] != self.hash[:-1]
+        inner = np.append(0, np.cumsum(weight[p] * once))  # the pair of a sentence's first word reaches before it
+        total = self.sums((weight[w] + weight[s]) * once) + np.where(self.count > 0, inner[self.b] - inner[np.minimum(self.a + 1, self.b)], 0)
+        return total / np.maximum(1, 3 * self.sums(once) - 1) + BONUS * self.seeded(w)
 
     def seeded(self, buckets: np.ndarray) -> np.ndarray:
         """Sentences that have a word of each class."""

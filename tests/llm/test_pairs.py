@@ -70,9 +70,10 @@ def test_ends_are_counted_over_all_rows(spark):
     df = spark.createDataFrame(planted + seen + filler, "row_id long, instruction string, response string, lang string")
     assert rows(P.defects(df, sample_rows=20)) == [(1, "truncated"), (3, "truncated")]
     w = P.T.words(P.T.folded(P.T.codes(P.pa.array([rare]))))
-    last = P._last(P._numbered(w), *(P.np.array([i]) for i in (len(w) - 1, 0)))
+    known = P.known_skeletons(df)
+    last = P._last(P._classes(P._numbered(w), known), *(P.np.array([i]) for i in (len(w) - 1, 0)))
     keys = [int(k.view(P.np.int64)[0]) for k in (P._context(last, 5), P._word_key(w.hash[-1:]))]
-    counts = P.end_counts(df, P._asked(spark.createDataFrame([(keys,)], "keys array<long>")))
+    counts = P.end_counts(df, P.shared(spark, known), P.bitmap(spark.createDataFrame([(k,) for k in keys], "key long")))
     assert rows(counts.where(P.F.col("key").isin(keys)).select("ended", "seen")) == [(0, 6), (6, 6)]
 
 
@@ -80,7 +81,7 @@ def test_bitmap_loses_no_key(spark):
     """Every key put in is found again, and of others hardly any."""
     rng = P.np.random.default_rng(1)
     keys = rng.integers(-(1 << 63), 1 << 63, 3000)
-    asked = P._asked(spark.createDataFrame([(keys[i::30].tolist(),) for i in range(30)], "keys array<long>"))
+    asked = P.bitmap(spark.createDataFrame([(int(k),) for k in keys], "key long"))
     assert asked(keys.view(P.np.uint64)).all() and asked(rng.integers(0, 1 << 63, 100000).astype(P.np.uint64)).mean() < 0.01
 
 
