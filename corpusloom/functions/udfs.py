@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.wordlists import REDACT
+from corpusloom.functions.wordlists import NO_TOOLS, REDACT
 
 
 def _each(fn):
@@ -157,16 +157,39 @@ def table_rows(s: pd.Series) -> pd.Series:
 
 
 def _repair(t: str) -> dict | None:
-    t = re.sub(r"[\x00-\x1f]", " ", t).strip()
-    for x in (t, re.sub(r",\s*([}\]])", r"\1", t), re.sub(r"(?<![\\\w])'|'(?![\w])", '"', t), t + "}" * max(0, t.count("{") - t.count("}"))):
+    """JSON of an object, mended step by step: doubled quotes before a value, commas before a closing sign, closing braces that lack, control signs."""
+    steps = (
+        lambda x: x, lambda x: re.sub(r'(:\s*)""(?=[^",}\]\s])', r'\1"', x), lambda x: re.sub(r",\s*([}\]])", r"\1", x), lambda x: x + "}" * max(0, x.count("{") - x.count("}")), lambda x: re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", x),
+        lambda x: re.sub(r"(?<![\\\w])'|'(?![\w])", '"', x),
+    )
+    for step in steps:
+        t = step(t)
         try:
-            v = json.loads(x)
+            v = json.loads(t, strict=False)
             return v if isinstance(v, dict) else None
         except ValueError:
             continue
     return None
 
 
+_ARGUMENT = re.compile(r"""(\w+)\s*=\s*("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|\[[^\]]*\]|\{[^}]*\}|[^,]+)""", re.S)
+
+
+def _value(t: str):
+    """A keyword's value: a quoted text, a number, a truth value or JSON; anything else as it stands."""
+    t = t.strip()
+    if t[:1] in "'\"" and len(t) > 1 and t[-1] == t[0]:
+        return t[1:-1].replace("\\" + t[0], t[0])
+    try:
+        return json.loads({"True": "true", "False": "false", "None": "null"}.get(t, t))
+    except ValueError:
+        return t
+
+
+def _said(name: str, arguments: object) -> str:
+    return json.dumps({"name": name, "arguments": arguments}, ensure_ascii=False, sort_keys=True)
+
+
 def _call(t: str) -> str | None:
     for m in (re.search(r"<\|tool_call_start\|>(.*?)(?:<\|tool_call_end\|>|$)", t, re.S), re.search(r"```(?:json)?\s*(\{.*?\})\s*```", t, re.S)):
         if m:
@@ -174,22 +197,23 @@ def _call(t: str) -> str | None:
             break
     m = re.search(r"Tool:\s*([\w.]+)\s*\n\s*Arguments:\s*(\{.*)", t, re.S)
     if m:
-        args = _repair(m.group(2).strip())
-        return json.dumps({"name": m.group(1), "arguments": args or {}}, ensure_ascii=False, sort_keys=True)
+        return _said(m.group(1), _repair(m.group(2).strip()) or {})
+    m = re.search(r"\[?\s*([A-Za-z_][\w.]*)\((.*)\)\s*\]?\s*$", t.strip(), re.S)
+    if m:
+        return _said(m.group(1), {k: _value(v) for k, v in _ARGUMENT.findall(m.group(2))})
     if "{" in t:
         v = _repair(t[t.index("{") : t.rindex("}") + 1] if "}" in t else t[t.index("{") :])
         if v and isinstance(v.get("name"), str):
-            return json.dumps({"name": v["name"], "arguments": v.get("arguments", v.get("parameters", {}))}, ensure_ascii=False, sort_keys=True)
-    m = re.search(r"\[?\s*([A-Za-z_][\w.]*)\((.*?)\)\s*\]?\s*$", t.strip(), re.S)
-    if m:
-        args = {k: v.strip("\"' ") for k, v in re.findall(r"(\w+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^,]+)", m.group(2))}
-        return json.dumps({"name": m.group(1), "arguments": args}, ensure_ascii=False, sort_keys=True)
+            return _said(v["name"], v.get("arguments", v.get("parameters", {})))
+    for name in re.findall(r"`([a-z_]+\.[a-z_]+)`", t):
+        if name.split(".")[1] not in NO_TOOLS:
+            return _said(name, {})
     return None
 
 
 @F.pandas_udf(T.StringType())
 def tool_call(s: pd.Series) -> pd.Series:
-    """The tool call of a reply (JSON, marked, fenced, named lines or bracketed) as JSON of name and arguments; null without one."""
+    """The tool call of a reply (JSON, marked, fenced, named lines, bracketed or a dotted name between backticks) as JSON of name and arguments; null without one."""
     return _each(lambda t: _call(re.sub(r"(?s)<think>.*?</think>", "", t)))(s)
 
 

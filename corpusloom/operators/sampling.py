@@ -62,11 +62,25 @@ def shortage(taken: DataFrame, group: str, wanted: Mapping[str, int]) -> DataFra
 
 
 def stratified(df: DataFrame, stratum: str, key: Column, share: float, seed: int) -> DataFrame:
-    """``split`` train for round(n share) rows of each stratum (half-even), test for the others."""
+    """``split`` train for round(n share) rows of each stratum (half-even), test for the others."""
     r = chance_rank(df, [stratum], key, seed)
     return r.withColumn("split", F.when(F.col("_rank") <= F.bround(F.col("_size") * share), "train").otherwise("test")).drop("_rank", "_size")
 
 
+def stratified_exact(df: DataFrame, stratum: str, key: Column, test_share: float, seed: int) -> DataFrame:
+    """``split`` train or test, of which test has ceil(n share) rows of all. Each stratum gives to train what its size is worth, cut to a whole
+    number; what is then missing comes from the strata with the largest remainders, of equal ones from the first by name. A null stratum is one."""
+    n = df.groupBy(stratum).agg(F.count("*").alias("_c"))
+    one = Window.partitionBy()  # one row for each stratum
+    n = n.withColumn("_n", F.sum("_c").over(one)).withColumn("_train", F.col("_n") - F.ceil(F.col("_n") * F.lit(test_share)))
+    n = n.withColumn("_low", F.floor(F.col("_c") * F.col("_train") / F.col("_n"))).withColumn("_rest", (F.col("_c") * F.col("_train")) % F.col("_n")).withColumn("_more", F.col("_train") - F.sum("_low").over(one))
+    take = F.col("_low") + (F.row_number().over(Window.orderBy(F.col("_rest").desc(), stratum)) <= F.col("_more")).cast("long")
+    q = n.select(F.col(stratum).alias("_stratum"), take.alias("_take"))
+    r = chance_rank(df, [stratum], key, seed)
+    r = r.join(q, F.col(stratum).eqNullSafe(F.col("_stratum")))
+    return r.withColumn("split", F.when(F.col("_rank") <= F.col("_take"), "train").otherwise("test")).select(*df.columns, "split")
+
+
 def three_way(df: DataFrame, stratum: str, key: Column, seed: int) -> DataFrame:
     """Eval and test take a tenth each from the front, at least one each in strata of three or more; of two one goes to test; one alone is train."""
     n, r = F.col("_size"), F.col("_rank")

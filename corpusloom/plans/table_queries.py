@@ -354,6 +354,12 @@ def _(t):
     return L.stratified(t.documents, "source", c("doc_id"), 0.8, 42).select("doc_id", "split")
 
 
+@query("l08_exact_strata", f"""WITH n AS (SELECT source, count(*) n, sum(count(*)) OVER () whole FROM documents GROUP BY 1), w AS (SELECT *, whole - ceil(whole * 0.05)::bigint train FROM n), f AS (SELECT *, (n * train) // whole low, (n * train) % whole rest, train - sum((n * train) // whole) OVER () more FROM w),
+ q AS (SELECT source, low + (row_number() OVER (ORDER BY rest DESC, source) <= more)::int take FROM f) SELECT doc_id, CASE WHEN r <= take THEN 'train' ELSE 'test' END split FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {_chance(7, 'doc_id')}, doc_id) r FROM documents) JOIN q ON documents_source(source, q.source)""".replace("ON documents_source(source, q.source)", "USING (source)"))
+def _(t):
+    return L.stratified_exact(t.documents, "source", c("doc_id"), 0.05, 7).select("doc_id", "split")
+
+
 @query("l07_three_way", f"SELECT p_partkey, CASE WHEN n = 1 THEN 'train' WHEN n = 2 THEN CASE WHEN r = 1 THEN 'test' ELSE 'train' END WHEN r <= greatest(1, floor(n * 0.1)) THEN 'eval' WHEN r <= 2 * greatest(1, floor(n * 0.1)) THEN 'test' ELSE 'train' END split FROM (SELECT p_partkey, count(*) OVER (PARTITION BY p_brand) n, row_number() OVER (PARTITION BY p_brand ORDER BY {_chance(42, 'p_partkey')}, p_partkey) r FROM part)")
 def _(t):
     return L.three_way(t.part, "p_brand", c("p_partkey"), 42).select("p_partkey", "split")
@@ -531,10 +537,15 @@ def _(t):
     return E.suggestions(t.part.select("p_partkey", s.alias("s")), "p_partkey", "s", elements=F.array(F.lit("p|q|r"))).withColumn("confidence", F.round("confidence", 6))
 
 
-@query("x09_tool_calls", '''SELECT event_id, '{"arguments": {"level": "' || event_type || '", "n": "' || user_id || '"}, "name": "set_mode"}' AS call FROM events''')
+@query("x09_tool_calls", '''SELECT event_id, CASE event_id % 7 WHEN 0 THEN '{"arguments": {"level": "' || event_type || '", "n": ' || user_id || '}, "name": "set_mode"}' WHEN 1 THEN '{"arguments": {"k": ' || user_id || '}, "name": "a.b"}' WHEN 2 THEN '{"arguments": {"t": "' || event_type || '"}, "name": "x.y"}'
+ WHEN 3 THEN '{"arguments": {"on": true, "s": "a, b"}, "name": "f"}' WHEN 4 THEN '{"arguments": {}, "name": "files.list_dir"}' WHEN 5 THEN '{"arguments": {"v": ' || user_id || '}, "name": "g"}' END AS call FROM events''')
 def _(t):
-    s = F.concat(F.lit("<think>x</think>[set_mode(level='"), c("event_type"), F.lit("', n="), c("user_id").cast("string"), F.lit(")]"))
-    return t.events.select("event_id", U.tool_call(s).alias("call"))
+    k = c("user_id").cast("string")
+    forms = (
+        F.concat(F.lit("<think>[no(a=1)]</think>[set_mode(level='"), "event_type", F.lit("', n="), k, F.lit(")]")), F.concat(F.lit("ok\nTool: a.b\nArguments: {\"k\": "), k, F.lit(",}")), F.concat(F.lit("<|tool_call_start|>[x.y(t=\""), "event_type", F.lit("\")]<|tool_call_end|> done")),
+        F.lit("[f(on=True, s='a, b')]"), F.lit("see `report.txt`, then `files.list_dir` and `a.b`"), F.concat(F.lit("```json\n{\"name\": \"g\", \"arguments\": {\"v\": "), k, F.lit("}}\n```")), F.concat(F.lit("no call in "), "event_type"),
+    )
+    return t.events.select("event_id", U.tool_call(F.element_at(F.array(*forms), (c("event_id") % 7 + 1).cast("int"))).alias("call"))
 
 
 @query("x11_calls_text", "SELECT event_id, '[' || event_type || '(' || props || ')]' calls FROM events")
