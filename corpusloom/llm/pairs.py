@@ -62,16 +62,16 @@ _ASKS_COPY = re.compile(
     r"\bas it is\b|\bexactly as (?:written|it is|given)|\brewrite (?:this|the) (?:sentence|line|text) (?:unchanged|as)|dohra(?:o|ao|iye|iye|yen|ein|ye|iyega)\b|waise? k[ai] wais[ai]|jaise? k[ai] tais[ai]|jyon k[ai] tyon|"
     r"hu ?ba ?hu|दोहराइए|दोहराओ|दोहराएं|दोहराये|दोहरायें|दोहराना|ज्यों का त्यों|वैसे का वैसा|जैसे का तैसा|हूबहू|जसेच्या तसे|जसाच्या तसा|पुन्हा लिहा|पुन्हा म्हणा|तसेच लिहा|হুবহু|আবার লিখ|পুনরাবৃত্তি|திரும்ப(?:ச்)? (?:சொல்|எழுத)|அப்படியே"
 )
-# Names of the languages, by which a prompt asks for one.
+# Names of the languages, by which a prompt asks for one: whole words in Latin letters, others anywhere.
 _NAMES = {
-    "en": r"english|angrezi|angreji|inglish|अंग्रेजी|अंग्रेज़ी|इंग्लिश|इंग्रजी|ইংরেজি|ஆங்கில",
-    "hi": r"hindi|devanagari|हिंदी|हिन्दी|देवनागरी|হিন্দি|இந்தி|हिंदीत",
-    "hinglish": r"hinglish|roman|romanised|romanized|latin (?:script|letters)|हिंग्लिश|रोमन|english letters|হিংলিশ",
-    "mr": r"marathi|मराठी|মারাঠি|மராத்தி",
-    "bn": r"bengali|bangla|bangali|बंगाली|बांग्ला|बंगला|বাংলা|வங்காள",
-    "ta": r"tamil|तमिल|तामिळ|तमिळ|তামিল|தமிழ்|தமிழில்",
+    "en": (r"english|angrezi|angreji|inglish", r"अंग्रेजी|अंग्रेज़ी|इंग्लिश|इंग्रजी|ইংরেজি|ஆங்கில"),
+    "hi": (r"hindi|devanagari", r"हिंदी|हिन्दी|देवनागरी|হিন্দি|இந்தி|हिंदीत"),
+    "hinglish": (r"hinglish|roman|romanised|romanized|latin (?:script|letters)|english letters", r"हिंग्लिश|रोमन|হিংলিশ"),
+    "mr": (r"marathi", r"मराठी|মারাঠি|மராத்தி"),
+    "bn": (r"bengali|bangla|bangali", r"बंगाली|बांग्ला|बंगला|বাংলা|வங்காள"),
+    "ta": (r"tamil", r"तमिल|तामिळ|तमिळ|তামিল|தமிழ்|தமிழில்"),
 }
-_ASKS_LANG = {k: re.compile(v) for k, v in _NAMES.items()}
+_ASKS_LANG = {k: re.compile(rf"(?<![a-z])(?:{latin})(?![a-z])|{other}") for k, (latin, other) in _NAMES.items()}
 _TRANSLATE = re.compile(r"translat|anuvaad|anuvad|अनुवाद|भाषांतर|অনুবাদ|மொழிபெயர்")
 
 _CLOSERS = "\"'”’»)]}*_`~"
@@ -307,8 +307,8 @@ def _plain(x: T.Codes, i: int) -> str:
     return " ".join(re.findall(r"[^\W_](?:[^\W_]|[ऀ-ःऺ-ॏ॑-ॗॢॣঁ-ঃা-্ৗஂா-்ௗ])*", x.text(i)))
 
 
-#: Characters of prompt and part up to which they are compared letter by letter, beyond it word by word.
-_LETTERS = 1 << 22
+#: Product of the lengths of prompt and part up to which they are compared letter by letter, beyond it word by word: the time of the first grows faster.
+_LETTERS = 1 << 18
 
 
 def _common(a: str, b: str) -> tuple[float, float]:

@@ -94,6 +94,11 @@ def test_end_likelihood_by_hand(spark):
     assert got == [(7, 0.1, False), (7, round(p, 9), False), (8, round(p, 9), True)]
 
 
+@pytest.mark.parametrize(("prompt", "asks"), [("write it in roman", True), ("romanised please", True), ("a romantic evening", False), ("englishman abroad", False), ("in english?", True), ("इसे हिंदी में लिखो", True)])
+def test_languages_asked_for(prompt, asks):
+    assert any(p.search(prompt) for p in P._ASKS_LANG.values()) == asks
+
+
 @pytest.mark.parametrize("times", [1, 2, 3, 4, 5, 6, 8, 13, 20])
 def test_copies_any_number_of_times(times):
     prompt = "what is the best season for travel in the hills"
