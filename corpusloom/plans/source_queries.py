@@ -173,7 +173,7 @@ def _(t):
     return t.documents.select("doc_id", U.tokenizer_counts("/opt/tokenizers/byte_bpe_50k.json")("text").alias("tokens"))
 
 
-@query("f31_corner_boxes", "SELECT p_partkey, least(1, p_size / 100.0) x1, 0.25 y1, least(1, (p_size + 60) / 100.0) x2, 1.0 y2 FROM part")
+@query("f31_corner_boxes", "SELECT p_partkey, least(1.0::double, p_size / 100) x1, 0.25::double y1, least(1.0::double, p_size / 100 + 0.6::double) x2, 1.0::double y2 FROM part")
 def _(t):
     x = c("p_size") / 100
     corners = F.array(x, F.lit(0.5), x + 0.6, F.lit(0.25), x + 0.2, F.lit(1.5), x + 0.1, F.lit(0.75))

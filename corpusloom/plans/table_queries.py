@@ -151,18 +151,18 @@ def _completions(t):
     return t.part.select("p_partkey", s.alias("s"))
 
 
-@query("a22_count_rewards", "SELECT p_partkey, CASE p_partkey % 5 WHEN 2 THEN 0.5 WHEN 3 THEN 0.5 WHEN 4 THEN 0.0 ELSE 1.0 END reward FROM part")
+@query("a22_count_rewards", "SELECT p_partkey, (CASE p_partkey % 5 WHEN 2 THEN 0.5 WHEN 3 THEN 0.5 WHEN 4 THEN 0.0 ELSE 1.0 END)::double reward FROM part")
 def _(t):
     return _completions(t).select("p_partkey", J.fields_reward("s", F.lit(2)).alias("reward"))
 
 
-@query("a22_format_rewards", "SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 0.2 WHEN 4 THEN 0.0 ELSE 1.0 END reward FROM part")
+@query("a22_format_rewards", "SELECT p_partkey, (CASE p_partkey % 5 WHEN 1 THEN 0.2 WHEN 4 THEN 0.0 ELSE 1.0 END)::double reward FROM part")
 def _(t):
     return _completions(t).select("p_partkey", J.format_reward("s", F.lit(False)).alias("reward"))
 
 
 # Six checks are declared: two properties, two required names, one minimum, one for further names.
-@query("a22_schema_rewards", """SELECT p_partkey, round(CASE WHEN f = 4 THEN 0 ELSE 0.75 * (CASE f WHEN 2 THEN 0.5 ELSE 1 END) * (1 - bad / 6.0) + (CASE WHEN bad = 0 THEN 0.25 ELSE 0 END) END, 9) reward
+@query("a22_schema_rewards", """SELECT p_partkey, round(CASE WHEN f = 4 THEN 0 ELSE 0.75 * (CASE f WHEN 2 THEN 0.5 ELSE 1 END) * (1 - bad / 6.0) + (CASE WHEN bad = 0 THEN 0.25 ELSE 0 END) END, 9)::double reward
  FROM (SELECT p_partkey, p_partkey % 5 f, (CASE WHEN p_size < 10 THEN 1 ELSE 0 END) + (CASE WHEN p_partkey % 5 IN (2, 3) THEN 1 ELSE 0 END) bad FROM part)""")
 def _(t):
     return _completions(t).select("p_partkey", F.round(J.schema_reward("s", F.lit(_book)), 9).alias("reward"))
@@ -530,8 +530,8 @@ def _(t):
     return t.nation.select("n_nationkey", F.explode(U.table_rows(s)).alias("cells")).select("n_nationkey", F.array_join("cells", ",").alias("cells"))
 
 
-@query("x08_suggestions", """SELECT p_partkey, unnest(['Draft reply email', 'Open URL', 'Open file', 'Create task', 'Create calendar event', 'Extract to spreadsheet']) AS action, unnest([0.85, 0.85, 0.8, 0.8, 0.75, 0.63]) confidence, unnest(range(0, 6))::int AS rank FROM part WHERE p_partkey % 2 = 0
- UNION ALL SELECT p_partkey, 'Extract to spreadsheet', 0.63, 0 FROM part WHERE p_partkey % 2 = 1""")
+@query("x08_suggestions", """SELECT p_partkey, unnest(['Draft reply email', 'Open URL', 'Open file', 'Create task', 'Create calendar event', 'Extract to spreadsheet']) AS action, unnest([0.85, 0.85, 0.8, 0.8, 0.75, 0.63]::double[]) confidence, unnest(range(0, 6))::int AS rank FROM part WHERE p_partkey % 2 = 0
+ UNION ALL SELECT p_partkey, 'Extract to spreadsheet', 0.63::double, 0 FROM part WHERE p_partkey % 2 = 1""")
 def _(t):
     s = F.when(c("p_partkey") % 2 == 0, F.concat(F.lit("a.b@c.de see https://x.y/z TODO /usr/"), F.regexp_replace("p_brand", "#", ""), F.lit(" at 12:30"))).otherwise(c("p_name"))
     return E.suggestions(t.part.select("p_partkey", s.alias("s")), "p_partkey", "s", elements=F.array(F.lit("p|q|r"))).withColumn("confidence", F.round("confidence", 6))
@@ -671,7 +671,7 @@ def _(t):
     return t.embeddings.select("vec_id", F.round(R.max_sim(F.array(v), F.array(v, F.reverse(v))), 5).alias("score"))
 
 
-@query("r10_keywords", "SELECT n_nationkey, 3.0 score, 0.555556 confidence FROM nation WHERE n_name = 'NATION_3'")
+@query("r10_keywords", "SELECT n_nationkey, 3.0::double score, 0.555556::double confidence FROM nation WHERE n_name = 'NATION_3'")
 def _(t):
     """A phrase counts twice; another nation that is named once lies behind."""
     k = F.array(F.lower("n_name"), F.concat(F.lit("from "), F.lower("n_name")))
@@ -813,10 +813,10 @@ def _(t):
     return M.audit_timeline(t.events, "user_id", "event_id", "event_type", "props")
 
 
-@query("x05_sections", r"SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN ['a ' || p_name, p_type || chr(10) || 'b'] ELSE [p_name || chr(10) || '2' || chr(10) || '3' || chr(10) || '4' || chr(10) || '5', '6'] END parts FROM part")
+@query("x05_sections", r"SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'a ' || p_name || ' / ' || p_type || chr(10) || 'b' ELSE p_name || chr(10) || '2' || chr(10) || '3' || chr(10) || '4' || chr(10) || '5 / 6' END parts FROM part")
 def _(t):
     even = F.concat(F.lit("\n\na "), c("p_name"), F.lit("\n \n\n"), c("p_type"), F.lit("\nb\n"))
-    return t.part.select("p_partkey", E.sections(F.when(c("p_partkey") % 2 == 0, even).otherwise(F.concat("p_name", F.lit("\n2\n3\n4\n5\n6")))).alias("parts"))
+    return t.part.select("p_partkey", F.array_join(E.sections(F.when(c("p_partkey") % 2 == 0, even).otherwise(F.concat("p_name", F.lit("\n2\n3\n4\n5\n6")))), " / ").alias("parts"))
 
 
 @query("s15_merged_pools", r"""WITH u AS (SELECT instruction, plang, 'p' || pool_id id FROM pool_todo UNION ALL SELECT instruction, plang, 't' || strftime(generated_at, '%Y%m%d%H%M%S') || key FROM teacher_gen),
