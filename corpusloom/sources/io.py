@@ -127,14 +127,17 @@ def write_files(df: DataFrame, folder: str) -> None:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, kind, text) of the files of a folder, each one document: plain text as it stands (bytes that aren't UTF-8 become U+FFFD), pages
-    without their marks (S16). Files of other kinds (pdf, docx: no reader is installed) are left out."""
+    """(path, kind, text) of the files of a folder, each one document: pages without their marks (S16), paragraphs of docx files, anything else as plain
+    text (bytes that aren't UTF-8 become U+FFFD). No reader of pdf is installed: those are left out."""
     from corpusloom.operators.extract import html_text
+    from corpusloom.sources.office import docx_text
 
-    df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
     ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    kind = F.when(ext.isin("htm", "html"), "html").when(ext.isin("txt", "md", "text"), "text")
-    return df.select("path", kind.alias("kind"), F.when(kind == "html", html_text(F.col("value"))).otherwise(F.col("value")).alias("text")).where("kind is not null")
+    plain = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value").where(~ext.isin("pdf", "docx"))
+    kind = F.when(ext.isin("htm", "html"), "html").otherwise("text")
+    plain = plain.select("path", kind.alias("kind"), F.when(kind == "html", html_text(F.col("value"))).otherwise(F.col("value")).alias("text"))
+    packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[dD][oO][cC][xX]").load(folder)
+    return plain.unionByName(packed.select("path", F.lit("docx").alias("kind"), docx_text("content").alias("text")))
 
 
 def name_matches(name: Column, pattern: str) -> Column:

@@ -111,12 +111,55 @@ def test_stream_windows(spark, tmp_path):
     assert rows(T.sessions(spark.read.parquet(str(src)), "ts", "k"), "n") == [(1,), (1,), (2,)]
 
 
+W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+M = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+
+
+def packed(files: dict[str, str]) -> bytes:
+    import io as bytes_io
+    import zipfile
+
+    out = bytes_io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in files.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+def workbook(second: str, strings: str = "") -> bytes:
+    return packed({
+        "xl/workbook.xml": f'<workbook {M}><sheets><sheet name="one" r:id="a"/><sheet name="two" r:id="b"/></sheets></workbook>', "xl/sharedStrings.xml": f"<sst {M}>{strings}</sst>", "xl/worksheets/s1.xml": f"<worksheet {M}><sheetData>{second}</sheetData></worksheet>",
+        "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="a" Target="worksheets/s1.xml"/><Relationship Id="b" Target="/xl/s2.xml"/></Relationships>', "xl/s2.xml": f'<worksheet {M}><sheetData><row r="1"><c r="A1" t="str"><v>z</v></c></row></sheetData></worksheet>',
+    })
+
+
+def test_workbooks(spark, tmp_path):
+    from corpusloom.sources.office import read_xlsx, sheet_rows
+
+    head = '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="inlineStr"><is><t>size</t></is></c></row>'
+    one = workbook(head + '<row r="2"><c r="A2" t="s"><v>1</v></c><c r="B2"><v>2.5</v></c><c r="C2" t="b"><v>1</v></c></row><row r="4"><c r="C4"><v>7</v></c></row>', "<si><t>name</t></si><si><r><t>हिं</t></r><r><t>दी</t></r></si>")
+    two = workbook('<row r="1"><c r="A1" t="str"><v>size</v></c><c r="B1" t="str"><v>other</v></c></row><row r="2"><c r="A2"><v>9</v></c></row>')
+    assert sheet_rows(one) == [["name", None, "size"], ["हिंदी", "2.5", "true"], [None] * 3, [None, None, "7"]] and sheet_rows(one, "two") == [["z"]] and sheet_rows(one, "lost") == sheet_rows(one)
+    (tmp_path / "w").mkdir()
+    write(tmp_path / "w" / "a.xlsx", one)
+    write(tmp_path / "w" / "b.xlsx", two)
+    df = read_xlsx(spark, str(tmp_path / "w"))
+    assert df.columns == ["name", "col_1", "size"]
+    assert rows(df) == sorted([("हिंदी", "2.5", "true"), (None, None, None), (None, None, "7"), (None, None, "9")], key=str)
+    write(tmp_path / "w" / "0.xlsx", workbook(""))
+    assert read_xlsx(spark, str(tmp_path / "w" / "0.xlsx")).count() == 0
+
+
 def test_documents_and_depth(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     write(tmp_path / "a" / "x.txt", b"line\n\xff two")
     write(tmp_path / "a" / "b" / "y.HTML", "<p>one</p><script>no</script> &lt;")
     write(tmp_path / "a" / "z.pdf", "%PDF")
-    assert rows(io.read_documents(spark, str(tmp_path / "a")), "kind", "text") == [("html", "one &lt;"), ("text", "line\n\ufffd two")]
+    write(tmp_path / "a" / "q.docx", packed({"word/document.xml": f'<w:document {W}><w:body><w:p><w:r><w:t>first</w:t><w:tab/><w:t>line</w:t></w:r></w:p><w:tbl><w:p><w:t>no</w:t></w:p></w:tbl><w:p/><w:p><w:r><w:t>दो</w:t></w:r></w:p></w:body></w:document>'}))
+    write(tmp_path / "a" / "bad.docx", "no zip")
+    assert rows(io.read_documents(spark, str(tmp_path / "a")), "kind", "text") == [("docx", "first\tline\n\nदो"), ("docx", None), ("html", "one &lt;"), ("text", "line\n\ufffd two")]
+    for n in ("q.docx", "bad.docx"):
+        (tmp_path / "a" / n).unlink()
     names = lambda d: sorted(os.path.basename(r.path) for r in io.list_files(spark, str(tmp_path / "a"), most_depth=d).collect())
     assert names(1) == ["x.txt", "z.pdf"] and names(2) == ["x.txt", "y.HTML", "z.pdf"] == names(None)
 
