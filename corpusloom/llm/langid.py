@@ -213,8 +213,9 @@ def fit(df: DataFrame, bound: int = SAMPLE_ROWS) -> tuple[bytes, ...]:
     return train(t["text"].combine_chunks() if t.num_rows else pa.array([], pa.string()), t["label"].to_pylist())
 
 
-def languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Every text's runs of sentences in one language: SEGMENT_SCHEMA, where seg is 0 for a text in one language.
+def languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionaries: tuple[bytes, ...] | None = None) -> DataFrame:
+    """Every text's runs of sentences in one language: SEGMENT_SCHEMA, where seg is 0 for a text in one language. The dictionaries are made of a sample
+    of the texts, or given (see ``fit``).
 
     ``df`` has tbl, ref_id, text and label (a code of the six or null); other columns are ignored. Null, blank and
     letterless texts and texts with fewer than four words that contain a letter give no row; repeated rows count
@@ -222,7 +223,7 @@ def languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     of which every sentence is rejected, or has another script, has a null language. Labels don't matter to a text's own result.
     """
     df = df.select("tbl", "ref_id", "text", "label")
-    dicts = shared(df.sparkSession, fit(df, sample_rows))
+    dicts = shared(df.sparkSession, dictionaries or fit(df, sample_rows))
     return df.mapInArrow(lambda it: segment_rows(it, dicts.value), SEGMENT_SCHEMA)
 
 

@@ -8,6 +8,7 @@ a trained model is one number for each feature, and scoring is a mean of looked-
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,6 +169,17 @@ class Model:
     def __init__(self, weight: np.ndarray, bias: float, words: np.ndarray | None = None):
         self.weight, self.bias, self.words = weight.astype(np.float32), bias, np.zeros(0, np.uint64) if words is None else words
 
+    def to_bytes(self) -> bytes:
+        """The model as bytes, to be kept where one training serves many runs."""
+        out = io.BytesIO()
+        np.savez_compressed(out, weight=self.weight, bias=self.bias, words=self.words)
+        return out.getvalue()
+
+    @staticmethod
+    def from_bytes(data: bytes) -> Model:
+        with np.load(io.BytesIO(data)) as m:
+            return Model(m["weight"], float(m["bias"]), m["words"])
+
     def scores(self, p: Passages) -> np.ndarray:
         """Probability that each passage is abusive."""
         w = p.words
@@ -345,13 +357,13 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     return train(t["text"].combine_chunks() if t.num_rows else pa.array([], pa.string()), t["toxic"].to_numpy().astype(bool) if t.num_rows else np.zeros(0, bool))
 
 
-def document_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, source, score): the score of each document's worst passage.
+def document_scores(documents: DataFrame, labels: DataFrame | None, model: Model | None = None) -> DataFrame:
+    """(doc_id, source, score): the score of each document's worst passage, by a model of the ratings in ``labels`` or by a given one (see ``fit``).
 
     Null, blank and wordless texts score 0. Repeated documents count each; without documents rated abusive all score 0;
     an empty table gives no row; other columns are ignored.
     """
-    model = shared(documents.sparkSession, fit(documents, labels))
+    held = shared(documents.sparkSession, model or fit(documents, labels))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(it, "text"):
@@ -359,7 +371,7 @@ def document_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
             score = np.zeros(b.num_rows)
             for across in (False, True):
                 p = Passages(w, across)
-                np.maximum.at(score, p.row, model.value.scores(p))
+                np.maximum.at(score, p.row, held.value.scores(p))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(score)], names=["doc_id", "source", "score"])
 
     return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, score double")

@@ -68,6 +68,12 @@ def test_held_out_accuracy():
     assert len(out) > 1000 and sum(r["label"] == r["lang"] for r in out) > 0.92 * len(out)
 
 
+def test_given_dictionaries(spark):
+    dicts = L.train(pa.array([*HI, *MR, *HG, *EN]), ["hi"] * len(HI) + ["mr"] * len(MR) + ["hinglish"] * len(HG) + ["en"] * len(EN))
+    df = spark.createDataFrame([("t", 1, HI[0], None), ("t", 2, EN[1], "hi")], "tbl string, ref_id long, text string, label string")
+    assert rows(L.languages(df, dictionaries=dicts), "ref_id", "lang") == [(1, "hi"), (2, "en")]
+
+
 def test_odd_tables(spark):
     schema = "tbl string, ref_id long, text string, label string"
     assert L.languages(spark.createDataFrame([], schema)).count() == 0

@@ -90,6 +90,8 @@ def test_queries(spark):
     got = {r[0] for r in rows(s.where(F.col("score") >= X.THRESHOLD), "doc_id")}
     want = {i for i, _, b in d if b}
     assert len(got ^ want) < 12 and not got & {9000, 9001, 9002}
+    kept = X.Model.from_bytes(X.fit(docs, labels).to_bytes())
+    assert rows(X.document_scores(docs, None, kept)) == rows(s)
     r = {x.source: x for x in X.source_rates(s).collect()}
     assert r["s"].documents + r[None].documents == 303
     assert X.document_scores(docs.limit(0), labels).count() == 0 and X.document_scores(docs.limit(3), labels.limit(0)).count() == 3
