@@ -172,7 +172,7 @@ def _(t):
     return t.part.select("p_partkey", X.metric_key(c("p_type")).alias("k"))
 
 
-@query("f35_search_terms")
+@query("f35_search_terms", f"SELECT row_id, array_to_string({S.terms("coalesce(instruction, '')")}, ' ') terms FROM train_smoke")
 def _(t):
     return t.train_smoke.select("row_id", F.array_join(X.search_terms(INS(), W.STOPWORDS), " ").alias("terms"))
 

@@ -139,3 +139,14 @@ def quality(t: str, w: str) -> str:
             (f"{f2(t)} < 0.70", "not_devanagari"), (f"{f2(t)} > 0.995 AND len({w}) < 60", "stub"), (f"{oth} > 0 AND {oth} > {own}", "marathi"), (f"{oth} >= 3 AND {oth} >= 2 * greatest(1, {own})", "marathi_heavy"), (f"{english} >= 6", "english"), (f"{unique(w)} < 0.88", "loopy"),
         ]
     )
+
+
+# The terms of a text: what the Spark expression does, in RE2.
+STOP = "(" + ", ".join(map(q, W.STOPWORDS)) + ")"
+
+
+def terms(t: str) -> str:
+    s = rf"regexp_replace(lower({t}), '\bwi[\W_]*fi\b', 'wifi', 'g')"
+    s = rf"regexp_replace(regexp_replace(regexp_replace({s}, '([0-9])(\p{{L}})', '\1 \2', 'g'), '(\p{{L}})([0-9])', '\1 \2', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')"
+    kept = rf"list_filter(string_split({s}, ' '), lambda x: x <> '' AND x NOT IN {STOP} AND (length(x) > 1 OR regexp_matches(x, '^[0-9]$')))"
+    return f"list_transform({kept}, lambda x: CASE WHEN length(x) >= 7 AND x LIKE '%ing' THEN x[:-4] WHEN length(x) >= 6 AND x LIKE '%ed' THEN x[:-3] WHEN length(x) >= 5 AND x LIKE '%s' AND x NOT LIKE '%ss' THEN x[:-2] ELSE x END)"

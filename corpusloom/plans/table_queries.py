@@ -628,20 +628,9 @@ def _(t):
     return t.embeddings.select("vec_id", F.round(R.norm(p), 5).alias("length"), F.round(p[0], 5).alias("x0"))
 
 
-# The terms of a text: what the Spark expression does, in RE2.
-_stop = "(" + ", ".join(map(S.q, W.STOPWORDS)) + ")"
-
-
-def _terms(t: str) -> str:
-    s = rf"regexp_replace(lower({t}), '\bwi[\W_]*fi\b', 'wifi', 'g')"
-    s = rf"regexp_replace(regexp_replace(regexp_replace({s}, '([0-9])(\p{{L}})', '\1 \2', 'g'), '(\p{{L}})([0-9])', '\1 \2', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')"
-    kept = rf"list_filter(string_split({s}, ' '), lambda x: x <> '' AND x NOT IN {_stop} AND (length(x) > 1 OR regexp_matches(x, '^[0-9]$')))"
-    return f"list_transform({kept}, lambda x: CASE WHEN length(x) >= 7 AND x LIKE '%ing' THEN x[:-4] WHEN length(x) >= 6 AND x LIKE '%ed' THEN x[:-3] WHEN length(x) >= 5 AND x LIKE '%s' AND x NOT LIKE '%ss' THEN x[:-2] ELSE x END)"
-
-
 def _bm25(fields: dict[str, int], query: str) -> str:
     text = " || ".join(f"list_transform(range(0, {n}), lambda i: coalesce({f}, ''))" for f, n in fields.items())
-    return f"""d AS (SELECT pool_id, {_terms(f"array_to_string({text}, ' ~ ')")} ts FROM pool_todo), q AS (SELECT unnest({_terms(S.q(query))}) q), st AS (SELECT count(*) n, avg(len(ts)) mean FROM d), df AS (SELECT q, (SELECT count(*) FROM d WHERE list_contains(ts, q)) df FROM (SELECT DISTINCT q FROM q)),
+    return f"""d AS (SELECT pool_id, {S.terms(f"array_to_string({text}, ' ~ ')")} ts FROM pool_todo), q AS (SELECT unnest({S.terms(S.q(query))}) q), st AS (SELECT count(*) n, avg(len(ts)) mean FROM d), df AS (SELECT q, (SELECT count(*) FROM d WHERE list_contains(ts, q)) df FROM (SELECT DISTINCT q FROM q)),
  bm AS (SELECT pool_id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * f * 2.5 / (f + 1.5 * (0.25 + 0.75 * len(ts) / greatest(mean, 1e-9)))) score FROM (SELECT d.pool_id, d.ts, df.df, st.n, st.mean, len(list_filter(d.ts, lambda x: x = q.q)) f FROM d, q JOIN df USING (q), st) WHERE f > 0 GROUP BY pool_id)"""
 
 
@@ -650,7 +639,7 @@ def _(t):
     return R.bm25(t.pool_todo, "pool_id", {"instruction": 3, "category": 1}, "tips for keeping the night bus clean", W.STOPWORDS).select("pool_id", F.round("score", 6).alias("score"))
 
 
-_phrase = "(SELECT pool_id, len(list_distinct(q)) nq, len(list_distinct(p)) np, len(list_intersect(q, p)) k FROM (SELECT pool_id, {} q, {} p FROM pool_todo))".format(_terms("'keeping the night bus clean'"), _terms("coalesce(instruction, '')"))
+_phrase = "(SELECT pool_id, len(list_distinct(q)) nq, len(list_distinct(p)) np, len(list_intersect(q, p)) k FROM (SELECT pool_id, {} q, {} p FROM pool_todo))".format(S.terms("'keeping the night bus clean'"), S.terms("coalesce(instruction, '')"))
 
 
 @query("r07_phrases", f"SELECT pool_id, round((CASE WHEN np > 0 THEN k / np ELSE 0 END + k / nq) / 2 + CASE WHEN np > 0 AND k = np THEN 0.05 ELSE 0 END, 6) score FROM {_phrase}")
@@ -685,7 +674,13 @@ def _(t):
     return R.top_k(t.embeddings, "vec_id", "embedding", q, 50, 0.2)
 
 
-@query("r12_faithfulness")
+def _pairs_of(t: str) -> str:
+    """Distinct pairs of neighbouring words of which not both are stop words."""
+    w = rf"list_filter(regexp_split_to_array(regexp_replace(lower({t}), '[^a-z0-9\s]', ' ', 'g'), '\s+'), lambda x: x <> '')"
+    return f"(SELECT list_distinct(list_transform(list_filter(range(1, len(w)), lambda i: NOT (w[i] IN {S.STOP} AND w[i + 1] IN {S.STOP})), lambda i: w[i] || ' ' || w[i + 1])) FROM (SELECT {w} w))"
+
+
+@query("r12_faithfulness", f"SELECT row_id, CASE WHEN instruction IS NULL THEN true WHEN len(a) = 0 OR len(b) = 0 THEN false ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) >= 0.1 END faithful FROM (SELECT row_id, instruction, {_pairs_of("coalesce(response, '')")} a, {_pairs_of('instruction')} b FROM train_smoke)")
 def _(t):
     return t.train_smoke.select("row_id", R.faithfulness(F.coalesce("response", F.lit("")), c("instruction"), W.STOPWORDS).alias("faithful"))
 
