@@ -59,11 +59,10 @@ class Spans:
 
     def __init__(self, x: T.Codes, start: np.ndarray, end: np.ndarray):
         self.words = w = T.words(x)
-        n = np.zeros(len(x.c) + 1, dtype=np.int64)
-        np.cumsum(T.take(T.tables()[1], x.c) == T.LETTER, out=n[1:])
-        self.has = n[w.end] > n[w.start]
+        self.at, self.inv = w.distinct
+        one = w.only(self.at)
+        self.has = one.some(one.codes.kind == T.LETTER)[self.inv]
         self.a, self.b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
-        _, self.at, self.inv = T.unique(w.hash)
 
     def sums(self, table: np.ndarray) -> np.ndarray:
         """Sum of the n-gram scores of each span's words."""

@@ -18,6 +18,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,25 +82,25 @@ _DANGLING = ",;:-–—(/&+"
 _UNK, _NUM = np.uint64(0x1234567), np.uint64(0x7654321)
 
 
-def _isin(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-    if not len(sorted_keys):
-        return np.zeros(len(h), dtype=bool)
-    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, h), len(sorted_keys) - 1)] == h
+def _contexts(last: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Contexts of the last word, of the last two, up to ``most``: each goes on from the one before."""
+    h = np.zeros(len(last), dtype=np.uint64)
+    for i in range(most):
+        h = T.mix(h * np.uint64(0x9FB21C651E98DF25) + last[:, last.shape[1] - 1 - i] + np.uint64(i))
+        yield h
 
 
 def _context(last: np.ndarray, k: int) -> np.ndarray:
-    h = np.zeros(len(last), dtype=np.uint64)
-    for i in range(k):
-        h = T.mix(h * np.uint64(0x9FB21C651E98DF25) + last[:, last.shape[1] - k + i] + np.uint64(i))
-    return h
+    return [*_contexts(last, k)][-1]
 
 
 def _skeletons(w: T.Words) -> np.ndarray:
     """Hash of each word without vowels, signs and doubled letters, so that spellings of one word agree; of the word itself if nothing is left."""
     x = w.codes
-    k = T.take(T.tables()[1], x.c)
-    keep = (k == T.LETTER) & ~T.among(x.c, _VOWELS)
-    keep[1:] &= x.c[1:] != x.c[:-1]
+    keep = (x.kind == T.LETTER) & ~T.among(x.c, _VOWELS)
+    double = np.append(False, x.c[1:] == x.c[:-1])[: len(x.c)]
+    double[w.start] = False
+    keep &= ~double
     n = np.zeros(len(x.c) + 1, dtype=np.int64)
     np.cumsum(keep, out=n[1:])
     h = T.span_hash(x.c[keep], n[w.start], n[w.end])
@@ -107,11 +108,10 @@ def _skeletons(w: T.Words) -> np.ndarray:
 
 
 def _numbered(w: T.Words) -> np.ndarray:
-    """Classes of words: their skeletons, but one class for all with a digit."""
-    k = T.take(T.tables()[1], w.codes.c)
-    n = np.zeros(len(k) + 1, dtype=np.int64)
-    np.cumsum(k == T.DIGIT, out=n[1:])
-    return np.where(n[w.end] > n[w.start], _NUM, _skeletons(w))
+    """Classes of words: their skeletons, but one class for all with a digit. Told once for each distinct word, and of nothing but its own letters."""
+    at, inv = w.distinct
+    one = w.only(at)
+    return np.where(one.some(one.codes.kind == T.DIGIT), _NUM, _skeletons(one))[inv]
 
 
 class Ended:
@@ -168,7 +168,8 @@ def bitmap(keys: DataFrame) -> Bitmap:
 
 def _tally(key: np.ndarray, ended: np.ndarray | None = None, times: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(key, times ended, times seen) of each key."""
-    key, inv = np.unique(key, return_inverse=True)
+    at, inv = T.distinct(key)
+    key = key[at]
     seen = np.bincount(inv, times, len(key)).astype(np.int64)
     return key, np.zeros(len(key), np.int64) if ended is None else np.bincount(inv, ended, len(key)).astype(np.int64), seen
 
@@ -194,8 +195,7 @@ def context_counts(x: T.Codes, known: Bitmap, asked: Bitmap) -> list[tuple[np.nd
     last = _last(_classes(_numbered(w), known), at, s.first)
     is_end = s.is_end[at]
     out = []
-    for k in range(1, ORDER + 1):
-        key = _context(last, k)
+    for key in _contexts(last, ORDER):
         ok = asked(key)
         out.append(_tally(key[ok], is_end[ok]))
     key = _word_key(w.hash[at])
@@ -266,12 +266,11 @@ def likelihoods(candidates: DataFrame, counts: DataFrame) -> DataFrame:
 
 def _last(cls: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Classes of the ORDER words that end with word ``at``, none before word ``first``: 0."""
-    out = np.zeros((len(at), ORDER), dtype=np.uint64)
+    out = np.zeros((ORDER, len(at)), dtype=np.uint64)
     for i in range(ORDER):
         j = at - (ORDER - 1 - i)
-        ok = j >= first
-        out[ok, i] = cls[j[ok]]
-    return out
+        np.multiply(cls.take(j, mode="clip"), j >= first, out=out[i])
+    return out.T
 
 
 class Side:
@@ -287,10 +286,11 @@ class Side:
         own = np.array([nb.SCRIPT_OF[c] for c in LANGS])
         # A sentence's script is that of most of its words, told by their first letters.
         script = T.take(T.tables()[2], x.c[sp.words.start])
-        per = np.zeros((len(script) + 1, 6), dtype=np.int64)
-        for s in range(1, 6):
-            np.cumsum(script == s, out=per[1:, s])
-        main = (per[sp.b] - per[sp.a])[:, 1:].argmax(axis=1) + 1 if len(n) else np.zeros(0, np.int64)
+        size = sp.b - sp.a
+        of = np.repeat(np.arange(len(size)), size)
+        at = np.repeat(sp.a - np.cumsum(size) + size, size) + np.arange(len(of))
+        per = np.bincount(of * 6 + script[at], minlength=len(size) * 6).reshape(-1, 6)
+        main = per[:, 1:].argmax(axis=1) + 1
         sums = np.where(own[None, :] == main[:, None], sums, -1e9)
         order = np.sort(sums, axis=1)
         self.gap = order[:, -1] - order[:, -2] if len(n) else np.zeros(0)
@@ -298,7 +298,7 @@ class Side:
         self.lang = np.where(sure, sums.argmax(axis=1), -1) if len(n) else np.zeros(0, np.int64)
         rows = len(x)
         self.has = np.zeros((rows, len(LANGS)), dtype=np.int64)
-        np.add.at(self.has, (self.row[sure], self.lang[sure]), n[sure])
+        np.add.at(self.has.reshape(-1), self.row[sure] * len(LANGS) + self.lang[sure], n[sure])
         self.open = np.bincount(self.row[~sure], n[~sure], rows) if len(n) else np.zeros(rows)
 
 
@@ -357,7 +357,7 @@ def find(b: pa.RecordBatch, language: np.ndarray, declines: np.ndarray, known: B
     qh = q.words.hash + T.mix(q.words.row.astype(np.uint64) + np.uint64(1))
     rh = w.hash + T.mix(w.row.astype(np.uint64) + np.uint64(1))
     shares = np.zeros(n)
-    np.divide(np.bincount(w.row, _isin(np.unique(qh), rh), n), count, out=shares, where=count > 0)
+    np.divide(np.bincount(w.row, pc.is_in(pa.array(rh), value_set=pa.array(qh)).to_numpy(zero_copy_only=False), n), count, out=shares, where=count > 0)
     qn = np.diff(q.words.first)
     for i in np.flatnonzero((out == None) & (shares >= 0.5) & (count >= 2)):  # noqa: E711
         prompt, whole = _plain(q.codes, i), q.codes.text(i)
@@ -391,16 +391,34 @@ def _lines(text: str) -> list[str]:
     return [p for p in (_plain(x, i) for i in range(len(parts))) if p]
 
 
+def _final(raw: T.Codes, rows: np.ndarray) -> np.ndarray:
+    """Place of the last code point of each of ``rows`` that isn't white space, a sign other than a stop mark, a closing mark or invisible; -1: none.
+    The ends of texts are looked at first, more of those in which none is found."""
+    out = np.full(len(rows), -1, dtype=np.int64)
+    left, reach = np.flatnonzero(rows), 16
+    while len(left):
+        start = np.maximum(raw.start[left], raw.end[left] - reach)
+        size = raw.end[left] - start
+        stop = np.cumsum(size)
+        at = np.repeat(start - stop + size, size) + np.arange(size.sum())
+        c = raw.c[at]
+        kind = T.take(T.tables()[1], c)
+        skip = (kind == T.SPACE) | ((kind == T.SYMBOL) & ~T.among(c, T.STOPS)) | T.among(c, _CLOSERS) | (T.take(T.tables()[0], c) == 0)
+        solid = np.flatnonzero(~skip)
+        i = np.searchsorted(solid, stop) - 1
+        j = solid[np.maximum(i, 0)] if len(solid) else np.zeros(len(left), np.int64)
+        found = (i >= 0) & (j >= stop - size)
+        out[left[found]] = at[j[found]]
+        left, reach = left[~found & (start > raw.start[left])], reach * 16
+    return out
+
+
 def unfinished(raw: T.Codes, x: T.Codes, w: T.Words, cls: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of ``rows``, those that end on a sign after which text goes on; those that no stop mark ends; and of each of these the keys
     that the end-of-text model is asked for: contexts of 1 to ORDER words, the last word, its letters as a beginning, and what they stand after."""
-    kind = T.take(T.tables()[1], raw.c)
-    skip = (kind == T.SPACE) | ((kind == T.SYMBOL) & ~T.among(raw.c, T.STOPS)) | T.among(raw.c, _CLOSERS) | (T.take(T.tables()[0], raw.c) == 0)
-    solid = np.flatnonzero(~skip)
-    at = np.searchsorted(solid, raw.end) - 1
-    some = (at >= 0) & rows
-    pos = np.where(some, solid[np.maximum(at, 0)] if len(solid) else 0, 0)
-    some &= pos >= raw.start
+    pos = _final(raw, rows)
+    some = pos >= 0
+    pos = np.maximum(pos, 0)
     last = raw.c[pos] if len(raw.c) else np.zeros(len(rows), np.uint32)
     stop = T.among(last, T.STOPS)
     before = raw.c[np.maximum(pos - 1, 0)] if len(raw.c) else last
@@ -411,22 +429,24 @@ def unfinished(raw: T.Codes, x: T.Codes, w: T.Words, cls: np.ndarray, rows: np.n
     if not len(who):
         return who, who, np.zeros((0, ORDER + 3), np.uint64)
     final = w.first[who + 1] - 1
-    depth = np.array([_remark(raw, i) for i in who])
+    tail = raw.c[raw.end[who] - 1]
+    depth = np.zeros(len(who), dtype=np.int64)
+    for n in np.flatnonzero((tail == ord(")")) | (T.take(T.tables()[1], tail) == T.SPACE)):
+        depth[n] = _remark(raw, who[n])
     final = np.maximum(final - depth, w.first[who])
     last5 = _last(cls, final, w.first[who])
     # The context may not reach across a sentence end: words before one are left out.
-    stops = np.zeros(len(x.c) + 1, dtype=np.int64)
-    np.cumsum(T.among(x.c, T.STOPS) | (x.c == 10), out=stops[1:])
+    stops = np.flatnonzero(T.among(x.c, T.STOPS) | (x.c == 10))
     for k in range(ORDER - 1, 0, -1):
         j = final - k
         ok = j >= w.first[who]
         gap_has_stop = np.zeros(len(who), dtype=bool)
         jj = np.maximum(j, 0)
         seg_a, seg_b = w.end[jj], w.start[np.minimum(jj + 1, len(w) - 1)]
-        gap_has_stop[ok] = stops[seg_b[ok]] > stops[seg_a[ok]]
+        gap_has_stop[ok] = np.searchsorted(stops, seg_b[ok]) > np.searchsorted(stops, seg_a[ok])
         last5[gap_has_stop, : ORDER - k] = 0
     two = _two(last5)
-    keys = [_context(last5, k) for k in range(1, ORDER + 1)]
+    keys = [*_contexts(last5, ORDER)]
     keys += [_word_key(w.hash[final]), T.mix(two + T.span_hash(x.c, w.start[final], w.end[final])), _after_key(two)]
     # Answers that loop are no cases: the last words were said before.
     h4 = T.ngram_hash(cls, 4)
@@ -434,7 +454,7 @@ def unfinished(raw: T.Codes, x: T.Codes, w: T.Words, cls: np.ndarray, rows: np.n
     for n, (i, f) in enumerate(zip(who.tolist(), final.tolist(), strict=True)):
         if f - w.first[i] >= 5:
             own = h4[w.first[i] : f - 2]
-            loop[n] = (own == own[-1]).sum() >= 3 or len(np.unique(own)) < 0.6 * len(own)
+            loop[n] = (own == own[-1]).sum() >= 3 or len(set(own.tolist())) < 0.6 * len(own)
     dangling = T.among(last[who], _DANGLING)
     ask = ~loop & ~dangling
     return who[dangling & ~loop], who[ask], np.stack(keys, axis=1)[ask]

@@ -71,14 +71,24 @@ class Parts:
         self.a, self.b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
         self.count = self.b - self.a
         self.hash, self.skeleton = w.hash, skeletons(w)
+        self.at, self.inv = w.distinct
 
     def buckets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets of words, of skeletons, and of the pair that each word ends."""
+        w, s = self.distinct()
+        return w[self.inv], s[self.inv], self.pairs()
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the distinct words and of their skeletons."""
         shift = np.uint64(64 - BITS)
-        h, s = self.hash, self.skeleton
+        return (T.mix(self.hash[self.at] + np.uint64(1)) >> shift).astype(np.int64), (T.mix(self.skeleton[self.at] + np.uint64(2)) >> shift).astype(np.int64)
+
+    def pairs(self) -> np.ndarray:
+        """Bucket of the pair that each word ends."""
+        s = self.skeleton
         pair = np.zeros(len(s), dtype=np.int64)
-        pair[1:] = (T.mix(s[:-1] * np.uint64(0x9FB21C651E98DF25) + s[1:]) >> shift).astype(np.int64)
-        return (T.mix(h + np.uint64(1)) >> shift).astype(np.int64), (T.mix(s + np.uint64(2)) >> shift).astype(np.int64), pair
+        pair[1:] = (T.mix(s[:-1] * np.uint64(0x9FB21C651E98DF25) + s[1:]) >> np.uint64(64 - BITS)).astype(np.int64)
+        return pair
 
     def sums(self, per_word: np.ndarray) -> np.ndarray:
         """Sum of ``per_word`` over each sentence's words."""
@@ -87,16 +97,16 @@ class Parts:
 
     def scores(self, weight: np.ndarray) -> np.ndarray:
         """Mean odds of each sentence's words, skeletons and pairs; a word of each class is worth BONUS more."""
-        w, s, p = self.buckets()
-        once = np.ones(len(w), dtype=bool)  # a word said again at once counts once: answers that loop decline nothing
+        w, s = self.distinct()
+        once = np.ones(len(self.hash), dtype=bool)  # a word said again at once counts once: answers that loop decline nothing
         once[1:] = self.hash[1:] != self.hash[:-1]
-        inner = np.append(0, np.cumsum(weight[p] * once))  # the pair of a sentence's first word reaches before it
-        total = self.sums((weight[w] + weight[s]) * once) + np.where(self.count > 0, inner[self.b] - inner[np.minimum(self.a + 1, self.b)], 0)
-        return total / np.maximum(1, 3 * self.sums(once) - 1) + BONUS * self.seeded(w)
+        inner = np.append(0, np.cumsum(weight[self.pairs()] * once))  # the pair of a sentence's first word reaches before it
+        total = self.sums((weight[w] + weight[s])[self.inv] * once) + np.where(self.count > 0, inner[self.b] - inner[np.minimum(self.a + 1, self.b)], 0)
+        return total / np.maximum(1, 3 * self.sums(once) - 1) + BONUS * self.seeded()
 
-    def seeded(self, buckets: np.ndarray) -> np.ndarray:
+    def seeded(self) -> np.ndarray:
         """Sentences that have a word of each class."""
-        of = _classes()[buckets]
+        of = _classes()[self.distinct()[0]][self.inv]
         return (self.sums(of & 1) > 0) & (self.sums(of & 2) > 0) & (self.sums(of & 4) > 0)
 
 
@@ -140,7 +150,7 @@ def train(texts: pa.Array, skeletons: Callable[[T.Words], np.ndarray]) -> np.nda
     seen = np.unique(np.concatenate([sentence, sentence, sentence[inner]]).astype(np.int64) * size + np.concatenate([w_, s_, pair[inner]]))
     of, feature = seen // size, seen % size
     every = Parts(w, skeletons, *T.sentence_spans(x))
-    most = np.where(every.seeded(every.buckets()[0]) & (every.count >= LEAST_WORDS), every.count, 0)
+    most = np.where(every.seeded() & (every.count >= LEAST_WORDS), every.count, 0)
     declines = np.bincount(every.row, most, p.rows) > START_SHARE * np.bincount(every.row, every.count, p.rows)
     for i in range(ROUNDS):
         declines = np.where(given >= 0, given < len(DECLINING), declines)

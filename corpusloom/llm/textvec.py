@@ -86,10 +86,18 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Codes:
     """Code points of the rows of a column slice: ``c`` all of them, rows ``start[i]:end[i]``."""
 
-    __slots__ = ("c", "start", "end")
+    __slots__ = ("c", "start", "end", "_kind")
 
     def __init__(self, c: np.ndarray, start: np.ndarray, end: np.ndarray):
         self.c, self.start, self.end = c, start, end
+        self._kind: np.ndarray | None = None
+
+    @property
+    def kind(self) -> np.ndarray:
+        """Class of each code point."""
+        if self._kind is None:
+            self._kind = take(tables()[1], self.c)
+        return self._kind
 
     def __len__(self) -> int:
         return len(self.start)
@@ -100,9 +108,8 @@ class Codes:
 
     def keep(self, mask: np.ndarray, c: np.ndarray | None = None) -> Codes:
         """Only the code points under ``mask``."""
-        n = np.zeros(len(self.c) + 1, dtype=np.int64)
-        np.cumsum(mask, out=n[1:])
-        return Codes((self.c if c is None else c)[mask], n[self.start], n[self.end])
+        gone = np.flatnonzero(~mask)
+        return Codes((self.c if c is None else c)[mask], self.start - np.searchsorted(gone, self.start), self.end - np.searchsorted(gone, self.end))
 
     def text(self, i: int) -> str:
         return self.c[self.start[i] : self.end[i]].astype("<u4").tobytes().decode("utf-32-le", "replace")
@@ -134,18 +141,15 @@ def codes(col: pa.Array) -> Codes:
     if len(c) == len(b):
         o = off - off[0]
     else:
-        lead = np.zeros(len(b) + 1, dtype=np.int64)
-        np.cumsum((b & 0xC0) != 0x80, out=lead[1:])
-        o = lead[off - off[0]]
+        o = np.append(0, np.cumsum(pc.utf8_length(col).to_numpy()))
     return Codes(c, o[:-1], o[1:])
 
 
 def take(table: np.ndarray, c: np.ndarray) -> np.ndarray:
     """``table`` by code point; code points beyond the table have the entry of U+4E00 (a letter) or themselves."""
-    big = c >= _TOP
-    if big.any():
-        c = np.where(big, 0x4E00, c)
-    return table[c]
+    if len(c) and c.max() >= _TOP:
+        c = np.where(c >= _TOP, 0x4E00, c)
+    return table.take(c, mode="clip")  # none is out of range: the quicker way
 
 
 @lru_cache(16)
@@ -166,7 +170,7 @@ def folded(x: Codes) -> Codes:
     return Codes(c, x.start, x.end) if c.all() else x.keep(c != 0, c)
 
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 _B = 0x9E3779B97F4A7C15 | 1
 _BINV = pow(_B, -1, 1 << 64)
 
@@ -174,9 +178,9 @@ _BINV = pow(_B, -1, 1 << 64)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         n = max(n, 1 << 21)
-        for k, b in enumerate((_B, _BINV)):
+        for k, (first, b) in enumerate(((0xBF58476D1CE4E5B9, _B), (1, _BINV))):
             p = np.full(n, b, dtype=np.uint64)
-            p[0] = 1
+            p[0] = first
             np.multiply.accumulate(p, out=p)
             _POWERS[k] = p
     return _POWERS[0], _POWERS[1]
@@ -194,7 +198,10 @@ def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(c)
     p, inv = _powers(n + 1)
     s = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((c.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9) * p[:n], out=s[1:])
+    v = c.astype(np.uint64)
+    v += np.uint64(1)
+    v *= p[:n]
+    np.cumsum(v, out=s[1:])
     return mix((s[end] - s[start]) * inv[start] + (end - start).astype(np.uint64))
 
 
@@ -208,7 +215,7 @@ def str_hash(words: list[str]) -> np.ndarray:
 class Words:
     """Words of a slice: spans of ``codes.c``, the row of each, its hash; words of row i are ``first[i]:first[i+1]``."""
 
-    __slots__ = ("codes", "start", "end", "row", "first", "_hash")
+    __slots__ = ("codes", "start", "end", "row", "first", "_hash", "_distinct")
 
     def __init__(self, x: Codes, start: np.ndarray, end: np.ndarray):
         self.codes, self.start, self.end = x, start, end
@@ -217,6 +224,25 @@ class Words:
             self.first[-1] = len(start)
         self.row = np.repeat(np.arange(len(x)), np.diff(self.first))
         self._hash: np.ndarray | None = None
+        self._distinct: tuple[np.ndarray, np.ndarray] | None = None
+
+    @property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The place of one occurrence of each distinct word, and each word's index among them."""
+        if self._distinct is None:
+            self._distinct = distinct(self.hash)
+        return self._distinct
+
+    def only(self, at: np.ndarray) -> Words:
+        """The words at ``at``, each as a row of its own."""
+        n = self.end[at] - self.start[at]
+        end = np.cumsum(n)
+        x = Codes(self.codes.c[np.repeat(self.start[at] - end + n, n) + np.arange(n.sum())], end - n, end)
+        return Words(x, x.start, x.end)
+
+    def some(self, mask: np.ndarray) -> np.ndarray:
+        """Whether a code point of each word is under ``mask``."""
+        return np.logical_or.reduceat(np.append(mask, False), np.stack([self.start, self.end], axis=1).reshape(-1))[::2] if len(self) else np.zeros(0, dtype=bool)
 
     @property
     def hash(self) -> np.ndarray:
@@ -247,8 +273,8 @@ def spans(inside: np.ndarray, x: Codes) -> tuple[np.ndarray, np.ndarray]:
 
 def words(x: Codes) -> Words:
     """Maximal runs of letters, marks and digits of folded codes."""
-    k = take(tables()[1], x.c)
-    return Words(x, *spans((k == LETTER) | (k == MARK) | (k == DIGIT), x))
+    k = x.kind
+    return Words(x, *spans((k >= LETTER) & (k <= DIGIT), x))
 
 
 def ngram_hash(h: np.ndarray, n: int) -> np.ndarray:
@@ -267,6 +293,15 @@ def unique(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(h, return_index=True, return_inverse=True)
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``unique``, by a hash table, in any order: the place of one occurrence of each distinct hash, and each hash's index among them."""
+    d = pa.array(h).dictionary_encode()
+    inv = d.indices.to_numpy().astype(np.int64)
+    at = np.zeros(len(d.dictionary), dtype=np.int64)
+    at[inv] = np.arange(len(h))
+    return at, inv
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str | list[str], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each part holds about ``most`` bytes of the text columns; a longer text is a part of its own."""
     names = [column] if isinstance(column, str) else column
@@ -295,36 +330,22 @@ def sentence_spans(x: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    k = take(tables()[1], x.c)
-    stop = among(x.c, STOPS)
-    space = k == SPACE
-    nxt_space = np.ones(n, dtype=bool)
-    nxt_space[:-1] = space[1:]
-    has = x.end > x.start
-    nxt_space[x.end[has] - 1] = True
+    k = x.kind
+    stop = np.flatnonzero(among(x.c, STOPS))
+    mine = np.searchsorted(x.start, stop, side="right") - 1
+    brk = stop[(stop + 1 == x.end[mine]) | (k[np.minimum(stop + 1, n - 1)] == SPACE)]
     # A stop after a lone number is a list mark, not a sentence end: "1. ".
-    brk = stop & nxt_space
-    prev_digit = np.zeros(n, dtype=bool)
-    prev_digit[1:] = k[:-1] == DIGIT
-    if (brk & prev_digit).any():
-        begins = np.zeros(n, dtype=bool)
-        begins[x.start[has]] = True
-        begins[1:] |= x.c[:-1] == 10
+    at = brk[(brk > 0) & (x.c[brk] == ord("."))]
+    at = at[k[at - 1] == DIGIT]
+    if len(at):
         not_digit = np.flatnonzero(k != DIGIT)
-        at = np.flatnonzero(brk & prev_digit & (x.c == ord(".")))
         before = np.searchsorted(not_digit, at) - 1
         run = np.where(before >= 0, not_digit[before] + 1, 0)  # where the digits before the stop begin
-        brk[at[begins[run]]] = False
-    brk |= (x.c == 10) | (x.c == 13)
-    cut = np.zeros(n + 1, dtype=bool)
-    cut[x.start] = True
-    cut[1:] |= brk
-    cut[n] = True
-    edge = np.flatnonzero(cut)
+        row = np.searchsorted(x.start, run, side="right") - 1
+        brk = np.setdiff1d(brk, at[(run == x.start[row]) | (x.c[np.maximum(run - 1, 0)] == 10)], assume_unique=True)
+    edge = np.unique(np.concatenate([x.start, brk + 1, np.flatnonzero((x.c == 10) | (x.c == 13)) + 1, [n]]))
     start, end = (edge[:-1], edge[1:]) if edge[0] == 0 else (np.append(0, edge[:-1]), edge)
-    word = np.zeros(n + 1, dtype=np.int64)
-    np.cumsum((k == LETTER) | (k == DIGIT), out=word[1:])
-    ok = word[end] > word[start]
+    ok = np.logical_or.reduceat((k == LETTER) | (k == DIGIT), start)
     start, end = start[ok], end[ok]
     row = np.searchsorted(x.start, start, side="right") - 1
     return start, end, row

@@ -123,3 +123,25 @@ def test_long_copies_and_refusals(spark):
     filler = [(100 + i, "What is this thing and how does it work?", EN[i % 6] + " " + EN[i // 6], "en") for i in range(36)]
     df = spark.createDataFrame(planted + filler, "row_id long, instruction string, response string, lang string")
     assert rows(P.defects(df)) == [(1, "copied"), (3, "refusal"), (4, "refusal")]
+
+
+def test_words_are_classed_once(monkeypatch):
+    """However often words are said, each distinct one is classed once, and the row before changes no class."""
+    sizes, real = [], P._skeletons
+    monkeypatch.setattr(P, "_skeletons", lambda w: sizes.append(len(w)) or real(w))
+    classes = lambda rows: P._numbered(P.T.words(P.T.folded(P.T.codes(P.pa.array(rows)))))
+    got = classes(["the lamp 7 is cheap"] * 500 + ["pan"])
+    assert sizes == [6]
+    assert got[:5].tolist() == classes(["the lamp 7 is cheap"]).tolist() == [*classes(["the lamp"]), P._NUM, *classes(["is", "cheap"])]
+    assert got[-1] == classes(["pan"])[0]
+
+
+def test_ends_of_texts_behind_long_tails(spark):
+    """The last letter, digit or stop mark is found behind any number of blanks, quotes and pictures, and never in the row before."""
+    body = ["Done.", "open", "", "\u200b", "a", "…", "b)"]
+    texts = [t + tail * n for t in body for tail in (" ", '"', "🙂", "\u200b \n") for n in (0, 1, 15, 16, 17, 300, 5000)]
+    raw = P.T.codes(P.pa.array(texts))
+    solid = lambda c: c.isalnum() or c in P.T.STOPS
+    want = [max((raw.start[i] + j for j, c in enumerate(t) if solid(c)), default=-1) for i, t in enumerate(texts)]
+    assert P._final(raw, P.np.ones(len(texts), dtype=bool)).tolist() == want
+    assert (P._final(raw, P.np.zeros(len(texts), dtype=bool)) == -1).all()

@@ -67,3 +67,17 @@ def test_hashes_do_not_depend_on_place():
     a = T.str_hash(words)
     b = T.str_hash(words[::-1])[::-1]
     assert (a == b).all() and len(set(a.tolist())) == len(set(words))
+
+
+def test_distinct_words():
+    """Each word's own place among the distinct ones, their letters, and flags of theirs, also where text goes on behind the last word."""
+    w = T.words(T.folded(T.codes(pa.array(["a bb a1", None, "bb bb ...", "", "1a x2 !!2"]))))
+    at, inv = w.distinct
+    assert sorted(w.text(i) for i in at) == ["1a", "2", "a", "a1", "bb", "x2"]
+    assert [w.text(i) for i in at[inv]] == [w.text(i) for i in range(len(w))]
+    one = w.only(at)
+    assert [one.text(i) for i in range(len(at))] == [w.text(i) for i in at] and (one.hash == w.hash[at]).all() and one.row.tolist() == list(range(len(at)))
+    for x in (w, one, T.words(T.codes(pa.array(["a 1"]))), T.words(T.codes(pa.array(["a .1. b 2x 9"])))):
+        assert x.some(x.codes.kind == T.DIGIT).tolist() == [any(c.isdigit() for c in x.text(i)) for i in range(len(x))]
+    none = T.words(T.codes(pa.array(["", None, "..."])))
+    assert not len(none.distinct[0]) and not len(none.some(none.codes.kind == T.DIGIT))
