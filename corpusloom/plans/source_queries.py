@@ -137,10 +137,12 @@ def _(t):
 
 @query("s17_documents", "SELECT 'text' AS kind, p_name || chr(10) || p_brand AS text FROM part WHERE p_size < 25 UNION ALL SELECT 'html', p_type || ' ' || p_name FROM part WHERE p_size >= 25")
 def _(t):
-    """Files of text and of pages, told by their names, each one document."""
+    """Files of text and of pages, told by their names, each one document. A folder has a thousand of them and one task that writes it."""
     out = scratch(t.spark, "s17")
-    io.write_files(t.part.where("p_size < 25").select(F.concat(c("p_partkey").cast("string"), F.lit(".txt")).alias("name"), F.concat_ws("\n", "p_name", "p_brand").alias("text")), out)
-    io.write_files(t.part.where("p_size >= 25").select(F.concat(c("p_partkey").cast("string"), F.lit(".html")).alias("name"), F.concat(F.lit("<p>"), "p_type", F.lit("</p><b>"), "p_name", F.lit("</b>")).alias("text")), out)
+    page, folder = c("p_size") >= 25, F.floor(c("p_partkey") / 1000).cast("string")
+    name = F.concat(folder, F.lit("/"), c("p_partkey").cast("string"), F.when(page, ".html").otherwise(".txt"))
+    text = F.when(page, F.concat(F.lit("<p>"), "p_type", F.lit("</p><b>"), "p_name", F.lit("</b>"))).otherwise(F.concat_ws("\n", "p_name", "p_brand"))
+    io.write_files(t.part.where("p_size IS NOT NULL").repartition(t.spark.sparkContext.defaultParallelism, folder).select(name.alias("name"), text.alias("text")), out)
     return io.read_documents(t.spark, out).select("kind", "text")
 
 

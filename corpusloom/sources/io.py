@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import bz2
+import gzip
 import os
 import re
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,18 +131,88 @@ def write_files(df: DataFrame, folder: str) -> None:
     df.select("name", "text").foreachPartition(put)
 
 
+def _mounted(spark: SparkSession, folder: str) -> str | None:
+    """The path of a folder in a file system that is mounted, where tasks can look themselves; none if it lies elsewhere (hdfs, s3a) or is a pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" and os.path.isdir(uri.getPath()) else None
+
+
+def _walk(folder: str) -> Iterator[bytes]:
+    """Paths of the files under a folder but those Spark's readers hide (names that begin with a dot, or an underscore if no = follows), as bytes, since a
+    name need not be UTF-8."""
+    folders = [os.fsencode(folder)]
+    while folders:
+        with os.scandir(folders.pop()) as entries:
+            for e in entries:
+                if e.name.startswith(b".") or e.name.startswith(b"_") and b"=" not in e.name or e.name.endswith(b"._COPYING_"):
+                    continue
+                if e.is_dir():
+                    folders.append(e.path)
+                elif e.is_file():
+                    yield e.path
+
+
+#: What Spark's readers unpack by a file's name; those without a function can't be unpacked here.
+_PACKED = {b".gz": gzip.decompress, b".bz2": bz2.decompress, b".deflate": zlib.decompress, b".lz4": None, b".snappy": None, b".zst": None}
+
+
+def _content(file: bytes) -> bytes:
+    with open(file, "rb") as f:
+        data = f.read()
+    if (end := os.path.splitext(file)[1]) not in _PACKED:
+        return data
+    if not (unpacked := _PACKED[end]):
+        raise ValueError(f"can't unpack {os.fsdecode(file)}")
+    return unpacked(data)
+
+
+def _texts(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """(path, text) of files whose paths are given; what is held at once ends with the file that reaches so many bytes."""
+    from corpusloom.sources.office import text_or_none
+
+    paths, texts, held = [], [], 0
+    for file in (f for b in batches for f in b.column(0).to_pylist()):
+        data = _content(file)
+        paths.append("file:" + file.decode("utf-8", "replace"))
+        texts.append(text_or_none(data) if file.lower().endswith(b".docx") else data.decode("utf-8", "replace"))
+        held += len(data)
+        if held >= most_bytes or len(paths) == 10_000:
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "text": pa.array(texts, pa.string())})
+            paths, texts, held = [], [], 0
+    if paths:
+        yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "text": pa.array(texts, pa.string())})
+
+
+def _mounted_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, text) of the files under a mounted folder. One task lists them and hands the names on; the driver, whose index would hold
+    an entry for each file, sees none of them."""
+
+    def names(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = (f for f in _walk(folder) if not f.lower().endswith(b".pdf"))
+        while some := list(islice(files, 10_000)):
+            yield pa.RecordBatch.from_pydict({"file": pa.array(some, pa.binary())})
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.range(0, 1, 1, 1).mapInArrow(names, "file binary").repartition(tasks, "file").mapInArrow(_texts, "path string, text string")
+
+
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(path, kind, text) of the files of a folder, each one document: pages without their marks (S16), paragraphs of docx files, anything else as plain
-    text (bytes that aren't UTF-8 become U+FFFD). No reader of pdf is installed: those are left out."""
+    text (bytes that aren't UTF-8 become U+FFFD). No reader of pdf is installed: those are left out. In a file system that all executors have mounted,
+    tasks list and read the files, whatever their number; elsewhere Spark's readers do, which leave out empty files and of which the driver holds an entry a file."""
     from corpusloom.operators.extract import html_text
     from corpusloom.sources.office import docx_text
 
     ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    plain = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value").where(~ext.isin("pdf", "docx"))
-    kind = F.when(ext.isin("htm", "html"), "html").otherwise("text")
-    plain = plain.select("path", kind.alias("kind"), F.when(kind == "html", html_text(F.col("value"))).otherwise(F.col("value")).alias("text"))
-    packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[dD][oO][cC][xX]").load(folder)
-    return plain.unionByName(packed.select("path", F.lit("docx").alias("kind"), docx_text("content").alias("text")))
+    if local := _mounted(spark, folder):
+        found = _mounted_texts(spark, local)
+    else:
+        plain = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")).where(~ext.isin("pdf", "docx"))
+        packed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[dD][oO][cC][xX]").load(folder)
+        found = plain.unionByName(packed.select("path", docx_text("content").alias("text")))
+    kind = F.when(ext.isin("htm", "html"), "html").when(ext == "docx", "docx").otherwise("text")
+    return found.select("path", kind.alias("kind"), F.when(kind == "html", html_text(F.col("text"))).otherwise(F.col("text")).alias("text"))
 
 
 def name_matches(name: Column, pattern: str) -> Column:

@@ -164,6 +164,38 @@ def test_documents_and_depth(spark, tmp_path):
     assert names(1) == ["x.txt", "z.pdf"] and names(2) == ["x.txt", "y.HTML", "z.pdf"] == names(None)
 
 
+def test_documents_are_listed_in_tasks(spark, tmp_path):
+    import gzip
+
+    a = tmp_path / "a b"
+    (a / "deep" / "er").mkdir(parents=True)
+    (a / "_skipped").mkdir()
+    for n in range(40):
+        write(a / "deep" / f"{n}.txt", f"text {n}")
+    write(a / "deep" / "er" / "p.htm", "<p>one</p>two")
+    for n in ("_skipped/x.txt", ".x.txt", "_x.txt", "x.PDF"):
+        write(a / n, "no")
+    write(a / "packed.txt.gz", gzip.compress("पाठ".encode()))
+    some = [("html", "one two"), *(("text", f"text {n}") for n in range(40)), ("text", "पाठ")]
+    df = io.read_documents(spark, str(a))
+    assert df.inputFiles() == [] and rows(df, "kind", "text") == sorted(some, key=str)
+    assert rows(io.read_documents(spark, f"{tmp_path}/*"), "kind", "text") == rows(io.read_documents(spark, f"file://{a}"), "kind", "text") == sorted(some, key=str)
+    (a / "deep" / "empty.txt").write_bytes(b"")
+    assert rows(io.read_documents(spark, str(a)), "kind", "text") == sorted([*some, ("text", "")], key=str)
+    assert {r.path for r in df.collect()} <= {r.path for r in io.list_files(spark, str(a)).collect()} | {f"file:{a}/deep/empty.txt"}
+
+
+def test_documents_are_held_up_to_some_bytes(tmp_path):
+    import pyarrow as pa
+
+    files = [write(tmp_path / f"{n}.txt", "x" * 10).encode() for n in range(7)]
+    given = [pa.RecordBatch.from_pydict({"file": pa.array(f, pa.binary())}) for f in (files[:5], files[5:])]
+    assert [b.num_rows for b in io._texts(given, 30)] == [3, 3, 1] and [b.num_rows for b in io._texts(given)] == [7]
+    (tmp_path / "a.zst").write_bytes(b"")
+    with pytest.raises(ValueError):
+        list(io._texts([pa.RecordBatch.from_pydict({"file": [os.fsencode(tmp_path / "a.zst")]})]))
+
+
 def test_clusters_must_name_a_checkpoint_folder():
     from types import SimpleNamespace
 
